@@ -54,3 +54,68 @@ BASKETS = f"""baskets AS (
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def parse_items(x: str, pad: bool = True) -> str:
+    cleaned = f"regexp_replace({x}, '^[\\[\\]]+|[\\[\\]]+$', '', 'g')"
+    by_comma = (f"list_transform(list_filter(string_split({cleaned}, ','), lambda p: regexp_replace(p, '^\\s+|\\s+$', '', 'g') <> ''), "
+                f"lambda p: regexp_replace(regexp_replace(p, '^\\s+|\\s+$', '', 'g'), '^[''\"]+|[''\"]+$', '', 'g'))")
+    by_space = f"list_filter(string_split_regex({cleaned}, '\\s+'), lambda p: p <> '')"
+    items = f"(CASE WHEN contains({cleaned}, ',') THEN {by_comma} ELSE {by_space} END)"
+    if pad:
+        items = f"list_transform({items}, lambda p: {zfill('p')})"
+    return f"(CASE WHEN {x} IS NULL THEN []::VARCHAR[] ELSE {items} END)"
+
+
+BASKETS_TEXT = """baskets_text AS (
+  SELECT transaction_id, customer_id, t_dat, array_to_string(items, ' ') AS items, item_count FROM baskets)"""
+
+BASKET_ITEMS = """basket_items AS (
+  SELECT transaction_id, customer_id, t_dat, unnest(items) AS item FROM baskets)"""
+
+
+def category_map(column: str, prefix: str, name: str) -> str:
+    return f"""{name} AS (
+  SELECT {zfill('article_id')} AS article_id,
+         max('{prefix}_' || {safe_token(f"coalesce({column}, 'unknown')")}) AS category
+  FROM articles GROUP BY 1)"""
+
+
+def category_baskets(map_name: str, name: str, min_items: int = 2) -> str:
+    return f"""{name} AS (
+  SELECT transaction_id, customer_id, t_dat, items, CAST(len(items) AS BIGINT) AS item_count
+  FROM (SELECT bi.transaction_id, bi.customer_id, bi.t_dat, list_sort(list(DISTINCT m.category)) AS items
+        FROM basket_items bi JOIN {map_name} m ON m.article_id = bi.item
+        GROUP BY 1, 2, 3)
+  WHERE len(items) >= {min_items})"""
+
+
+AGE_GROUPS = """age_groups AS (
+  SELECT customer_id,
+         CASE max(g) WHEN 0 THEN 'age_under_25' WHEN 1 THEN 'age_25_34' WHEN 2 THEN 'age_35_44'
+                     WHEN 3 THEN 'age_45_plus' END AS age_group
+  FROM (SELECT customer_id,
+               CASE WHEN CAST(trunc(age) AS INTEGER) BETWEEN 0 AND 24 THEN 0
+                    WHEN CAST(trunc(age) AS INTEGER) BETWEEN 25 AND 34 THEN 1
+                    WHEN CAST(trunc(age) AS INTEGER) BETWEEN 35 AND 44 THEN 2
+                    WHEN CAST(trunc(age) AS INTEGER) BETWEEN 45 AND 200 THEN 3 END AS g
+        FROM customers WHERE age IS NOT NULL)
+  WHERE g IS NOT NULL GROUP BY customer_id)"""
+
+YEAR_RANGES = "year_ranges AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('year_{y}', '{y}-01-01', '{y}-12-31')" for y in range(1995, 2002)) + ") AS r(variant, start_day, end_day))"
+
+# mining input: product-group roll-up of the article baskets, loaded whole
+MINING_CTES = [
+    category_map("product_group_name", "product_group", "pg_map"),
+    category_baskets("pg_map", "pg_baskets"),
+]
+MINING_BASKETS = f"""mining_baskets AS (
+  SELECT transaction_id, t_dat, items FROM (
+    SELECT transaction_id, t_dat, list_sort(list_distinct({parse_items("array_to_string(items, ' ')")})) AS items
+    FROM pg_baskets) WHERE len(items) >= 2)"""
+MINING_ITEMS = """mining_items AS (SELECT transaction_id, unnest(items) AS item FROM mining_baskets)"""
+
+
+def mining_with(*more: str) -> str:
+    return with_(TX, ARTICLES, BASKETS, BASKET_ITEMS, *MINING_CTES, MINING_BASKETS, MINING_ITEMS, *more)

@@ -119,3 +119,32 @@ MINING_ITEMS = """mining_items AS (SELECT transaction_id, unnest(items) AS item
 
 def mining_with(*more: str) -> str:
     return with_(TX, ARTICLES, BASKETS, BASKET_ITEMS, *MINING_CTES, MINING_BASKETS, MINING_ITEMS, *more)
+
+
+def itemsets_upto3(support: float, items: str = "mining_items", baskets: str = "mining_baskets",
+                   name: str = "itemsets", max_len: int = 3) -> list[str]:
+    """Frequent itemsets of length 1..3 by self-joins on the basket key."""
+    thr = f"(SELECT ceil(CAST({support!r} AS DOUBLE) * CAST(count(*) AS DOUBLE)) FROM {baskets})"
+    ctes = [
+        f"""{name}_n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {baskets})""",
+        f"""{name}_1 AS (SELECT item AS a, count(*) AS c FROM {items} GROUP BY item HAVING count(*) >= {thr})""",
+        f"""{name}_2 AS (SELECT x.item AS a, y.item AS b, count(*) AS c
+          FROM {items} x JOIN {items} y ON x.transaction_id = y.transaction_id AND x.item < y.item
+          WHERE x.item IN (SELECT a FROM {name}_1) AND y.item IN (SELECT a FROM {name}_1)
+          GROUP BY 1, 2 HAVING count(*) >= {thr})""",
+        f"""{name}_3 AS (SELECT x.item AS a, y.item AS b, z.item AS c3, count(*) AS c
+          FROM {items} x JOIN {items} y ON x.transaction_id = y.transaction_id AND x.item < y.item
+               JOIN {items} z ON z.transaction_id = x.transaction_id AND y.item < z.item
+          WHERE (x.item, y.item) IN (SELECT (a, b) FROM {name}_2)
+          GROUP BY 1, 2, 3 HAVING count(*) >= {thr})""",
+    ]
+    parts = [f"SELECT a AS itemset_key, 1 AS length, c FROM {name}_1"]
+    if max_len >= 2:
+        parts.append(f"SELECT a || ' ' || b, 2, c FROM {name}_2")
+    if max_len >= 3:
+        parts.append(f"SELECT a || ' ' || b || ' ' || c3, 3, c FROM {name}_3")
+    ctes.append(f"""{name} AS (
+  SELECT itemset_key, CAST(length AS INTEGER) AS length, CAST(c AS BIGINT) AS support_count,
+         CAST(c AS DOUBLE) / (SELECT n FROM {name}_n) AS support
+  FROM ({' UNION ALL '.join(parts)}))""")
+    return ctes

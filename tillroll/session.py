@@ -6,6 +6,8 @@ import math
 import os
 import tempfile
 
+from pyspark import StorageLevel
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -66,9 +69,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss, unlike a local checkpoint)."""
+    """Reliable checkpoint (survives executor loss, unlike a local checkpoint).
+
+    Iterative jobs (one level per loop) would otherwise re-embed every
+    earlier level's plan in the next one and spend their time planning.  The
+    frame is cached first so the checkpoint write does not recompute it; the
+    returned frame is a plan leaf reading the written files."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def broadcast_if_small(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT,

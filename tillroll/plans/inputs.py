@@ -31,3 +31,20 @@ def mining_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mining input: product-group baskets through the whole loading chain
     (parse -> distinct -> min size), no basket or item cut."""
     return B.load_baskets(prep.baskets_as_text(product_group_baskets(spark, sf_dir)), min_items=MIN_ITEMS)
+
+
+def category_baskets_text(spark: SparkSession, sf_dir: str, column: str, prefix: str) -> DataFrame:
+    arts = tables.articles_raw(spark, sf_dir)
+    m = variants.article_category_map(arts, column, prefix)
+    return prep.baskets_as_text(variants.category_baskets(basket_arrays(spark, sf_dir), m, MIN_ITEMS))
+
+
+def garment_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule-mining input: garment-group roll-up (few categories, so rules
+    with several consequents exist), loaded whole."""
+    return B.load_baskets(category_baskets_text(spark, sf_dir, "garment_group_name", "garment_group"),
+                          min_items=MIN_ITEMS)
+
+
+def article_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.padded_articles(spark, sf_dir).select("article_id", "prod_name")

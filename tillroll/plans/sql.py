@@ -121,30 +121,100 @@ def mining_with(*more: str) -> str:
     return with_(TX, ARTICLES, BASKETS, BASKET_ITEMS, *MINING_CTES, MINING_BASKETS, MINING_ITEMS, *more)
 
 
+def itemsets_sql(support: float, max_len: int = 3, items: str = "mining_items", baskets: str = "mining_baskets",
+                 name: str = "itemsets", group: str | None = None) -> list[str]:
+    """Frequent itemsets of length 1..max_len (<= 4) by k-way self-joins on
+    the basket key; ``group`` mines every group with its own n."""
+    gsel = f"{group}, " if group else ""
+    gon = lambda a, b: f" AND {a}.{group} = {b}.{group}" if group else ""
+    n_cte = (f"{name}_n AS (SELECT {gsel}CAST(count(*) AS DOUBLE) AS n, "
+             f"ceil(CAST({support!r} AS DOUBLE) * CAST(count(*) AS DOUBLE)) AS thr FROM {baskets}"
+             + (f" GROUP BY {group})" if group else ")"))
+    ctes = [n_cte]
+    cols = ["x1", "x2", "x3", "x4"][:max_len]
+    for k in range(1, max_len + 1):
+        xs = cols[:k]
+        joins = f"{items} {xs[0]}"
+        for i in range(1, k):
+            joins += (f" JOIN {items} {xs[i]} ON {xs[i]}.transaction_id = {xs[0]}.transaction_id"
+                      f"{gon(xs[i], xs[0])} AND {xs[i - 1]}.item < {xs[i]}.item")
+        prev = ""
+        if k > 1:
+            tup = ", ".join(f"{x}.item" for x in xs[:-1])
+            prev_cols = ", ".join(f"i{j}" for j in range(1, k))
+            gp = f"{xs[0]}.{group}, " if group else ""
+            prev = f" WHERE ({gp}{tup}) IN (SELECT ({gsel}{prev_cols}) FROM {name}_{k - 1})"
+        sel = ", ".join(f"{x}.item AS i{j + 1}" for j, x in enumerate(xs))
+        gcol = f"{xs[0]}.{group} AS {group}, " if group else ""
+        grp = ", ".join(str(j) for j in range(1, k + 1 + (1 if group else 0)))
+        thr_join = f"JOIN {name}_n t ON t.{group} = {xs[0]}.{group}" if group else f"CROSS JOIN {name}_n t"
+        ctes.append(f"""{name}_{k} AS (SELECT {gcol}{sel}, count(*) AS c, max(t.thr) AS thr
+          FROM {joins} {thr_join}{prev}
+          GROUP BY {grp} HAVING count(*) >= max(t.thr))""")
+    parts = []
+    for k in range(1, max_len + 1):
+        key = " || ' ' || ".join(f"i{j}" for j in range(1, k + 1))
+        parts.append(f"SELECT {gsel}{key} AS itemset_key, {k} AS length, c FROM {name}_{k}")
+    on = f"USING ({group})" if group else "ON TRUE"
+    ctes.append(f"""{name} AS (
+  SELECT {('u.' + group + ', ') if group else ''}itemset_key, string_split(itemset_key, ' ') AS items,
+         CAST(length AS INTEGER) AS length, CAST(c AS BIGINT) AS support_count,
+         CAST(c AS DOUBLE) / nn.n AS support
+  FROM ({' UNION ALL '.join(parts)}) u JOIN {name}_n nn {on})""")
+    return ctes
+
+
 def itemsets_upto3(support: float, items: str = "mining_items", baskets: str = "mining_baskets",
                    name: str = "itemsets", max_len: int = 3) -> list[str]:
-    """Frequent itemsets of length 1..3 by self-joins on the basket key."""
-    thr = f"(SELECT ceil(CAST({support!r} AS DOUBLE) * CAST(count(*) AS DOUBLE)) FROM {baskets})"
-    ctes = [
-        f"""{name}_n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {baskets})""",
-        f"""{name}_1 AS (SELECT item AS a, count(*) AS c FROM {items} GROUP BY item HAVING count(*) >= {thr})""",
-        f"""{name}_2 AS (SELECT x.item AS a, y.item AS b, count(*) AS c
-          FROM {items} x JOIN {items} y ON x.transaction_id = y.transaction_id AND x.item < y.item
-          WHERE x.item IN (SELECT a FROM {name}_1) AND y.item IN (SELECT a FROM {name}_1)
-          GROUP BY 1, 2 HAVING count(*) >= {thr})""",
-        f"""{name}_3 AS (SELECT x.item AS a, y.item AS b, z.item AS c3, count(*) AS c
-          FROM {items} x JOIN {items} y ON x.transaction_id = y.transaction_id AND x.item < y.item
-               JOIN {items} z ON z.transaction_id = x.transaction_id AND y.item < z.item
-          WHERE (x.item, y.item) IN (SELECT (a, b) FROM {name}_2)
-          GROUP BY 1, 2, 3 HAVING count(*) >= {thr})""",
+    return itemsets_sql(support, max_len, items, baskets, name)
+
+
+def title_case(x: str) -> str:
+    return (f"array_to_string(list_transform(regexp_extract_all({x}, '([A-Za-z]+|[^A-Za-z]+)'), "
+            f"lambda p: upper(p[1]) || lower(p[2:])), '')")
+
+
+def readable_token(x: str) -> str:
+    stripped = (f"(CASE WHEN starts_with({x}, 'product_group_') THEN substr({x}, 15) "
+                f"WHEN starts_with({x}, 'garment_group_') THEN substr({x}, 15) "
+                f"WHEN starts_with({x}, 'section_') THEN substr({x}, 9) "
+                f"WHEN starts_with({x}, 'outfit_') THEN substr({x}, 8) ELSE {x} END)")
+    return title_case(f"replace({stripped}, '_', ' ')")
+
+
+def rules_sql(itemsets: str, min_conf: float, name: str = "rules") -> list[str]:
+    return [
+        f"""{name}_masks AS (SELECT items, support AS s_ac, unnest(range(1, (1 << length) - 1)) AS m
+          FROM {itemsets} WHERE length >= 2)""",
+        f"""{name}_split AS (SELECT s_ac,
+            list_filter(items, lambda x, j: ((m >> (j - 1)) & 1) = 1) AS ant,
+            list_filter(items, lambda x, j: ((m >> (j - 1)) & 1) = 0) AS con FROM {name}_masks)""",
+        f"""{name}_raw AS (SELECT array_to_string(s.ant, ' ') AS antecedents, array_to_string(s.con, ' ') AS consequents,
+            s.ant AS antecedent_items, s.con AS consequent_items,
+            s.s_ac, a.support AS s_a, c.support AS s_c, s.s_ac / a.support AS confidence
+          FROM {name}_split s JOIN {itemsets} a ON a.itemset_key = array_to_string(s.ant, ' ')
+                              JOIN {itemsets} c ON c.itemset_key = array_to_string(s.con, ' '))""",
+        f"""{name} AS (SELECT antecedents, consequents, antecedent_items, consequent_items,
+            s_ac AS support, confidence, confidence / s_c AS lift,
+            CAST(len(antecedent_items) + len(consequent_items) AS INTEGER) AS rule_length,
+            s_a AS antecedent_support, s_c AS consequent_support,
+            s_ac - s_a * s_c AS leverage,
+            CASE WHEN confidence < 1 THEN (1 - s_c) / (1 - confidence) ELSE 'inf'::DOUBLE END AS conviction,
+            CASE WHEN greatest(s_ac * (1 - s_a), s_a * (s_c - s_ac)) = 0 THEN 0.0
+                 ELSE (s_ac - s_a * s_c) / greatest(s_ac * (1 - s_a), s_a * (s_c - s_ac)) END AS zhangs_metric,
+            s_ac / (s_a + s_c - s_ac) AS jaccard,
+            CASE WHEN 1 - s_c = 0 THEN 0.0 ELSE (confidence - s_c) / (1 - s_c) END AS certainty,
+            (s_ac / s_a + s_ac / s_c) / 2 AS kulczynski
+          FROM {name}_raw WHERE confidence >= CAST({min_conf!r} AS DOUBLE))""",
     ]
-    parts = [f"SELECT a AS itemset_key, 1 AS length, c FROM {name}_1"]
-    if max_len >= 2:
-        parts.append(f"SELECT a || ' ' || b, 2, c FROM {name}_2")
-    if max_len >= 3:
-        parts.append(f"SELECT a || ' ' || b || ' ' || c3, 3, c FROM {name}_3")
-    ctes.append(f"""{name} AS (
-  SELECT itemset_key, CAST(length AS INTEGER) AS length, CAST(c AS BIGINT) AS support_count,
-         CAST(c AS DOUBLE) / (SELECT n FROM {name}_n) AS support
-  FROM ({' UNION ALL '.join(parts)}))""")
-    return ctes
+
+
+GARMENT_CTES = [
+    category_map("garment_group_name", "garment_group", "gg_map"),
+    category_baskets("gg_map", "gg_baskets"),
+    f"""garment_baskets AS (
+  SELECT transaction_id, t_dat, items FROM (
+    SELECT transaction_id, t_dat, list_sort(list_distinct({parse_items("array_to_string(items, ' ')")})) AS items
+    FROM gg_baskets) WHERE len(items) >= 2)""",
+    "garment_items AS (SELECT transaction_id, unnest(items) AS item FROM garment_baskets)",
+]

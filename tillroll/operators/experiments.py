@@ -73,8 +73,9 @@ def experiment_grid(baskets_text: DataFrame, configs: list[dict], base: dict | N
             rows.append(summary.select(
                 F.lit(name).alias("config"), "algorithm", "frequent_itemsets", "max_itemset_length",
                 "transactions", "unique_items",
-                F.lit(args["max_baskets"]).cast("bigint").alias("max_baskets"),
-                F.lit(args["top_items"]).cast("bigint").alias("top_items"),
+                # the parameters as given: 0 means "all"
+                F.lit(int(args["max_baskets"] or 0)).cast("bigint").alias("max_baskets"),
+                F.lit(int(args["top_items"] or 0)).cast("bigint").alias("top_items"),
                 F.lit(float(args["min_support"])).alias("min_support"),
                 F.lit(int(args["max_len"])).alias("max_len"),
                 common.alias("common_itemsets"),

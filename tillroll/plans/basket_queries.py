@@ -266,3 +266,30 @@ def variant_manifest(spark, sf_dir):
        "FROM mining_baskets")
 def mining_baskets_q(spark, sf_dir):
     return B_text(mining_baskets(spark, sf_dir))
+
+
+# -- grouped mining of every variant (V9) -----------------------------------
+
+VARIANT_SUPPORT, VARIANT_MAX_LEN = 0.01, 3
+_VAR_PARTS = ["SELECT variant, transaction_id, string_split(items, ' ') AS items FROM year_b",
+              "SELECT variant, transaction_id, string_split(items, ' ') AS items FROM age_b"]
+for _key, _column in variants.CATEGORY_VARIANTS + [("outfit", variants.OUTFIT_VARIANT[1])]:
+    _VAR_PARTS.append(f"SELECT '{'outfit_category' if _key == 'outfit' else _key}' AS variant, transaction_id, items "
+                      f"FROM cb_{_key}")
+_VAR_CTES = _MANIFEST_CTES + [
+    "var_baskets AS (" + " UNION ALL ".join(_VAR_PARTS) + ")",
+    "var_items AS (SELECT variant, transaction_id, unnest(items) AS item FROM var_baskets)",
+    *S.itemsets_sql(VARIANT_SUPPORT, VARIANT_MAX_LEN, "var_items", "var_baskets", "vsets", group="variant"),
+]
+
+
+@query("itemsets_by_variant", S.with_(*_VAR_CTES) + "SELECT variant, itemset_key, length, support_count, support "
+       "FROM vsets")
+def itemsets_by_variant(spark, sf_dir):
+    from tillroll.operators.mining import apriori
+
+    v = variants.all_variants(basket_arrays(spark, sf_dir), tables.articles_raw(spark, sf_dir),
+                              tables.customers(spark, sf_dir), MIN_ITEMS)
+    found = apriori(v.select("variant", "transaction_id", "items"), VARIANT_SUPPORT, VARIANT_MAX_LEN,
+                    group_cols=["variant"])
+    return found.select("variant", "itemset_key", "length", "support_count", "support")

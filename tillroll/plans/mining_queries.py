@@ -238,3 +238,48 @@ def pattern_summary(spark, sf_dir):
             "frequent_itemsets"),
         found.select(F.count(F.lit(1))).scalar().alias("total_frequent_itemsets"),
         rules.select(F.count(F.lit(1))).scalar().alias("rules"))
+
+
+# -- experiment grid (H2, H3) ---------------------------------------------------
+
+GRID = [
+    dict(name="small", max_baskets=5000, top_items=20, min_support=0.01, max_len=3),
+    dict(name="full", max_baskets=0, top_items=0, min_support=0.005, max_len=3),
+]
+
+
+def _grid_sql() -> str:
+    ctes = [S.TX, S.ARTICLES, S.BASKETS, S.BASKET_ITEMS, *S.MINING_CTES,
+            "pgt AS (SELECT transaction_id, customer_id, t_dat, array_to_string(items, ' ') AS items FROM pg_baskets)"]
+    rows = []
+    for c in GRID:
+        n = c["name"]
+        first = f"SELECT * FROM pgt ORDER BY t_dat, customer_id LIMIT {c['max_baskets']}" if c["max_baskets"] \
+            else "SELECT * FROM pgt"
+        ctes.append(f"{n}_first AS ({first})")
+        ctes.append(f"{n}_parsed AS (SELECT transaction_id, {S.parse_items('items')} AS items FROM {n}_first)")
+        if c["top_items"]:
+            ctes.append(f"""{n}_top AS (SELECT item FROM (SELECT unnest(items) AS item FROM {n}_parsed) GROUP BY item
+                        ORDER BY count(*) DESC, item LIMIT {c['top_items']})""")
+            restricted = f"list_intersect(items, (SELECT list(item) FROM {n}_top))"
+        else:
+            restricted = "items"
+        ctes.append(f"""{n}_b AS (SELECT transaction_id, items FROM (
+            SELECT transaction_id, list_sort(list_distinct({restricted})) AS items FROM {n}_parsed) WHERE len(items) >= 2)""")
+        ctes.append(f"{n}_i AS (SELECT transaction_id, unnest(items) AS item FROM {n}_b)")
+        ctes += S.itemsets_sql(c["min_support"], c["max_len"], f"{n}_i", f"{n}_b", f"{n}_sets")
+        for m in ("apriori", "fpgrowth", "eclat"):
+            rows.append(f"""SELECT '{n}' AS config, '{m}' AS algorithm, (SELECT count(*) FROM {n}_sets) AS frequent_itemsets,
+  (SELECT CAST(coalesce(max(length), 0) AS INTEGER) FROM {n}_sets) AS max_itemset_length,
+  (SELECT count(*) FROM {n}_b) AS transactions, (SELECT count(DISTINCT item) FROM {n}_i) AS unique_items,
+  CAST({c['max_baskets']} AS BIGINT) AS max_baskets, CAST({c['top_items']} AS BIGINT) AS top_items,
+  CAST({c['min_support']!r} AS DOUBLE) AS min_support, CAST({c['max_len']} AS INTEGER) AS max_len,
+  (SELECT count(*) FROM {n}_sets) AS common_itemsets, CAST(NULL AS VARCHAR) AS start_date,
+  CAST(NULL AS VARCHAR) AS end_date, 'ok' AS status, CAST(NULL AS VARCHAR) AS error""")
+    return S.with_(*ctes) + "\nUNION ALL\n".join(rows)
+
+
+@query("experiment_grid", _grid_sql())
+def experiment_grid(spark, sf_dir):
+    text = prep.baskets_as_text(product_group_baskets(spark, sf_dir))
+    return experiments.experiment_grid(text, GRID)

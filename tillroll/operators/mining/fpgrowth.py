@@ -8,6 +8,7 @@ is the tree order, so itemsets are sorted afterwards.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ def fpgrowth(baskets: DataFrame, min_support: float, max_len: int = 3, group_col
         raise ValueError("FP-growth mines one basket set; use the level-wise or vertical miner for groups")
     from pyspark.ml.fpm import FPGrowth
 
-    b = cut_lineage(normalize_baskets(baskets, []))
+    b = normalize_baskets(baskets, []).persist(StorageLevel.MEMORY_AND_DISK)
     th = thresholds(b, min_support, [])
     params = dict(itemsCol="items", minSupport=float(min_support), minConfidence=0.0)
     if num_partitions:
@@ -30,4 +31,6 @@ def fpgrowth(baskets: DataFrame, min_support: float, max_len: int = 3, group_col
     model = FPGrowth(**params).fit(b)
     fi = model.freqItemsets.filter(F.size("items") <= max_len).select(
         F.sort_array("items").alias("items"), F.col("freq").alias("support_count"))
-    return cut_lineage(finish(fi, th, []))
+    result = cut_lineage(finish(fi, th, []))
+    b.unpersist()
+    return result

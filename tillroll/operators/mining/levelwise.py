@@ -43,7 +43,7 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
     check_args(min_support, max_len)
     g = list(group_cols)
     spark = baskets.sparkSession
-    b = cut_lineage(normalize_baskets(baskets, g))
+    b = normalize_baskets(baskets, g).persist(MEM_DISK)
     th = thresholds(b, min_support, g)
     occ1 = b.select(*g, "transaction_id", F.explode("items").alias("item"))
     l1 = cut_lineage(th.keep_frequent(occ1.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("support_count"))))
@@ -51,19 +51,20 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
     if n1 == 0:
         return empty_itemsets(spark, g)
     levels = [l1.select(*g, F.array("item").alias("itemset"), "support_count")]
+    big: list[DataFrame] = [b]
 
     if max_len >= 2 and n1 >= 2:
         freq = broadcast_if_small(l1.select(*g, "item"), known_rows=n1)
         # regroup by basket: input is already hash-clustered on (group, basket)
-        trimmed = cut_lineage(occ1.join(freq, [*g, "item"], "left_semi")
-                              .groupBy(*g, "transaction_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
-                              .filter(F.size("items") >= 2))
+        trimmed = (occ1.join(freq, [*g, "item"], "left_semi")
+                   .groupBy(*g, "transaction_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+                   .filter(F.size("items") >= 2)).persist(MEM_DISK)
         narrow = trimmed.filter(F.size("items") <= wide_width)
         wide = trimmed.filter(F.size("items") > wide_width)
         n_wide = wide.count()
         wide_long = wide.select(*g, "transaction_id", F.explode("items").alias("item"))
         if n_wide:
-            wide_long = cut_lineage(wide_long.repartition(*g, "transaction_id", "item"))
+            wide_long = wide_long.repartition(*g, "transaction_id", "item").persist(MEM_DISK)
 
         pairs = narrow.select(*g, "transaction_id", "items", F.explode(in_row_pairs(F.col("items"))).alias("p"))
         occ_n = pairs.select(*g, "transaction_id", "items", F.array("p.a", "p.b").alias("itemset"))
@@ -77,10 +78,16 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
                 *g, "transaction_id", F.array("a", "b").alias("itemset"))
         k = 2
         while True:
-            occ_n = cut_lineage(occ_n)
+            # narrow occurrences are re-derived in the row from the cached
+            # trimmed baskets (cheaper than caching rows that each carry the
+            # basket); a reliable checkpoint every third level bounds the
+            # lineage of deep searches
+            if k % 3 == 0 and k < max_len:
+                occ_n = cut_lineage(occ_n)
             both = occ_n.select(*g, "itemset")
             if occ_w is not None:
-                occ_w = cut_lineage(occ_w)
+                occ_w = cut_lineage(occ_w) if k % 3 == 0 else occ_w.persist(MEM_DISK)
+                big.append(occ_w)
                 both = both.unionByName(occ_w.select(*g, "itemset"))
             lk = cut_lineage(th.keep_frequent(_count(both, g)))
             nk = lk.count()
@@ -109,5 +116,8 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
                     *g, "transaction_id", F.concat("itemset", F.array("ext")).alias("itemset"))
     out = reduce(DataFrame.unionByName, [lv.select(*g, "itemset", "support_count") for lv in levels])
     # the itemset table is output-sized; writing it makes downstream plans
-    # (rules, comparisons) start from a leaf
-    return cut_lineage(finish(out.withColumnRenamed("itemset", "items"), th, g))
+    # (rules, comparisons) start from a leaf, after which the caches go
+    result = cut_lineage(finish(out.withColumnRenamed("itemset", "items"), th, g))
+    for df in big:
+        df.unpersist()
+    return result

@@ -32,7 +32,7 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
     check_args(min_support, max_len)
     g = list(group_cols)
     spark = baskets.sparkSession
-    b = cut_lineage(normalize_baskets(baskets, g))
+    b = normalize_baskets(baskets, g).persist(MEM_DISK)
     th = thresholds(b, min_support, g)
     total = th.n if not g else th.table.agg(F.sum("n")).first()[0] or 0
     nb = buckets or max(1, math.ceil(total / tids_per_bucket))
@@ -40,14 +40,15 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
     occ = b.select(*g, "transaction_id", F.explode("items").alias("item"),
                    F.pmod(F.xxhash64("transaction_id"), F.lit(nb)).cast("int").alias("bucket"))
     v1 = occ.groupBy(*g, "item", "bucket").agg(F.sort_array(F.collect_list("transaction_id")).alias("tids"))
-    v1 = cut_lineage(v1)
+    v1 = v1.persist(MEM_DISK)
     l1 = cut_lineage(th.keep_frequent(v1.groupBy(*g, "item").agg(F.sum(F.size("tids")).alias("support_count"))))
     n1 = l1.count()
     if n1 == 0:
         return empty_itemsets(spark, g)
     item_lists = v1.join(broadcast_if_small(l1.select(*g, "item"), known_rows=n1), [*g, "item"], "left_semi")
     item_lists = item_lists.select(*g, F.col("item").alias("ext"), "bucket", F.col("tids").alias("etids"))
-    item_lists = cut_lineage(item_lists)
+    item_lists = item_lists.persist(MEM_DISK)
+    big = [b, v1, item_lists]
 
     levels = [l1.select(*g, F.array("item").alias("items"), "support_count")]
     prev_level = levels[0]
@@ -63,7 +64,9 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
         joined = with_prefix.join(item_lists, [*g, "ext", "bucket"])
         lists = joined.select(*g, F.concat("prefix", F.array("ext")).alias("prefix"), "bucket",
                               F.array_intersect("ptids", "etids").alias("ptids")).filter(F.size("ptids") > 0)
-        lists = cut_lineage(lists)
+        # tid-list chunks are large: cached, checkpointed every third level
+        lists = cut_lineage(lists) if k % 3 == 0 else lists.persist(MEM_DISK)
+        big.append(lists)
         counts = lists.groupBy(*g, "prefix").agg(F.sum(F.size("ptids")).alias("support_count"))
         lk = cut_lineage(th.keep_frequent(counts))
         nk = lk.count()
@@ -73,4 +76,7 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
         levels.append(prev_level)
         prev_lists = lists.join(broadcast_if_small(lk.select(*g, "prefix"), known_rows=nk), [*g, "prefix"], "left_semi")
     out = reduce(DataFrame.unionByName, levels)
-    return cut_lineage(finish(out, th, g))
+    result = cut_lineage(finish(out, th, g))
+    for df in big:
+        df.unpersist()
+    return result

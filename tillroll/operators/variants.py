@@ -44,7 +44,8 @@ def article_category_map(articles: DataFrame, column: str, prefix: str) -> DataF
     return mapped.groupBy("article_id").agg(F.max("category").alias("category"))
 
 
-def category_baskets(baskets: DataFrame, mapping: DataFrame, min_items: int = 2) -> DataFrame:
+def category_baskets(baskets: DataFrame, mapping: DataFrame, min_items: int = 2,
+                     map_rows: int | None = None) -> DataFrame:
     """Roll baskets up to a category: map each item (ids are not re-padded),
     drop unmapped, distinct, sort, keep ``>= min_items``.
 
@@ -52,7 +53,7 @@ def category_baskets(baskets: DataFrame, mapping: DataFrame, min_items: int = 2)
     row-count check.  Regrouping uses the basket key columns, so when the
     input is still hash-partitioned on ``(customer_id, t_dat)`` (straight
     from ``build_baskets``) Spark adds no exchange."""
-    m = broadcast_if_small(mapping.select(F.col("article_id").alias("item"), "category"))
+    m = broadcast_if_small(mapping.select(F.col("article_id").alias("item"), "category"), known_rows=map_rows)
     exploded = baskets.select("customer_id", "t_dat", "transaction_id", F.explode("items").alias("item"))
     grouped = exploded.join(m, "item").groupBy("customer_id", "t_dat", "transaction_id").agg(
         F.array_sort(F.collect_set("category")).alias("items")
@@ -80,13 +81,14 @@ def customer_age_groups(customers: DataFrame, groups=AGE_GROUPS) -> DataFrame:
     return best.select("customer_id", F.element_at(names, F.col("g") + 1).alias("age_group"))
 
 
-def age_baskets(baskets: DataFrame, age_groups: DataFrame, min_items: int = 2) -> DataFrame:
+def age_baskets(baskets: DataFrame, age_groups: DataFrame, min_items: int = 2,
+                group_rows: int | None = None) -> DataFrame:
     """One basket set per age group (``variant`` column); unknown customers dropped.
 
     The customer side grows with the customer base, so it is broadcast only
     behind the row-count check; otherwise a shuffle join (AQE splits skew)."""
     b = baskets.filter(F.col("item_count") >= min_items)
-    g = broadcast_if_small(age_groups)
+    g = broadcast_if_small(age_groups, known_rows=group_rows)
     return b.join(g, "customer_id").select(F.col("age_group").alias("variant"), *BASKET_COLUMNS)
 
 
@@ -108,13 +110,19 @@ def with_variant(df: DataFrame, variant: str) -> DataFrame:
 
 
 def all_variants(baskets: DataFrame, articles: DataFrame, customers: DataFrame, min_items: int = 2) -> DataFrame:
-    """Every variant in one long table with a ``variant`` column."""
-    parts = [year_baskets(baskets, min_items=min_items), age_baskets(baskets, customer_age_groups(customers), min_items)]
+    """Every variant in one long table with a ``variant`` column.
+
+    Broadcast checks use the dimension row counts (answered from Parquet
+    footers): a map derived from a dimension has at most as many rows."""
+    n_articles, n_customers = articles.count(), customers.count()
+    parts = [year_baskets(baskets, min_items=min_items),
+             age_baskets(baskets, customer_age_groups(customers), min_items, n_customers)]
     for key, column in CATEGORY_VARIANTS:
-        parts.append(with_variant(category_baskets(baskets, article_category_map(articles, column, key), min_items), key))
+        parts.append(with_variant(category_baskets(
+            baskets, article_category_map(articles, column, key), min_items, n_articles), key))
     key, column = OUTFIT_VARIANT
-    parts.append(with_variant(
-        category_baskets(baskets, article_category_map(articles, column, key), min_items), "outfit_category"))
+    parts.append(with_variant(category_baskets(
+        baskets, article_category_map(articles, column, key), min_items, n_articles), "outfit_category"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.text import parse_items, safe_token
 from tillroll.operators import baskets as B
 from tillroll.operators import profile, variants
-from tillroll.plans.inputs import MIN_ITEMS, basket_arrays, basket_text, mining_baskets
+from tillroll.plans.inputs import MIN_ITEMS, basket_arrays, basket_text, mining_text_baskets
 from tillroll.plans.registry import query
 from tillroll.plans import sql as S
 from tillroll.sources import tables
@@ -168,12 +168,12 @@ def load_baskets(spark, sf_dir):
 SELECT (SELECT count(*) FROM mining_baskets) AS transactions,
        (SELECT count(DISTINCT item) FROM mining_items) AS unique_items""")
 def basket_stats(spark, sf_dir):
-    return B.basket_stats(mining_baskets(spark, sf_dir))
+    return B.basket_stats(mining_text_baskets(spark, sf_dir))
 
 
 @query("basket_incidence", S.mining_with() + "SELECT transaction_id, item FROM mining_items")
 def basket_incidence(spark, sf_dir):
-    return B.basket_incidence(mining_baskets(spark, sf_dir))
+    return B.basket_incidence(mining_text_baskets(spark, sf_dir))
 
 
 # -- variants ---------------------------------------------------------------
@@ -206,8 +206,9 @@ SELECT transaction_id, customer_id, t_dat, array_to_string(items, ' ') AS items,
 
     @query(key, oracle)
     def run(spark, sf_dir):
-        m = variants.article_category_map(tables.articles_raw(spark, sf_dir), column, prefix)
-        return B_text(variants.category_baskets(basket_arrays(spark, sf_dir), m, MIN_ITEMS))
+        arts = tables.articles_raw(spark, sf_dir)
+        m = variants.article_category_map(arts, column, prefix)
+        return B_text(variants.category_baskets(basket_arrays(spark, sf_dir), m, MIN_ITEMS, map_rows=arts.count()))
 
     return run
 
@@ -236,8 +237,9 @@ _YEAR_B = """year_b AS (SELECT r.variant, b.transaction_id, b.customer_id, b.t_d
 
 @query("age_baskets", S.with_(S.TX, S.CUSTOMERS, S.BASKETS, S.AGE_GROUPS, _AGE_B) + "SELECT * FROM age_b")
 def age_baskets(spark, sf_dir):
-    g = variants.customer_age_groups(tables.customers(spark, sf_dir))
-    return B_text(variants.age_baskets(basket_arrays(spark, sf_dir), g, MIN_ITEMS))
+    cust = tables.customers(spark, sf_dir)
+    g = variants.customer_age_groups(cust)
+    return B_text(variants.age_baskets(basket_arrays(spark, sf_dir), g, MIN_ITEMS, group_rows=cust.count()))
 
 
 @query("year_baskets", S.with_(S.TX, S.BASKETS, S.YEAR_RANGES, _YEAR_B) + "SELECT * FROM year_b")
@@ -265,7 +267,7 @@ def variant_manifest(spark, sf_dir):
 @query("mining_baskets", S.mining_with() + "SELECT transaction_id, t_dat, array_to_string(items, ' ') AS items "
        "FROM mining_baskets")
 def mining_baskets_q(spark, sf_dir):
-    return B_text(mining_baskets(spark, sf_dir))
+    return B_text(mining_text_baskets(spark, sf_dir))
 
 
 # -- grouped mining of every variant (V9) -----------------------------------

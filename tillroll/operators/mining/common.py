@@ -45,18 +45,19 @@ class Thresholds:
     n: int | None = None
     min_count: int | None = None
     table: DataFrame | None = None  # group cols, n, min_count
+    groups: int | None = None       # rows of ``table``
 
     def keep_frequent(self, counts: DataFrame, count_col: str = "support_count") -> DataFrame:
         if not self.group_cols:
             return counts.filter(F.col(count_col) >= F.lit(self.min_count))
-        t = broadcast_if_small(self.table)
+        t = broadcast_if_small(self.table, known_rows=self.groups)
         return counts.join(t, self.group_cols).filter(F.col(count_col) >= F.col("min_count")).drop("min_count")
 
     def with_support(self, counts: DataFrame) -> DataFrame:
         """Add ``support = support_count / n`` (double division, as the oracle)."""
         if not self.group_cols:
             return counts.withColumn("support", F.col("support_count").cast("double") / F.lit(float(self.n)))
-        t = broadcast_if_small(self.table.select(*self.group_cols, "n"))
+        t = broadcast_if_small(self.table.select(*self.group_cols, "n"), known_rows=self.groups)
         return counts.join(t, self.group_cols).withColumn(
             "support", F.col("support_count").cast("double") / F.col("n").cast("double")
         ).drop("n")
@@ -69,7 +70,7 @@ def thresholds(baskets: DataFrame, min_support: float, group_cols: list[str]) ->
     # one row per group: the number of groups bounds this table
     table = cut_lineage(baskets.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).withColumn(
         "min_count", F.ceil(F.lit(float(min_support)) * F.col("n").cast("double")).cast("bigint")))
-    return Thresholds(group_cols, table=table)
+    return Thresholds(group_cols, table=table, groups=table.count())
 
 
 def finish(itemsets: DataFrame, th: Thresholds, group_cols: list[str]) -> DataFrame:

@@ -20,7 +20,7 @@ def incremental_dedupe(spark, sf_dir):
     table_path = ingest.scratch_path(spark, "unique-lines")
     stream = ingest.lines_stream(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", tables.table(spark, sf_dir, "orders"))
     ingest.ingest_unique_lines(stream, table_path, ingest.scratch_path(spark, "unique-lines-ckpt"))
-    return spark.read.parquet(table_path)
+    return spark.read.parquet(table_path).select("t_dat", "customer_id", "article_id")
 
 
 @query("baskets_roundtrip", S.with_(S.TX, S.BASKETS) + """

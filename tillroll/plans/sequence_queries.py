@@ -22,9 +22,9 @@ CAT = """cat AS (SELECT CAST(row_number() OVER (ORDER BY purchases DESC, old_art
              FROM (SELECT old_article_idx, count(*) AS purchases FROM ev GROUP BY 1
                    ORDER BY purchases DESC, old_article_idx LIMIT 100))"""
 ENC = """enc AS (SELECT ev.*, coalesce(c.new_item_idx, 0) AS new_item_idx FROM ev LEFT JOIN cat c USING (old_article_idx))"""
-REQ = """req AS (SELECT order_key AS request_id,
+REQ = """req AS (SELECT CAST(order_key AS VARCHAR) || '-' || CAST((line_no - 1) // 8 AS VARCHAR) AS request_id,
                     string_agg(CAST(old_article_idx AS VARCHAR), ',' || chr(10) || ' ' ORDER BY line_no, old_article_idx) AS raw
-             FROM ev GROUP BY order_key)"""
+             FROM ev GROUP BY order_key, (line_no - 1) // 8)"""
 TOKENS = """tok AS (SELECT request_id, unnest(t) AS token, unnest(range(0, len(t))) AS pos FROM (
                SELECT request_id, list_filter(regexp_split_to_array(raw, '[,\\s]+'), lambda x: x <> '') AS t FROM req))"""
 TRS = """tr AS (SELECT a.new_item_idx AS item, b.new_item_idx AS next_item, count(*) AS c
@@ -57,9 +57,17 @@ def item_catalog(spark, sf_dir):
     return Q.item_catalog(_events(spark, sf_dir))
 
 
+REQUEST_LINES = 8
+
+
 def _requests(spark, sf_dir):
+    """Typed requests built from the lines: one per block of at most 8
+    consecutive line numbers of an order, so no request text grows with the
+    size of an order."""
     ev = _events(spark, sf_dir)
-    per_order = ev.groupBy(F.col("order_key").alias("request_id")).agg(
+    block = F.floor((F.col("line_no") - 1) / REQUEST_LINES).cast("bigint")
+    rid = F.concat_ws("-", F.col("order_key").cast("string"), block.cast("string")).alias("request_id")
+    per_order = ev.groupBy(rid).agg(
         F.sort_array(F.collect_list(F.struct("line_no", "old_article_idx"))).alias("l"))
     return per_order.select("request_id", F.array_join(
         F.transform("l", lambda s: s["old_article_idx"].cast("string")), ",\n ").alias("raw"))

@@ -32,14 +32,18 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
     check_args(min_support, max_len)
     g = list(group_cols)
     spark = baskets.sparkSession
-    b = normalize_baskets(baskets, g).persist(MEM_DISK)
+    # numeric basket ids keep tid-lists compact (8 bytes, cheap hashing);
+    # they are assigned on the written table, so every later read sees the
+    # same ids even if a task is retried
+    b = cut_lineage(normalize_baskets(baskets, g)).withColumn("tid", F.monotonically_increasing_id())
+    b = cut_lineage(b)
     th = thresholds(b, min_support, g)
     total = th.n if not g else th.table.agg(F.sum("n")).first()[0] or 0
     nb = buckets or max(1, math.ceil(total / tids_per_bucket))
 
-    occ = b.select(*g, "transaction_id", F.explode("items").alias("item"),
-                   F.pmod(F.xxhash64("transaction_id"), F.lit(nb)).cast("int").alias("bucket"))
-    v1 = occ.groupBy(*g, "item", "bucket").agg(F.sort_array(F.collect_list("transaction_id")).alias("tids"))
+    occ = b.select(*g, "tid", F.explode("items").alias("item"),
+                   F.pmod(F.xxhash64("tid"), F.lit(nb)).cast("int").alias("bucket"))
+    v1 = occ.groupBy(*g, "item", "bucket").agg(F.sort_array(F.collect_list("tid")).alias("tids"))
     v1 = v1.persist(MEM_DISK)
     l1 = cut_lineage(th.keep_frequent(v1.groupBy(*g, "item").agg(F.sum(F.size("tids")).alias("support_count"))))
     n1 = l1.count()
@@ -48,7 +52,7 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
     item_lists = v1.join(broadcast_if_small(l1.select(*g, "item"), known_rows=n1), [*g, "item"], "left_semi")
     item_lists = item_lists.select(*g, F.col("item").alias("ext"), "bucket", F.col("tids").alias("etids"))
     item_lists = item_lists.persist(MEM_DISK)
-    big = [b, v1, item_lists]
+    big = [v1, item_lists]
 
     levels = [l1.select(*g, F.array("item").alias("items"), "support_count")]
     prev_level = levels[0]

@@ -23,3 +23,12 @@ def test_last_n_keeps_order(spark):
                                      "old_article_idx int, new_item_idx int")
     seq = Q.last_n(df, 20).first()["sequence"]
     assert seq == list(range(10, 30))
+
+
+def test_rank_scores_by_scorer(spark):
+    catalog = spark.createDataFrame([(i, 100 + i, i, 10) for i in range(1, 5)],
+                                    "rank int, old_article_idx int, new_item_idx int, purchases bigint")
+    rows = [("m1", "s", 1, 0.9), ("m1", "s", 2, 0.1), ("m2", "s", 1, 0.1), ("m2", "s", 2, 0.9)]
+    scores = spark.createDataFrame(rows, "scorer string, customer_id string, new_item_idx int, score double")
+    got = {(r["scorer"], r["rank"]): r["new_item_idx"] for r in Q.rank_scores(scores, catalog, 1, by=["scorer"]).collect()}
+    assert got == {("m1", 1): 1, ("m2", 1): 2}

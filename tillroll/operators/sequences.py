@@ -141,19 +141,22 @@ def scores_from_last_item(last: DataFrame, transitions: DataFrame, key: str = "c
 
 
 def rank_scores(scores: DataFrame, catalog: DataFrame, k: int, seen: DataFrame | None = None,
-                key: str = "customer_id") -> DataFrame:
+                key: str = "customer_id", by: list[str] | None = None) -> DataFrame:
     """Top ``k`` (clamped to 1..20) per sequence: score desc, then lower id;
     id 0 and ids outside the catalogue never returned; ``seen`` (key, id)
-    blocked through an anti-join.  Each sequence has at most one score per
-    catalogue id, so the per-sequence window is bounded by the catalogue."""
+    blocked through an anti-join.  ``by`` adds partition columns, e.g. a
+    ``scorer`` column when one score table holds several models.  Each
+    (scorer, sequence) has at most one score per catalogue id, so the window
+    is bounded by the catalogue."""
     k = clamp_k(k)
+    part = [*(by or []), key]
     s = scores.filter(F.col("new_item_idx") != PADDING_ID)
     if seen is not None:
         s = s.join(seen.select(key, "new_item_idx"), [key, "new_item_idx"], "left_anti")
     s = s.join(_catalog_b(catalog).withColumnRenamed("rank", "catalog_rank"), "new_item_idx")
-    w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("new_item_idx"))
+    w = Window.partitionBy(*part).orderBy(F.desc("score"), F.asc("new_item_idx"))
     ranked = s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.select(key, F.col("rank").cast("int").alias("rank"), "new_item_idx", "old_article_idx",
+    return ranked.select(*part, F.col("rank").cast("int").alias("rank"), "new_item_idx", "old_article_idx",
                          "catalog_rank", "score")
 
 

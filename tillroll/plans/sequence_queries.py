@@ -160,6 +160,39 @@ def popularity_recommend(spark, sf_dir):
     return Q.popularity_recommend(ev, cat, TOP_K)
 
 
+_TOPK_SQL = f"""
+SELECT customer_id, CAST(rank AS INTEGER) AS rank, new_item_idx, old_article_idx, catalog_rank, score FROM (
+  SELECT sc.customer_id, sc.new_item_idx, c.old_article_idx, c.rank AS catalog_rank, sc.score,
+         row_number() OVER (PARTITION BY sc.customer_id ORDER BY sc.score DESC, sc.new_item_idx) AS rank
+  FROM sc JOIN cat c ON c.new_item_idx = sc.new_item_idx
+  WHERE sc.new_item_idx <> 0 AND NOT EXISTS (
+    SELECT 1 FROM seen s WHERE s.customer_id = sc.customer_id AND s.new_item_idx = sc.new_item_idx))
+WHERE rank <= {TOP_K}"""
+_POP_SQL = f"""
+SELECT customer_id, CAST(rank AS INTEGER) AS rank, new_item_idx, old_article_idx, catalog_rank, score FROM (
+  SELECT u.customer_id, p.*, row_number() OVER (PARTITION BY u.customer_id ORDER BY p.score DESC, p.new_item_idx) AS rank
+  FROM (SELECT DISTINCT customer_id FROM enc) u CROSS JOIN pop p
+  WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.customer_id = u.customer_id AND s.new_item_idx = p.new_item_idx))
+WHERE rank <= {TOP_K}"""
+_POP_CTE = """pop AS (SELECT new_item_idx, old_article_idx, rank AS catalog_rank,
+               CAST(purchases AS DOUBLE) / CAST((SELECT sum(purchases) FROM cat) AS DOUBLE) AS score FROM cat)"""
+
+
+@query("recommend_all_scorers", W(EV, CAT, ENC, TRS, LAST, _POP_CTE) + f"""
+SELECT 'transition' AS scorer, * FROM ({_TOPK_SQL})
+UNION ALL
+SELECT 'popularity' AS scorer, * FROM ({_POP_SQL})""")
+def recommend_all_scorers(spark, sf_dir):
+    """Several scorers in one result, ``scorer`` leading the ranking key."""
+    ev, cat = _setup(spark, sf_dir)
+    enc = Q.encode_zero(ev, cat)
+    scores = Q.scores_from_last_item(Q.last_event(Q.catalog_events(enc)), Q.transition_scores(ev, cat))
+    by_transition = Q.rank_scores(scores.withColumn("scorer", F.lit("transition")), cat, TOP_K,
+                                  seen=Q.seen_items(enc), by=["scorer"])
+    by_popularity = Q.popularity_recommend(ev, cat, TOP_K).select(F.lit("popularity").alias("scorer"), "*")
+    return by_transition.unionByName(by_popularity)
+
+
 HELD = f"""ccev AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY {ORD_DESC}) AS rn
               FROM enc WHERE new_item_idx <> 0),
 held AS (SELECT t.customer_id, t.new_item_idx AS target, p.new_item_idx AS prev_item

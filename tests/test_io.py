@@ -34,3 +34,43 @@ def test_csv_transactions_source_prunes_columns(spark):
     back = files.read_transactions_csv(spark, path)
     assert back.columns == ["t_dat", "customer_id", "article_id"]
     assert back.count() == tables.transactions(spark, SF).count()
+
+
+def test_sinks_round_trip(spark):
+    from tillroll.operators import mining, itemsets as IS, variants
+
+    baskets = spark.createDataFrame([("t1", ["0000000001", "0000000002"]), ("t2", ["0000000001", "0000000002"])],
+                                    "transaction_id string, items array<string>")
+    names = spark.createDataFrame([("0000000001", "Shirt")], "article_id string, prod_name string")
+    found = IS.with_product_names(mining.apriori(baskets, 0.5, 2), names)
+    path = ingest.scratch_path(spark, "itemsets")
+    files.write_itemsets(found, path)
+    back = {r["itemset_key"]: r["product_names"] for r in spark.read.option("header", True).csv(path).collect()}
+    assert back == {"0000000001": "Shirt", "0000000002": "0000000002", "0000000001 0000000002": "Shirt | 0000000002"}
+
+    summary = ingest.scratch_path(spark, "summary")
+    files.write_json(found.select("itemset_key", "support_count"), summary)
+    assert spark.read.json(summary).count() == 3
+
+    vb = spark.createDataFrame([("year_1996", "t", "c", "1996-01-02", ["a", "b"], 2)],
+                               "variant string, transaction_id string, customer_id string, t_dat string, "
+                               "items array<string>, item_count bigint")
+    vpath = ingest.scratch_path(spark, "variants")
+    files.write_variants(vb, vpath)
+    assert spark.read.parquet(vpath).filter("variant = 'year_1996'").count() == 1
+    assert variants.variant_manifest(vb).first()["rows"] == 1
+
+
+def test_catalog_and_metric_sources(spark, tmp_path):
+    cat = tmp_path / "top_items.csv"
+    cat.write_text("rank,old_article_idx,new_item_idx\n1,507,1\n2,712,2\n")
+    assert [tuple(r) for r in files.read_catalog_csv(spark, str(cat)).collect()] == [(1, 507, 1), (2, 712, 2)]
+    met = tmp_path / "metrics.csv"
+    met.write_text("Model,Loss,Accuracy (Top-1),Top-3 Accuracy,Top-5 Accuracy,Top-10 Accuracy,Top-20 Accuracy\n"
+                   "Popularity baseline,,0.02,,0.09,,\nModel A,3.5,0.25,0.36,0.42,0.49,0.58\n")
+    from tillroll.operators import evaluation as E
+    m = files.read_metric_table(spark, str(met))
+    kept = E.model_comparison(m).collect()
+    assert [r["model"] for r in kept] == ["Model A"]
+    best = E.best_model(E.model_comparison(m)).first()
+    assert best["best_top20_model"] == "Model A" and best["best_loss"] == 3.5

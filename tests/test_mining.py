@@ -111,3 +111,27 @@ def test_argument_checks(spark):
         mining.mine(df, 0.5, 0)
     with pytest.raises(ValueError):
         mining.mine(df, 0.5, 3, "nope")
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_rules_match_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    baskets = [rnd.sample(list("abcdefg"), rnd.randint(1, 5)) for _ in range(50)]
+    n = len(baskets)
+    counts = brute(baskets, 0.1, 4)
+    expected = {}
+    for key, c in counts.items():
+        items = key.split(" ")
+        for r in range(1, len(items)):
+            for ant in itertools.combinations(items, r):
+                con = [x for x in items if x not in ant]
+                s_ac, s_a, s_c = c / n, counts[" ".join(ant)] / n, counts[" ".join(con)] / n
+                conf = s_ac / s_a
+                if conf >= 0.3:
+                    expected[(" ".join(ant), " ".join(con))] = (conf, conf / s_c)
+    found = mining.apriori(baskets_df(spark, baskets), 0.1, 4)
+    got = {(r["antecedents"], r["consequents"]): (r["confidence"], r["lift"])
+           for r in R.association_rules(found, 0.3).collect()}
+    assert set(got) == set(expected)
+    for k, (conf, lift) in expected.items():
+        assert got[k][0] == pytest.approx(conf) and got[k][1] == pytest.approx(lift)

@@ -63,12 +63,12 @@ class Thresholds:
         ).drop("n")
 
 
-def thresholds(baskets: DataFrame, min_support: float, group_cols: list[str]) -> Thresholds:
+def thresholds(baskets: DataFrame, min_support: float, group_cols: list[str], cut=cut_lineage) -> Thresholds:
     if not group_cols:
         n = baskets.count()
         return Thresholds([], n=n, min_count=support_threshold(min_support, n))
     # one row per group: the number of groups bounds this table
-    table = cut_lineage(baskets.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).withColumn(
+    table = cut(baskets.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).withColumn(
         "min_count", F.ceil(F.lit(float(min_support)) * F.col("n").cast("double")).cast("bigint")))
     return Thresholds(group_cols, table=table, groups=table.count())
 

@@ -27,7 +27,7 @@ from tillroll.operators.mining.common import (
     check_args, empty_itemsets, finish, in_row_pairs, next_candidates, normalize_baskets, pair_candidates,
     thresholds,
 )
-from tillroll.session import broadcast_if_small, cut_lineage
+from tillroll.session import Scratch, broadcast_if_small, cut_lineage
 
 WIDE_WIDTH = 64
 MEM_DISK = StorageLevel.MEMORY_AND_DISK
@@ -43,12 +43,15 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
     check_args(min_support, max_len)
     g = list(group_cols)
     spark = baskets.sparkSession
+    scratch = Scratch(spark)
     b = normalize_baskets(baskets, g).persist(MEM_DISK)
-    th = thresholds(b, min_support, g)
+    th = thresholds(b, min_support, g, scratch.cut)
     occ1 = b.select(*g, "transaction_id", F.explode("items").alias("item"))
-    l1 = cut_lineage(th.keep_frequent(occ1.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("support_count"))))
+    l1 = scratch.cut(th.keep_frequent(occ1.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("support_count"))))
     n1 = l1.count()
     if n1 == 0:
+        b.unpersist()
+        scratch.clear()
         return empty_itemsets(spark, g)
     levels = [l1.select(*g, F.array("item").alias("itemset"), "support_count")]
     big: list[DataFrame] = [b]
@@ -83,13 +86,13 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
             # basket); a reliable checkpoint every third level bounds the
             # lineage of deep searches
             if k % 3 == 0 and k < max_len:
-                occ_n = cut_lineage(occ_n)
+                occ_n = scratch.cut(occ_n)
             both = occ_n.select(*g, "itemset")
             if occ_w is not None:
-                occ_w = cut_lineage(occ_w) if k % 3 == 0 else occ_w.persist(MEM_DISK)
+                occ_w = scratch.cut(occ_w) if k % 3 == 0 else occ_w.persist(MEM_DISK)
                 big.append(occ_w)
                 both = both.unionByName(occ_w.select(*g, "itemset"))
-            lk = cut_lineage(th.keep_frequent(_count(both, g)))
+            lk = scratch.cut(th.keep_frequent(_count(both, g)))
             nk = lk.count()
             if nk == 0:
                 break
@@ -97,7 +100,7 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
             if k >= max_len:
                 break
             k += 1
-            cand = cut_lineage(next_candidates(lk.select(*g, F.col("itemset").alias("items")), k, g))
+            cand = scratch.cut(next_candidates(lk.select(*g, F.col("itemset").alias("items")), k, g))
             nc = cand.count()
             if nc == 0:
                 break
@@ -120,4 +123,5 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
     result = cut_lineage(finish(out.withColumnRenamed("itemset", "items"), th, g))
     for df in big:
         df.unpersist()
+    scratch.clear()
     return result

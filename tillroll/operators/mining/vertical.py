@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tillroll.operators.mining.common import (
     check_args, empty_itemsets, finish, next_candidates, normalize_baskets, pair_candidates, thresholds,
 )
-from tillroll.session import broadcast_if_small, cut_lineage
+from tillroll.session import Scratch, broadcast_if_small, cut_lineage
 
 TIDS_PER_BUCKET = 50_000
 MEM_DISK = StorageLevel.MEMORY_AND_DISK
@@ -33,11 +33,11 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
     g = list(group_cols)
     spark = baskets.sparkSession
     # numeric basket ids keep tid-lists compact (8 bytes, cheap hashing);
-    # they are assigned on the written table, so every later read sees the
-    # same ids even if a task is retried
-    b = cut_lineage(normalize_baskets(baskets, g)).withColumn("tid", F.monotonically_increasing_id())
-    b = cut_lineage(b)
-    th = thresholds(b, min_support, g)
+    # they are fixed by writing the table once (a retried write task's output
+    # is discarded whole), so every later read sees the same ids
+    scratch = Scratch(spark)
+    b = scratch.cut(normalize_baskets(baskets, g).withColumn("tid", F.monotonically_increasing_id()))
+    th = thresholds(b, min_support, g, scratch.cut)
     total = th.n if not g else th.table.agg(F.sum("n")).first()[0] or 0
     nb = buckets or max(1, math.ceil(total / tids_per_bucket))
 
@@ -45,9 +45,11 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
                    F.pmod(F.xxhash64("tid"), F.lit(nb)).cast("int").alias("bucket"))
     v1 = occ.groupBy(*g, "item", "bucket").agg(F.sort_array(F.collect_list("tid")).alias("tids"))
     v1 = v1.persist(MEM_DISK)
-    l1 = cut_lineage(th.keep_frequent(v1.groupBy(*g, "item").agg(F.sum(F.size("tids")).alias("support_count"))))
+    l1 = scratch.cut(th.keep_frequent(v1.groupBy(*g, "item").agg(F.sum(F.size("tids")).alias("support_count"))))
     n1 = l1.count()
     if n1 == 0:
+        v1.unpersist()
+        scratch.clear()
         return empty_itemsets(spark, g)
     item_lists = v1.join(broadcast_if_small(l1.select(*g, "item"), known_rows=n1), [*g, "item"], "left_semi")
     item_lists = item_lists.select(*g, F.col("item").alias("ext"), "bucket", F.col("tids").alias("etids"))
@@ -60,7 +62,7 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
     for k in range(2, max_len + 1):
         cand = pair_candidates(l1, g).select(*g, F.array("a").alias("prefix"), F.col("b").alias("ext")) if k == 2 \
             else next_candidates(prev_level, k, g)
-        cand = cut_lineage(cand)
+        cand = scratch.cut(cand)
         nc = cand.count()
         if nc == 0:
             break
@@ -69,10 +71,10 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
         lists = joined.select(*g, F.concat("prefix", F.array("ext")).alias("prefix"), "bucket",
                               F.array_intersect("ptids", "etids").alias("ptids")).filter(F.size("ptids") > 0)
         # tid-list chunks are large: cached, checkpointed every third level
-        lists = cut_lineage(lists) if k % 3 == 0 else lists.persist(MEM_DISK)
+        lists = scratch.cut(lists) if k % 3 == 0 else lists.persist(MEM_DISK)
         big.append(lists)
         counts = lists.groupBy(*g, "prefix").agg(F.sum(F.size("ptids")).alias("support_count"))
-        lk = cut_lineage(th.keep_frequent(counts))
+        lk = scratch.cut(th.keep_frequent(counts))
         nk = lk.count()
         if nk == 0:
             break
@@ -83,4 +85,5 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
     result = cut_lineage(finish(out, th, g))
     for df in big:
         df.unpersist()
+    scratch.clear()
     return result

@@ -84,6 +84,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Scratch:
+    """Lineage cuts owned by one job, removed together when it is done.
+
+    Iterative miners write one small table per level; once their result is
+    written, those tables are dropped from the shared folder."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        out = cut_lineage(df)
+        self.paths.extend(sorted({f.rsplit("/", 1)[0] for f in out.inputFiles()}))
+        return out
+
+    def clear(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for p in dict.fromkeys(self.paths):
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+        self.paths.clear()
+
+
 def broadcast_if_small(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT,
                        known_rows: int | None = None) -> DataFrame:
     """Broadcast hint only behind a measured row count; otherwise leave the

@@ -63,6 +63,29 @@ def category_baskets(baskets: DataFrame, mapping: DataFrame, min_items: int = 2,
     ).filter(F.col("item_count") >= min_items)
 
 
+def category_variants(baskets: DataFrame, articles: DataFrame, specs: list[tuple[str, str, str]],
+                      min_items: int = 2, map_rows: int | None = None) -> DataFrame:
+    """Several category roll-ups in one pass: ``specs`` = (variant, column,
+    prefix).  Items are exploded once and joined once with a map carrying
+    every variant's token; rows are regrouped by (basket key, variant), which
+    the basket-key partitioning of the input already satisfies.  One shuffle
+    at most, instead of one per variant."""
+    tokens = F.array(*[
+        F.struct(F.lit(v).alias("variant"),
+                 F.concat(F.lit(prefix + "_"), safe_token(F.coalesce(F.col(col), F.lit("unknown")))).alias("category"))
+        for v, col, prefix in specs])
+    per_article = articles.select(zfill("article_id").alias("item"), tokens.alias("t"))
+    # duplicated ids keep the largest token per variant, as in article_category_map
+    m = per_article.select("item", F.inline("t")).groupBy("item", "variant").agg(F.max("category").alias("category"))
+    m = broadcast_if_small(m, known_rows=None if map_rows is None else map_rows * len(specs))
+    exploded = baskets.select("customer_id", "t_dat", "transaction_id", F.explode("items").alias("item"))
+    grouped = exploded.join(m, "item").groupBy("customer_id", "t_dat", "transaction_id", "variant").agg(
+        F.sort_array(F.collect_set("category")).alias("items"))
+    return grouped.select(
+        "variant", "transaction_id", "customer_id", "t_dat", "items", F.size("items").cast("bigint").alias("item_count")
+    ).filter(F.col("item_count") >= min_items)
+
+
 def customer_age_groups(customers: DataFrame, groups=AGE_GROUPS) -> DataFrame:
     """One age group per customer; null ages dropped; age truncated to int;
     bounds closed.  A customer id listed several times takes the *last*
@@ -105,6 +128,25 @@ def year_baskets(baskets: DataFrame, ranges=YEAR_RANGES, min_items: int = 2) ->
         F.col("_r.variant").alias("variant"), *BASKET_COLUMNS)
 
 
+def segment_variants(baskets: DataFrame, age_groups: DataFrame, ranges=YEAR_RANGES, min_items: int = 2,
+                     group_rows: int | None = None) -> DataFrame:
+    """Year-range and age-group variants in one pass: each basket gets the
+    array of its labels (matching ranges, then its customer's age group, via
+    a left join) and is exploded once per label.  The left join adds no
+    inferred filter below the basket aggregation, so this branch and the
+    category branch share one basket-building shuffle (exchange reuse)."""
+    lit_ranges = F.array(*[
+        F.struct(F.lit(k).alias("variant"), F.lit(s).alias("start"), F.lit(e).alias("end")) for k, s, e in ranges
+    ])
+    years = F.transform(F.filter(lit_ranges, lambda r: (F.col("t_dat") >= r["start"]) & (F.col("t_dat") <= r["end"])),
+                        lambda r: r["variant"])
+    b = baskets.filter(F.col("item_count") >= min_items)
+    j = b.join(broadcast_if_small(age_groups, known_rows=group_rows), "customer_id", "left")
+    labels = F.concat(years, F.when(F.col("age_group").isNotNull(), F.array("age_group")).otherwise(
+        F.array().cast("array<string>")))
+    return j.select(F.explode(labels).alias("variant"), *BASKET_COLUMNS)
+
+
 def with_variant(df: DataFrame, variant: str) -> DataFrame:
     return df.select(F.lit(variant).alias("variant"), *BASKET_COLUMNS)
 
@@ -115,14 +157,10 @@ def all_variants(baskets: DataFrame, articles: DataFrame, customers: DataFrame,
     Broadcast checks use the dimension row counts (answered from Parquet
     footers): a map derived from a dimension has at most as many rows."""
     n_articles, n_customers = articles.count(), customers.count()
-    parts = [year_baskets(baskets, min_items=min_items),
-             age_baskets(baskets, customer_age_groups(customers), min_items, n_customers)]
-    for key, column in CATEGORY_VARIANTS:
-        parts.append(with_variant(category_baskets(
-            baskets, article_category_map(articles, column, key), min_items, n_articles), key))
-    key, column = OUTFIT_VARIANT
-    parts.append(with_variant(category_baskets(
-        baskets, article_category_map(articles, column, key), min_items, n_articles), "outfit_category"))
+    specs = [(key, column, key) for key, column in CATEGORY_VARIANTS]
+    specs.append(("outfit_category", OUTFIT_VARIANT[1], OUTFIT_VARIANT[0]))
+    parts = [segment_variants(baskets, customer_age_groups(customers), min_items=min_items, group_rows=n_customers),
+             category_variants(baskets, articles, specs, min_items, n_articles)]
     return reduce(DataFrame.unionByName, parts)
 
 

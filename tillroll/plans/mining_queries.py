@@ -186,6 +186,13 @@ for _metric in R.SORT_METRICS:
     _top_rules_query(_metric)
 
 
+@query("rule_cards", _RULES_SQL + f"""SELECT {', '.join(RULE_OUT)} FROM rules
+ORDER BY lift DESC, confidence DESC, support DESC, antecedents, consequents LIMIT 6""")
+def rule_cards(spark, sf_dir):
+    """The six rule cards: the lift ordering cut at six."""
+    return R.top_rules(_rules(spark, sf_dir), "lift", 6).select(*RULE_OUT)
+
+
 @query("rule_metrics_extended", _RULES_SQL + f"SELECT {', '.join(EXTENDED_OUT)} FROM rules")
 def rule_metrics_extended(spark, sf_dir):
     return _rules(spark, sf_dir).select(*EXTENDED_OUT)

@@ -23,6 +23,9 @@ from tillroll.operators.prep import LINE_KEY
 from tillroll.session import ensure_checkpoint_dir
 
 
+WRITERS_PER_MONTH = 4
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint directory."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -68,7 +71,10 @@ def ingest_unique_lines(stream: DataFrame, table_path: str, checkpoint_location:
                     fresh = new.join(existing, [*LINE_KEY, "t_month"], "left_anti")
                 except Exception:  # noqa: BLE001 - first batch: no table yet
                     fresh = new
-                fresh.write.mode("append").partitionBy("t_month").parquet(table_path)
+                # a few writers per month (salted, so a hot month is still
+                # split) instead of every task writing every month's folder
+                salt = F.pmod(F.xxhash64(*LINE_KEY), F.lit(WRITERS_PER_MONTH))
+                fresh.repartition("t_month", salt).write.mode("append").partitionBy("t_month").parquet(table_path)
             new.unpersist()
 
         writer = stream.writeStream.foreachBatch(merge)

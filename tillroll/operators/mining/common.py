@@ -32,9 +32,15 @@ def normalize_baskets(baskets: DataFrame, group_cols: list[str]) -> DataFrame:
     """Distinct sorted items per basket; one hash shuffle on the basket key
     so that every later per-basket regroup (explode -> broadcast join ->
     group by basket) finds its input already clustered and adds no exchange."""
+    spark = baskets.sparkSession
+    # the result is cached and re-read every level, and AQE does not coalesce
+    # cached partitions: cap the width at a few tasks per core, while a
+    # cluster's own (wider) shuffle setting still applies below that cap
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
     return baskets.select(
         *group_cols, "transaction_id", F.sort_array(F.array_distinct("items")).alias("items")
-    ).repartition(*group_cols, "transaction_id")
+    ).repartition(n, *group_cols, "transaction_id")
 
 
 @dataclass

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import baskets as B
 from tillroll.operators import compare
 from tillroll.operators.mining import METHODS, mine
+from tillroll.session import cut_lineage
 
 DEFAULT_CONFIG = dict(max_baskets=50_000, top_items=500, min_items=2, min_support=0.01, max_len=3,
                       start_date=None, end_date=None)
@@ -70,7 +71,9 @@ def experiment_grid(baskets_text: DataFrame, configs: list[dict], base: dict | N
             results = run_methods(tx, args["min_support"], args["max_len"], methods)
             summary = method_summary(results, stats)
             common = compare.common_itemsets(compare.method_long(results), list(results)).scalar()
-            rows.append(summary.select(
+            # a few rows per config: written once, so the cached baskets of
+            # this config can be released before the next one runs
+            rows.append(cut_lineage(summary.select(
                 F.lit(name).alias("config"), "algorithm", "frequent_itemsets", "max_itemset_length",
                 "transactions", "unique_items",
                 # the parameters as given: 0 means "all"
@@ -82,7 +85,8 @@ def experiment_grid(baskets_text: DataFrame, configs: list[dict], base: dict | N
                 F.lit(args["start_date"]).cast("string").alias("start_date"),
                 F.lit(args["end_date"]).cast("string").alias("end_date"),
                 F.lit("ok").alias("status"), F.lit(None).cast("string").alias("error"),
-            ))
+            )))
+            tx.unpersist()
         except Exception as exc:  # noqa: BLE001 - recorded as an error row
             rows.append(spark.createDataFrame(
                 [(name, None, None, None, None, None, None, None, None, None, None, None, None, "error", str(exc)[:500])],

@@ -74,3 +74,16 @@ def test_catalog_and_metric_sources(spark, tmp_path):
     assert [r["model"] for r in kept] == ["Model A"]
     best = E.best_model(E.model_comparison(m)).first()
     assert best["best_top20_model"] == "Model A" and best["best_loss"] == 3.5
+
+
+def test_scratch_tables_are_removed(spark):
+    import os
+
+    from tillroll.session import Scratch
+
+    sc = Scratch(spark)
+    t = sc.cut(spark.range(10))
+    folder = sc.paths[0].replace("file:", "")
+    assert t.count() == 10 and os.path.isdir(folder)
+    sc.clear()
+    assert not os.path.exists(folder)

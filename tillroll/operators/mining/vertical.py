@@ -70,7 +70,7 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
         joined = with_prefix.join(item_lists, [*g, "ext", "bucket"])
         lists = joined.select(*g, F.concat("prefix", F.array("ext")).alias("prefix"), "bucket",
                               F.array_intersect("ptids", "etids").alias("ptids")).filter(F.size("ptids") > 0)
-        # tid-list chunks are large: cached, checkpointed every third level
+        # tid-list chunks are large: cached, written out every third level
         lists = scratch.cut(lists) if k % 3 == 0 else lists.persist(MEM_DISK)
         big.append(lists)
         counts = lists.groupBy(*g, "prefix").agg(F.sum(F.size("ptids")).alias("support_count"))

@@ -6,8 +6,6 @@ import math
 import os
 import tempfile
 
-from pyspark import StorageLevel
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

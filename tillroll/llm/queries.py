@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import exact_dedup, packing, token_orc
+from tillroll.llm import exact_dedup, packing, simhash, token_orc
 from tillroll.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     token_orc.write_token_orc(table(spark, sf_dir, "documents"), path, vocabulary())
     return token_orc.digests(spark, path)
+
+
+@query("op4_simhash_near_dedup")
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")

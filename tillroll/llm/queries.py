@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import exact_dedup, packing, simhash, token_orc
+from tillroll.llm import exact_dedup, mixing, packing, simhash, token_orc
 from tillroll.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_simhash_near_dedup")
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op5_mix_sources")
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.per_row(mixed).select("doc_id", "size", "source_size", "target", "taken", "source")

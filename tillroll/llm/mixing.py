@@ -5,8 +5,9 @@ documents; the whole part is taken outright, the rest is a copy probability.
 Pivotal rounding pairs two documents with fractional probabilities and moves
 probability from one to the other, at random in the direction that keeps both
 expectations, until one of the two is 0 or 1.  The move is weighed by size, so
-the pair's expected words stay the same to the last word, and a source ends at
-its target up to one document.
+the pair's expected words stay the same to the last word.  The one document of
+a source that is open at the end goes to the nearer side, so a source ends
+within half a document of its target.
 
 The pairing is a reduction tree.  Documents of a source are hashed into groups
 of about ``GROUP`` rows; a group is folded pair by pair and leaves one
@@ -153,7 +154,7 @@ def pivotal_round(items: DataFrame, group: int = GROUP, seed: int = 1) -> DataFr
         done = cut_lineage(_round_level(ready, level, seed))
         settled.append(done.select("source", F.explode("out").alias("o")).select("source", "o.*"))
         last = F.col("groups") == 1
-        final = _uniform(F.lit(seed), F.col("open.order"), F.col("open.doc_id"), F.col("open.size")) < F.col("open.p")
+        final = F.col("open.p") >= 0.5  # nothing is left to pair it with: the nearer side
         settled.append(done.filter(last).select("source", *[f"open.{c}" for c in fields],
                                                 final.cast("int").alias("up")))
         cur = done.filter(~last).select("source", F.ceil(F.col("groups") / group).cast("long").alias("groups"), "open.*")

@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import exact_dedup, mixing, packing, secret_scan, simhash, token_orc
+from tillroll.llm import ann, exact_dedup, mixing, packing, secret_scan, simhash, token_orc
 from tillroll.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +74,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_secret_scan")
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op8_nearest_neighbours")
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ann.build_index(ann.valid_vectors(table(spark, sf_dir, "embeddings")))
+    if index is None:
+        return ann.search(None, spark.range(0))
+    return ann.search(index, index.rows.filter(F.col("vec_id") % 20 == 0))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, exact_dedup, mixing, packing, secret_scan, simhash, token_orc
+from tillroll.llm import ann, exact_dedup, langid, mixing, packing, secret_scan, simhash, token_orc
 from tillroll.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     if index is None:
         return ann.search(None, spark.range(0))
     return ann.search(index, index.rows.filter(F.col("vec_id") % 20 == 0))
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

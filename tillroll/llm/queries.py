@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import ann, exact_dedup, langid, mixing, packing, secret_scan, simhash, token_orc
+from tillroll.llm import (ann, exact_dedup, langid, line_dedup, mixing, packing, quality, secret_scan, simhash,
+                          token_orc)
 from tillroll.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +77,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' source stands for the host, its languages for paths."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, table(spark, sf_dir, "labels"), docs["source"],
+                         F.concat_ws("/", docs["source"], docs["lang"]))
+
+
 @query("op8_nearest_neighbours")
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ann.build_index(ann.valid_vectors(table(spark, sf_dir, "embeddings")))
@@ -88,3 +97,29 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(table(spark, sf_dir, "documents"))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_line_dedup", """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i,
+         len(string_split(coalesce(text, ''), chr(10))) AS n
+  FROM documents),
+r AS (SELECT *, md5(lag(md5(line)) OVER w || md5(line)) AS rolling FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT *, CASE WHEN i = 0 OR (i BETWEEN 2 AND n - 2 AND rolling < lag(rolling) OVER w
+                                    AND rolling < lead(rolling) OVER w) THEN 1 ELSE 0 END AS starts
+      FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT *, sum(starts) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS chunk FROM s),
+k AS (SELECT doc_id, chunk, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, chunk),
+d AS (SELECT doc_id, chunk, lines,
+             lines >= 2 AND row_number() OVER (PARTITION BY body, lines >= 2 ORDER BY doc_id, chunk) > 1 AS gone FROM k),
+t AS (SELECT doc_id, count(*) FILTER (gone) AS removed_chunks, coalesce(sum(lines) FILTER (gone), 0) AS removed_lines
+      FROM d GROUP BY doc_id),
+x AS (SELECT c.doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM c JOIN d USING (doc_id, chunk)
+      WHERE NOT gone GROUP BY c.doc_id)
+SELECT t.doc_id, m.n::INT AS n_lines, t.removed_chunks::INT AS removed_chunks, t.removed_lines::INT AS removed_lines,
+       coalesce(x.text, '') AS text
+FROM t JOIN (SELECT doc_id, any_value(n) AS n FROM l GROUP BY doc_id) m USING (doc_id) LEFT JOIN x USING (doc_id)
+""")
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))

@@ -3,21 +3,34 @@
 The library's word vocabulary cuts texts at white space before anything else,
 so a text's ids are its words' ids one after the other.  A worker keeps the
 ids of the words it has met (two generations of a bounded dict) and sends only
-new words to the library; texts are split at the ASCII blanks alone, which the
-library treats as white space too, so what other blanks and signs do is left
+new words to the library.  Texts are split at the ASCII blanks alone, which
+the library treats as white space too; what other blanks and signs do is left
 to it.  Lower-casing A-Z first changes nothing (the vocabulary lower-cases)
 except for spelled-out special tokens, so texts that hold ``<|`` skip it.
+
+A word of Latin letters is one piece to the library's splitter and needs no
+normalising, so it goes to the library's model directly, which costs a third;
+a run of signs behind it is a piece of its own.
 """
 
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 
-MEMO_WORDS = 400_000   # of each of the two generations
+MEMO_WORDS = 250_000   # of each of the two generations
 MEMO_BYTES = 64        # longer words are not kept
+# signs that end a word; an apostrophe may begin a contraction, so it is not one
+SIGNS = string.punctuation.replace("'", "").encode()
+# the model's letters for the bytes of UTF-8: printable ones stand for
+# themselves, the others follow from 256 on
+_OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+BYTE_LETTERS = "".join(chr(256 + _OTHERS.index(b) if b in _OTHERS else b) for b in range(256))
+ID_BYTES: list[bytes] = []  # of every id of the vocabulary
 SLICE_BYTES = 4 << 20  # texts are handled in slices of about this size
 
 
@@ -29,39 +42,61 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
+        while len(ID_BYTES) < self.tok.get_vocab_size():
+            ID_BYTES.append(len(ID_BYTES).to_bytes(4, "little"))
+        self.signs: dict[bytes, bytes] = {}
         self.memo: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of ``words`` are in the memo afterwards; those too long to keep
-        are returned apart."""
-        fresh = []
-        for w in words:
-            v = self.old.get(w)
+    def _whole(self, word: bytes) -> bytes:
+        return array("I", self.tok.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
+
+    def _plain(self, word: bytes) -> bytes | None:
+        """Ids of a word of Latin letters with nothing but signs behind it;
+        None for any other word."""
+        base = word if word.isalpha() else word.rstrip(SIGNS)
+        if base.isalpha():  # A-Z and a-z alone
+            text = base.lower().decode()
+        else:
+            text = base.decode("utf-8", "replace")
+            if not text.isalpha() or max(text) > "\xff":
+                return None
+            text = charmap_decode(text.lower().encode(), "strict", BYTE_LETTERS)[0]
+        ids = b"".join([ID_BYTES[t.id] for t in self.model.tokenize(text)])
+        if len(base) == len(word):
+            return ids
+        signs = word[len(base):]
+        if signs not in self.signs:
+            if len(self.signs) > 10_000:
+                self.signs.clear()
+            self.signs[signs] = self._whole(signs)
+        return ids + self.signs[signs]
+
+    def _ids(self, word: bytes) -> bytes:
+        """Ids of a word that is not in the memo; short ones are kept."""
+        v = self.old.get(word)
+        if v is None:
+            v = self._plain(word) if len(word) <= MEMO_BYTES else None
             if v is None:
-                fresh.append(w)
-            else:
-                self.memo[w] = v
-        apart = {}
-        if fresh:
-            got = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
-            for w, e in zip(fresh, got):
-                (self.memo if len(w) <= MEMO_BYTES else apart)[w] = array("I", e.ids).tobytes()
-        return apart
+                v = self._whole(word)
+            if len(word) > MEMO_BYTES:
+                return v
+        self.memo[word] = v
+        return v
+
+    def encode(self, text: bytes) -> bytes:
+        words = (text.lower() if b"<|" not in text else text).split()
+        found = list(map(self.memo.get, words))
+        if None in found:
+            if len(self.memo) > MEMO_WORDS:
+                self.old, self.memo = self.memo, {}
+            get, ids = self.memo.get, self._ids
+            found = [v if v is not None else (get(w) or ids(w)) for v, w in zip(found, words)]
+        return b"".join(found)
 
     def encode_many(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.memo) > MEMO_WORDS:
-            self.old, self.memo = self.memo, {}
-        split = [(t.lower() if b"<|" not in t else t).split() for t in texts]
-        need: set[bytes] = set()
-        for words in split:
-            need.update(words)
-        apart = self._learn(need.difference(self.memo))
-        if apart:
-            memo = self.memo
-            return [b"".join([memo[w] if w in memo else apart[w] for w in words]) for words in split]
-        get = self.memo.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return list(map(self.encode, texts))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

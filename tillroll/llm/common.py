@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.session import BROADCAST_ROW_LIMIT
@@ -65,3 +70,30 @@ def drop_rows(docs: DataFrame, row_key: list[Column], names: list[str], dropped:
         many = left.join(r, cond, "left_semi").dropDuplicates(names)
         left = once.unionByName(many)
     return left.select(*[left[f"`{c}`"] for c in cols])
+
+
+_SHIPPED: set[str] = set()  # applications that have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, in the way
+    ``--py-files`` does."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(top)}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with the package at hand in the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import text_or_empty
+from tillroll.llm.common import map_arrow, text_or_empty
 from tillroll.session import cut_lineage
 
 CAPACITY = 4096
@@ -60,7 +60,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
-    return src.mapInArrow(cut, PIECES)
+    return map_arrow(src, cut, PIECES)
 
 
 class _Plan:
@@ -190,7 +190,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                  pa.array(at[:, 5] + (nth % at[:, 4]) * length)],
                 [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(look_up, PIECES + ", sequence_id long, offset long")
+    return map_arrow(ranked, look_up, PIECES + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:

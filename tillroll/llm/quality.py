@@ -28,7 +28,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import broadcast_checked, text_or_empty
+from tillroll.llm.common import broadcast_checked, map_arrow, text_or_empty
 from tillroll.session import cut_lineage
 
 SAMPLE_ROWS = 20_000
@@ -68,7 +68,7 @@ def features(docs: DataFrame, host: Column, path: Column) -> DataFrame:
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), host.cast("string").alias("host"),
                       path.cast("string").alias("path"), text_or_empty(docs).alias("text"))
-    return src.mapInArrow(measure, "doc_id long, host string, path string, x array<double>")
+    return map_arrow(src, measure, "doc_id long, host string, path string, x array<double>")
 
 
 def fit_logistic(x, y, ridge: float = 1.0, rounds: int = 30):

@@ -33,7 +33,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import broadcast_checked, drop_rows, text_or_empty
+from tillroll.llm.common import broadcast_checked, drop_rows, map_arrow, text_or_empty
 from tillroll.llm.components import components
 from tillroll.session import cut_lineage
 
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, words_per: int = SHINGLE_WORDS) -> DataFrame:
     text = text_or_empty(docs)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"),
                       F.octet_length(text).alias("len"), text.alias("text"))
-    return src.mapInArrow(hashed, "doc_id long, h long, len int, fp long")
+    return map_arrow(src, hashed, "doc_id long, h long, len int, fp long")
 
 
 def _entries(fps: DataFrame, max_bits: int, key_bytes: int) -> DataFrame:
@@ -192,8 +192,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, key_bytes: int = KEY_BYTES,
     if n_large:
         by = broadcast_checked(large, n_large)
         plain = entries.join(by, "key", "left_anti")
-    out = plain.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(
-        _entry_links(max_bits), "a long, b long")
+    out = map_arrow(plain.repartition("key").sortWithinPartitions("key", "fp"), _entry_links(max_bits),
+                    "a long, b long")
     if n_large:
         hot = entries.join(by, "key", "left_semi").select("fp").distinct()
         out = out.union(_midpoint_links(cut_lineage(hot), max_bits))

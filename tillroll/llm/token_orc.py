@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import text_or_empty
+from tillroll.llm.common import map_arrow, text_or_empty
 from tillroll.session import cut_lineage
 
 END_ID = 1
@@ -50,7 +50,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str, end_id: int = EN
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
     ranged = src.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    (ranged.mapInArrow(encode, LAYOUT).write.mode("overwrite")
+    (map_arrow(ranged, encode, LAYOUT).write.mode("overwrite")
      .option("compression", compression)
      .option("orc.stripe.size", str(stripe_bytes))
      .option("orc.row.index.stride", str(index_rows))
@@ -90,7 +90,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
                  pa.array(crcs, pa.int64())], ["file", "doc_id", "seq", "n_tokens", "ids_crc32"])
 
     raw = read_token_orc(spark, path).select(F.col("_metadata.file_name").alias("file"), "doc_id", "seq", "ids")
-    rows = cut_lineage(raw.mapInArrow(check, "file string, doc_id long, seq long, n_tokens long, ids_crc32 long"))
+    rows = cut_lineage(map_arrow(raw, check, "file string, doc_id long, seq long, n_tokens long, ids_crc32 long"))
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"), F.min("doc_id").alias("low"),
                                      F.max(F.col("doc_id").isNull()).alias("has_null"))
     # one row per file

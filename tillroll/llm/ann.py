@@ -29,12 +29,13 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import map_arrow
 from tillroll.session import cut_lineage
 
 K = 20
 EPS = 3.0
 QUERY_ROWS = 4096
-CENTRE_ROWS = 10_000  # the centre is fitted on so many vectors at most
+CENTRE_ROWS = 10_000  # vectors at most on which the centre is fitted and first bounds are taken
 SCAN_ROWS = 2048
 SEED = 7
 
@@ -69,10 +70,10 @@ def _matrix(column):
 
 class CodeIndex:
     """The index table (vec_id, vector, code, length, overlap) and what is
-    needed to ask it."""
+    needed to ask it; ``sample`` holds a bounded number of (ids, vectors)."""
 
-    def __init__(self, rows: DataFrame, centre, seed: int):
-        self.rows, self.centre, self.seed = rows, centre, seed
+    def __init__(self, rows: DataFrame, centre, sample, seed: int):
+        self.rows, self.centre, self.sample, self.seed = rows, centre, sample, seed
 
 
 def build_index(vectors: DataFrame, seed: int = SEED, centre_rows: int = CENTRE_ROWS) -> CodeIndex | None:
@@ -80,10 +81,12 @@ def build_index(vectors: DataFrame, seed: int = SEED, centre_rows: int = CENTRE_
     import numpy as np
 
     vectors = cut_lineage(vectors)
-    some = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(centre_rows).select("vector").collect()
+    some = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(centre_rows).collect()
     if not some:
         return None
-    centre = np.array([r[0] for r in some], dtype=np.float64).mean(axis=0)
+    sample = (np.array([r["vec_id"] for r in some], dtype=np.int64),
+              np.array([r["vector"] for r in some], dtype=np.float64))
+    centre = sample[1].mean(axis=0)
     dim = len(centre)
 
     def encode(batches: Iterator) -> Iterator:
@@ -102,8 +105,8 @@ def build_index(vectors: DataFrame, seed: int = SEED, centre_rows: int = CENTRE_
                 ["vec_id", "vector", "code", "length", "overlap"])
 
     kind = vectors.schema["vector"].dataType.simpleString()
-    rows = vectors.mapInArrow(encode, f"vec_id long, vector {kind}, code binary, length double, overlap double")
-    return CodeIndex(cut_lineage(rows), centre, seed)
+    rows = map_arrow(vectors, encode, f"vec_id long, vector {kind}, code binary, length double, overlap double")
+    return CodeIndex(cut_lineage(rows), centre, sample, seed)
 
 
 def _best(k, ids, scores, who):
@@ -119,51 +122,74 @@ def _best(k, ids, scores, who):
     return ids[keep], scores[keep], who[keep]
 
 
+def _sample_bound(index: CodeIndex, q_ids, q_vec, k: int):
+    """For every query the k-th best score among the sample: the k-th best of
+    the whole table is at least that."""
+    import numpy as np
+
+    ids, vectors = index.sample
+    if len(ids) <= k:
+        return np.full(len(q_ids), -np.inf)
+    out = np.empty(len(q_ids))
+    for at in range(0, len(q_ids), 512):
+        scores = q_vec[at:at + 512] @ vectors.T
+        scores[q_ids[at:at + 512, None] == ids] = -np.inf
+        out[at:at + 512] = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k]
+    return out
+
+
 def _scan(index: CodeIndex, q_ids, q_vec, k: int, eps: float, scan_rows: int):
-    """mapInArrow function: k best rows of a task for every query of a block."""
+    """mapInArrow function: k best rows of a task for every query of a block.
+
+    Scores and bounds are compared per unit of the query's length, so that
+    estimate, error bound and the score to reach come out of one product of
+    the codes (with two more columns) and the rotated queries."""
     import numpy as np
 
     centre, seed, dim = index.centre, index.seed, len(index.centre)
-
-    def exact(v, i, j):
-        return np.concatenate([np.einsum("ij,ij->i", v[i[a:a + 65536]], q_vec[j[a:a + 65536]])
-                               for a in range(0, len(i), 65536)] or [np.empty(0)])
+    bound = _sample_bound(index, q_ids, q_vec, k)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        turned = (q_vec @ rotation(dim, seed).T).astype(np.float32).T / math.sqrt(dim)
-        at_centre = (q_vec @ centre).astype(np.float32)
-        q_len = np.linalg.norm(q_vec, axis=1).astype(np.float32)
+        q_len = np.maximum(np.linalg.norm(q_vec, axis=1), 1e-300)
+        slack = 1e-5  # of single precision, per unit of both lengths
+        asked = np.empty((len(q_ids), dim + 2), dtype=np.float32)
+        asked[:, :dim] = (q_vec @ rotation(dim, seed).T) / math.sqrt(dim) / q_len[:, None]
+        asked[:, dim] = 1
+        at_centre = (q_vec @ centre) / q_len
         ids, scores, who = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
-        least = np.full(len(q_ids), -np.inf, dtype=np.float32)
-        slack = np.float32(1e-5)  # of single precision
+        least = bound.copy()
         for batch in batches:
             for at in range(0, len(batch), scan_rows):
                 part = batch.slice(at, scan_rows)
                 vec_id, v = part.column(0).to_numpy(), _matrix(part.column(1))
                 code = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(len(part), -1)
-                signs = np.unpackbits(code, axis=1, count=dim).astype(np.float32) * 2 - 1
                 length, overlap = part.column(3).to_numpy(), part.column(4).to_numpy()
-                reach = length * eps * np.sqrt(np.maximum(0, 1 - overlap ** 2) / overlap ** 2 / max(1, dim - 1))
-                guess = (signs * (length / overlap).astype(np.float32)[:, None]) @ turned + at_centre
-                guess[vec_id[:, None] == q_ids] = -np.inf  # the query's own row
-                if np.isneginf(least).any() and len(part) > k:
-                    # nothing to compare with yet: take the k best guesses first
-                    top = np.argpartition(-guess, k, axis=0)[:k]
-                    j = np.broadcast_to(np.arange(len(q_ids)), top.shape).ravel()
-                    low = exact(v, top.ravel(), j).reshape(k, -1).min(axis=0)
-                    low[np.isneginf(np.take_along_axis(guess, top, axis=0)).any(axis=0)] = -np.inf
-                    least = np.maximum(least, low.astype(np.float32) - slack * q_len)
-                top = guess + (reach.astype(np.float32)[:, None] + slack * np.maximum(1, length)[:, None]
-                               .astype(np.float32)) * q_len
-                i, j = np.nonzero((top >= least) & ~np.isneginf(guess))
-                ids, scores, who = _best(k, np.concatenate([ids, vec_id[i]]), np.concatenate([scores, exact(v, i, j)]),
-                                         np.concatenate([who, j]))
-                n = np.bincount(who, minlength=len(q_ids))
-                ends = np.cumsum(n)
-                full = np.flatnonzero(n == k)
-                least[full] = np.maximum(least[full], scores[ends[full] - 1].astype(np.float32) - slack * q_len[full])
+                size = np.linalg.norm(v, axis=1)
+                rows = np.empty((dim + 2, len(part)), dtype=np.float32)
+                rows[:dim] = (np.unpackbits(code, axis=1, count=dim).astype(np.float32).T * 2 - 1) * (length / overlap)
+                rows[dim] = length * eps * np.sqrt(np.maximum(0, 1 - overlap ** 2) / overlap ** 2 / max(1, dim - 1)) \
+                    + slack * np.maximum(1, size)
+                rows[dim + 1] = 1
+                asked[:, dim + 1] = np.clip(at_centre - least / q_len, -1e30, 1e30)
+                j, i = np.nonzero(asked @ rows >= 0)
+                found_i, found_j = [], []
+                ends = np.cumsum(np.bincount(j, minlength=len(q_ids)))
+                for q in np.flatnonzero(np.diff(ends, prepend=0)):
+                    near = i[(ends[q - 1] if q else 0):ends[q]]
+                    good = near[(v[near] @ q_vec[q] >= least[q] - 1e-9 * q_len[q]) & (vec_id[near] != q_ids[q])]
+                    found_i.append(good)
+                    found_j.append(np.full(len(good), q))
+                if found_i:
+                    i, j = np.concatenate(found_i), np.concatenate(found_j)
+                    # one order of summation for all, so equal vectors score equally
+                    exact = np.einsum("ij,ij->i", v[i], q_vec[j])
+                    ids, scores, who = _best(k, np.concatenate([ids, vec_id[i]]), np.concatenate([scores, exact]),
+                                             np.concatenate([who, j]))
+                    n = np.bincount(who, minlength=len(q_ids))
+                    full = np.flatnonzero(n == k)
+                    least[full] = np.maximum(least[full], scores[np.cumsum(n)[full] - 1])
         yield pa.RecordBatch.from_arrays([pa.array(q_ids[who]), pa.array(ids), pa.array(scores)],
                                          ["query_id", "vec_id", "score"])
 
@@ -189,8 +215,8 @@ def search(index: CodeIndex | None, queries: DataFrame, k: int = K, eps: float =
                 continue
             q_ids = np.array([r["vec_id"] for r in rows], dtype=np.int64)
             q_vec = np.array([r["vector"] for r in rows], dtype=np.float64)
-            parts.append(index.rows.mapInArrow(_scan(index, q_ids, q_vec, k, eps, scan_rows),
-                                               "query_id long, vec_id long, score double"))
+            parts.append(map_arrow(index.rows, _scan(index, q_ids, q_vec, k, eps, scan_rows),
+                                   "query_id long, vec_id long, score double"))
     if not parts:
         return spark.range(0).selectExpr("id AS query_id", "cast(0 AS int) AS rank", "id AS vec_id",
                                          "cast(0 AS double) AS score")

@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from tillroll.operators import prep
 from tillroll.sources import files, tables
 from tillroll.streaming import ingest
 
@@ -19,13 +21,62 @@ def test_run_log_latest_first(spark):
     assert [r["run_id"] for r in got] == ["20240102_000000", "20240102_000000", "20240101_000000"]
 
 
-def test_stateful_ingest_matches_batch_distinct(spark):
-    stream = ingest.lines_stream(spark, f"{SF}/lineitem.parquet", tables.table(spark, SF, "orders"))
-    out = ingest.scratch_path(spark, "lines-state")
-    ingest.ingest_unique_lines(stream, out, ingest.scratch_path(spark, "lines-state-ckpt"), mode="state")
-    from tillroll.operators import prep
-    expected = prep.dedupe_transactions(tables.transactions(spark, SF)).count()
-    assert spark.read.parquet(out).count() == expected
+def test_ingest_keeps_files_of_any_age_and_replays(spark):
+    """One file a year, read in mixed order, then all of it again."""
+    lines = tables.table(spark, SF, "lineitem").join(
+        tables.table(spark, SF, "orders").select("o_orderkey", F.year("o_orderdate").alias("y")),
+        F.col("l_orderkey") == F.col("o_orderkey"))
+    inbox, out = ingest.scratch_path(spark, "inbox"), ingest.scratch_path(spark, "lines")
+    for year in (2001, 2000, 1995, 1996):
+        lines.filter(F.col("y") == year).drop("o_orderkey", "y").coalesce(1).write.mode("append").parquet(inbox)
+    expected = prep.dedupe_transactions(tables.transactions(spark, SF)).filter(
+        F.substring("t_dat", 1, 4).isin("2001", "2000", "1995", "1996")).count()
+    orders = tables.table(spark, SF, "orders")
+    for run in ("first", "again"):  # a new checkpoint replays every file
+        stream = ingest.lines_stream(spark, inbox, orders, max_files_per_trigger=1)
+        ingest.ingest_unique_lines(stream, out, ingest.scratch_path(spark, f"ckpt-{run}"), rows_per_writer=50)
+        assert ingest.read_unique_lines(spark, out).count() == expected
+
+
+def test_csv_readers(spark):
+    path = ingest.scratch_path(spark, "csv-in")
+    spark.createDataFrame([("7", "A \"b\", c", "Top", "x"), ("8", "D", "Hat", "y")],
+                          "article_id string, prod_name string, product_group_name string, other string"
+                          ).write.option("header", True).option("escape", '"').csv(f"{path}/articles")
+    arts = files.read_articles_csv(spark, f"{path}/articles").orderBy("article_id").collect()
+    assert [(r["article_id"], r["prod_name"], r["section_name"]) for r in arts] == [
+        ("7", 'A "b", c', None), ("8", "D", None)]
+    spark.createDataFrame([("c1", "31.5"), ("c2", "old")], "customer_id string, age string").write.option(
+        "header", True).csv(f"{path}/customers")
+    cust = files.read_customers_csv(spark, f"{path}/customers").orderBy("customer_id").collect()
+    assert [(r["customer_id"], r["age"]) for r in cust] == [("c1", 31.5), ("c2", None)]
+
+
+def test_stored_baskets_prune_years(spark):
+    path = ingest.scratch_path(spark, "pruned")
+    files.write_baskets(prep.build_baskets(tables.transactions(spark, SF)), path)
+    back = files.read_baskets(spark, path).filter(F.col("t_year") >= "1996")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(t_year" in plan and back.count() > 0
+
+
+def test_experiment_error_row_keeps_parameters(spark):
+    baskets = spark.createDataFrame([("t", "c", "1996-01-01", "1 2")],
+                                    "transaction_id string, customer_id string, t_dat string, items string")
+    from tillroll.operators import experiments
+
+    configs = [dict(name="bad", min_support=7.0, top_items=0, max_baskets=0, max_len=2, start_date="x" * 2000),
+               dict(name="late", top_items=0, max_baskets=0)]
+    sink = ingest.scratch_path(spark, "log")
+    rows = experiments.experiment_grid(baskets, configs, methods=("apriori",), sink=sink).collect()
+    assert [(r["config"], r["status"], r["min_support"], r["max_len"]) for r in rows] == [("bad", "error", 7.0, 2)]
+    assert len(rows[0]["start_date"]) == 2000 and rows[0]["error"]
+    long = experiments._error_row(spark, "long", experiments.build_args({}, {}), ValueError("y" * 2000)).first()
+    assert long["error"] == "y" * 2000
+    both = experiments.experiment_grid(baskets, configs, methods=("apriori",), continue_on_error=True, timed=True,
+                                       sink=sink).collect()
+    assert [r["status"] for r in both] == ["error", "ok"] and both[1]["fastest"] and both[1]["elapsed_seconds"] > 0
+    assert files.read_experiments(spark, sink).count() == 3
 
 
 def test_csv_transactions_source_prunes_columns(spark):
@@ -58,13 +109,15 @@ def test_sinks_round_trip(spark):
     vpath = ingest.scratch_path(spark, "variants")
     files.write_variants(vb, vpath)
     assert spark.read.parquet(vpath).filter("variant = 'year_1996'").count() == 1
-    assert variants.variant_manifest(vb).first()["rows"] == 1
+    manifest = {r["key"]: r for r in variants.variant_manifest(vb, "/v/").collect()}
+    assert manifest["year_1996"]["rows"] == 1 and manifest["year_1996"]["path"] == "/v/variant=year_1996"
+    assert manifest["base"]["rows"] is None and len(manifest) == 2
 
 
 def test_catalog_and_metric_sources(spark, tmp_path):
     cat = tmp_path / "top_items.csv"
-    cat.write_text("rank,old_article_idx,new_item_idx\n1,507,1\n2,712,2\n")
-    assert [tuple(r) for r in files.read_catalog_csv(spark, str(cat)).collect()] == [(1, 507, 1), (2, 712, 2)]
+    cat.write_text("rank,old_article_idx,new_item_idx\n1,4100,1\n2,37,2\n")
+    assert [tuple(r) for r in files.read_catalog_csv(spark, str(cat)).collect()] == [(1, 4100, 1), (2, 37, 2)]
     met = tmp_path / "metrics.csv"
     met.write_text("Model,Loss,Accuracy (Top-1),Top-3 Accuracy,Top-5 Accuracy,Top-10 Accuracy,Top-20 Accuracy\n"
                    "Popularity baseline,,0.02,,0.09,,\nModel A,3.5,0.25,0.36,0.42,0.49,0.58\n")
@@ -76,14 +129,25 @@ def test_catalog_and_metric_sources(spark, tmp_path):
     assert best["best_top20_model"] == "Model A" and best["best_loss"] == 3.5
 
 
-def test_scratch_tables_are_removed(spark):
-    import os
+def test_scratch_tables_are_emptied(spark):
+    import glob
 
     from tillroll.session import Scratch
 
-    sc = Scratch(spark)
-    t = sc.cut(spark.range(10))
-    folder = sc.paths[0].replace("file:", "")
-    assert t.count() == 10 and os.path.isdir(folder)
-    sc.clear()
-    assert not os.path.exists(folder)
+    with pytest.raises(ZeroDivisionError):
+        with Scratch(spark) as scratch:
+            t = scratch.cut(spark.range(10))
+            scratch.hold(spark.range(5)).count()
+            folder = scratch.paths[0].replace("file:", "")
+            assert t.count() == 10
+            raise ZeroDivisionError
+    assert spark.read.parquet(folder).count() == 0 and not scratch.held
+    assert len(glob.glob(f"{folder}/part-*")) <= 1
+
+
+def test_broadcast_is_bounded_by_bytes(spark):
+    from tillroll.session import broadcast_if_small, fits_broadcast
+
+    wide = spark.range(50).select(F.repeat(F.lit("x"), 10_000).alias("s"))
+    assert not fits_broadcast(wide, byte_limit=100_000) and fits_broadcast(wide)
+    assert broadcast_if_small(wide, row_limit=10) is wide

@@ -6,12 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tillroll.plans import ORACLE, QUERIES
 from tests.test_plans import assert_plan_is_scalable
 from tools.oracle_check import TABLES, digest
 
 SF = os.environ.get("TILLROLL_TEST_SF", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +23,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):

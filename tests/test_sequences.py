@@ -32,3 +32,46 @@ def test_rank_scores_by_scorer(spark):
     scores = spark.createDataFrame(rows, "scorer string, customer_id string, new_item_idx int, score double")
     got = {(r["scorer"], r["rank"]): r["new_item_idx"] for r in Q.rank_scores(scores, catalog, 1, by=["scorer"]).collect()}
     assert got == {("m1", 1): 1, ("m2", 1): 2}
+
+
+CATALOG = "rank int, old_article_idx int, new_item_idx int, purchases bigint"
+
+
+def test_popularity_uses_the_whole_catalogue(spark):
+    """200 items, a customer who has seen the first 150: ten more follow."""
+    catalog = spark.createDataFrame([(i, 1000 + i, i, 500 - i) for i in range(1, 201)], CATALOG)
+    events = spark.createDataFrame([("c", None, i, 1, 1000 + i) for i in range(1, 151)] + [("new", None, 1, 1, 5)],
+                                   "customer_id string, order_ts timestamp, order_key bigint, line_no int, "
+                                   "old_article_idx int")
+    got = Q.popularity_recommend(events, catalog, 50).collect()
+    ranks = {c: sorted((r["rank"], r["new_item_idx"]) for r in got if r["customer_id"] == c) for c in ("c", "new")}
+    assert ranks["c"] == [(i, 150 + i) for i in range(1, 51)]
+    assert ranks["new"] == [(i, i) for i in range(1, 51)]
+
+
+def test_no_cut_inside_the_operators(spark):
+    catalog = spark.createDataFrame([(i, 100 + i, i, 10) for i in range(1, 61)], CATALOG)
+    scores = spark.createDataFrame([("s", i, float(i)) for i in range(1, 61)],
+                                   "customer_id string, new_item_idx int, score double")
+    assert Q.rank_scores_allow_seen(scores, catalog, 50).count() == 50
+    assert Q.rank_scores(scores, catalog, 50).count() == 50
+    assert Q.answer_request(scores, catalog, 50).count() == 20
+
+
+def test_blank_request_keeps_its_row(spark):
+    catalog = spark.createDataFrame([(1, 7, 1, 3)], CATALOG)
+    raw = spark.createDataFrame([("blank", " , ,"), ("mixed", "7, x 8"), ("empty", None)], "request_id string, raw string")
+    got = {r["request_id"]: r for r in Q.encode_drop(Q.parse_requests(raw), catalog).collect()}
+    assert got["blank"]["status"] == "error" and got["blank"]["unknown_article_ids"] == []
+    assert got["empty"]["status"] == "error"
+    assert got["mixed"]["input_article_ids"] == [7] and got["mixed"]["unknown_article_ids"] == ["x", "8"]
+
+
+def test_ids_that_are_no_integers_are_unknown(spark):
+    lines = spark.createDataFrame([("c", None, 1, 1, "12"), ("c", None, 2, 1, "a12")],
+                                  "customer_id string, order_ts timestamp, order_key bigint, sales_channel_id int, "
+                                  "article_id string")
+    events = Q.sequence_lines(lines)
+    catalog = Q.item_catalog(events)
+    assert [r["old_article_idx"] for r in catalog.collect()] == [12]
+    assert sorted(r["new_item_idx"] for r in Q.encode_zero(events, catalog).collect()) == [0, 1]

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import parse_items
+from tillroll.operators.prep import first_rows
+from tillroll.session import broadcast_if_small
 
 
 def date_filter(baskets: DataFrame, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
@@ -26,14 +28,10 @@ def date_filter(baskets: DataFrame, start_date: str | None = None, end_date: str
 
 
 def first_n(baskets: DataFrame, max_baskets: int | None) -> DataFrame:
-    """First ``max_baskets`` baskets in (day, customer) order; 0/None = all.
-
-    ``orderBy + limit`` plans as ``TakeOrderedAndProject`` (per-task top N,
-    then a merge of those).  The result lands in one partition, so it is
-    hash-spread on the basket id again for the steps that follow."""
+    """First ``max_baskets`` baskets in (day, customer) order; 0/None = all."""
     if not max_baskets:
         return baskets
-    return baskets.orderBy("t_dat", "customer_id").limit(max_baskets).repartition("transaction_id")
+    return first_rows(baskets, max_baskets, ["t_dat", "customer_id"])
 
 
 def with_parsed_items(baskets: DataFrame, column: str = "items", pad_width: int | None = 10) -> DataFrame:
@@ -62,11 +60,14 @@ def top_items(baskets: DataFrame, n: int | None) -> DataFrame:
 def restrict_items(baskets: DataFrame, allowed: DataFrame) -> DataFrame:
     """Keep only allowed items inside each basket, distinct and sorted.
 
-    ``allowed`` is the top-N list: its size is the user's N, so it is shipped
-    once per task as a scalar-subquery array and intersected in the row, with
-    no shuffle of the (much larger) basket side."""
-    allowed_array = allowed.agg(F.collect_list("item").alias("a")).scalar()
-    return baskets.withColumn("items", F.sort_array(F.array_intersect("items", allowed_array)))
+    Items meet the top-N list in a broadcast join (one lookup per item) and
+    are regrouped on the basket's other columns; a basket without any allowed
+    item stays, empty."""
+    keys = [c for c in baskets.columns if c != "items"]
+    top = broadcast_if_small(allowed.select("item").distinct().withColumn("ok", F.lit(True)))
+    items = baskets.select(*keys, F.explode_outer("items").alias("item")).join(top, "item", "left")
+    kept = items.groupBy(*keys).agg(F.array_sort(F.collect_set(F.when(F.col("ok"), F.col("item")))).alias("items"))
+    return kept.select(*baskets.columns)
 
 
 def min_items_filter(baskets: DataFrame, min_items: int) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators import sequences as Q
-from tillroll.session import broadcast_if_small
+from tillroll.session import broadcast_if_small, cut_lineage
 
 # K of the published accuracy columns, and the heat-map span floor.
 TOP_KS = [1, 3, 5, 10, 20]
 SPAN_FLOOR = 1e-9
+SCORE_FLOOR = 1e-6  # of a target that the scorer does not list, for the loss
 METRIC_COLUMNS = ["loss", "top1", "top3", "top5", "top10", "top20"]
 
 
@@ -28,36 +29,40 @@ def holdout(events: DataFrame, key: str = "customer_id") -> DataFrame:
     return last.select(key, F.col("last_item").alias("target")).join(prev, key)
 
 
-def popularity_ranks(catalog: DataFrame) -> DataFrame:
-    """Rank of every catalogue id under the popularity scorer (seen allowed)."""
-    return catalog.select("new_item_idx", F.col("rank").alias("target_rank"))
+def popularity_ranks(held: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Rank of the target under the popularity scorer (seen allowed); the
+    published baseline has no loss, so there is no score."""
+    ranks = broadcast_if_small(catalog.select(F.col("new_item_idx").alias("target"), F.col("rank").alias("target_rank")))
+    return held.join(ranks, "target", "left").withColumn("target_score", F.lit(None).cast("double"))
 
 
 def transition_ranks(held: DataFrame, transitions: DataFrame, key: str = "customer_id") -> DataFrame:
     """Rank of the target among the successors of the previous item (score
     desc, lower id first); a target without a transition is a miss."""
-    t = broadcast_if_small(transitions, known_rows=Q.CATALOG_SIZE * Q.CATALOG_SIZE)
+    t = broadcast_if_small(transitions)
     cand = held.join(t, held.prev_item == t.item).select(key, "target", "next_item", "score")
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("next_item"))  # <= catalogue size per key
     ranked = cand.withColumn("r", F.row_number().over(w)).filter(F.col("next_item") == F.col("target"))
-    return held.join(ranked.select(key, F.col("r").alias("target_rank")), key, "left")
+    found = ranked.select(key, F.col("r").alias("target_rank"), F.col("score").alias("target_score"))
+    return held.join(found, key, "left").withColumn("target_score", F.coalesce("target_score", F.lit(SCORE_FLOOR)))
 
 
 def accuracy_row(model: str, ranked: DataFrame) -> DataFrame:
-    """``avg(rank <= K)`` for every K in one aggregation; loss is not known."""
+    """``avg(rank <= K)`` for every K and the mean cross-entropy of the
+    target's score (to 6 decimals) in one aggregation."""
     n = F.count(F.lit(1)).cast("double")
     aggs = [(F.sum(F.when(F.col("target_rank") <= k, 1).otherwise(0)).cast("double") / n).alias(f"top{k}")
             for k in TOP_KS]
-    return ranked.agg(*aggs).select(F.lit(model).alias("model"), F.lit(None).cast("double").alias("loss"),
-                                    *[f"top{k}" for k in TOP_KS])
+    loss = F.round(F.avg(-F.log("target_score")), 6).alias("loss")
+    return ranked.agg(loss, *aggs).select(F.lit(model).alias("model"), "loss", *[f"top{k}" for k in TOP_KS])
 
 
-def topk_accuracy(events: DataFrame, catalog: DataFrame, transitions: DataFrame,
+def topk_accuracy(events: DataFrame, catalog: DataFrame, scorers: dict[str, DataFrame],
                   key: str = "customer_id") -> DataFrame:
-    held = holdout(events, key).persist()
-    pop = held.join(popularity_ranks(catalog), held.target == F.col("new_item_idx"), "left")
-    rows = [accuracy_row("Popularity baseline", pop), accuracy_row("Transition scorer",
-                                                                   transition_ranks(held, transitions, key))]
+    """One row for the popularity baseline and one per transition table."""
+    held = cut_lineage(holdout(events, key))
+    rows = [accuracy_row("Popularity baseline", popularity_ranks(held, catalog))]
+    rows += [accuracy_row(name, transition_ranks(held, t, key)) for name, t in scorers.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -84,7 +89,6 @@ def metric_heat(comparison: DataFrame) -> DataFrame:
     acc = [f"top{k}" for k in TOP_KS]
     long = comparison.select("model", *acc).unpivot(["model"], acc, "metric", "value").filter(
         F.col("value").isNotNull())
-    lo = long.agg(F.min("value")).scalar()
-    hi = long.agg(F.max("value")).scalar()
-    span = F.greatest(hi - lo, F.lit(SPAN_FLOOR))
-    return long.withColumn("intensity", (F.col("value") - lo) / span)
+    ends = long.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"))).scalar()
+    span = F.greatest(ends["hi"] - ends["lo"], F.lit(SPAN_FLOOR))
+    return long.withColumn("intensity", (F.col("value") - ends["lo"]) / span)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.session import broadcast_if_small, cut_lineage, support_threshold
@@ -30,17 +30,12 @@ def check_args(min_support: float, max_len: int) -> None:
 
 def normalize_baskets(baskets: DataFrame, group_cols: list[str]) -> DataFrame:
     """Distinct sorted items per basket; one hash shuffle on the basket key
-    so that every later per-basket regroup (explode -> broadcast join ->
-    group by basket) finds its input already clustered and adds no exchange."""
-    spark = baskets.sparkSession
-    # the result is cached and re-read every level, and AQE does not coalesce
-    # cached partitions: cap the width at a few tasks per core, while a
-    # cluster's own (wider) shuffle setting still applies below that cap
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+    so that a later per-basket regroup (explode -> broadcast join -> group by
+    basket) finds its input already clustered.  The width is the session's
+    shuffle width, which AQE fits to the data."""
     return baskets.select(
         *group_cols, "transaction_id", F.sort_array(F.array_distinct("items")).alias("items")
-    ).repartition(n, *group_cols, "transaction_id")
+    ).repartition(*group_cols, "transaction_id")
 
 
 @dataclass
@@ -98,25 +93,34 @@ def empty_itemsets(spark, group_cols: list[str]) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def pair_candidates(frequent_items: DataFrame, group_cols: list[str]) -> DataFrame:
-    """All pairs ``a < b`` of frequent items per group as an *equi*-join.
-
-    Items are numbered inside their group, each item emits the ranks after
-    its own, and a join on ``(group, rank)`` fetches the partner: no cross or
-    theta join.  The numbering window sees only the frequent-item table,
-    whose size is bounded by ``occurrences / min_count`` (at most
-    ``avg basket size / min_support`` rows per group), never basket data."""
-    w = Window.partitionBy(*group_cols).orderBy("item") if group_cols else Window.orderBy("item")
-    ranked = frequent_items.select(*group_cols, "item").withColumn("r", F.row_number().over(w))
-    sizes = ranked.groupBy(*group_cols).agg(F.max("r").alias("m")) if group_cols else None
-    if group_cols:
-        ranked = ranked.join(sizes, group_cols)
-    else:
-        ranked = ranked.withColumn("m", F.max("r").over(Window.partitionBy()))
-    left = ranked.select(*group_cols, F.col("item").alias("a"),
-                         F.explode(F.sequence(F.col("r") + 1, F.greatest(F.col("m"), F.col("r") + 1))).alias("r2"))
-    right = ranked.select(*group_cols, F.col("r").alias("r2"), F.col("item").alias("b"))
-    return left.join(right, [*group_cols, "r2"]).select(*group_cols, "a", "b")
+def trim_baskets(items: DataFrame, frequent: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Baskets of at least two frequent items, from ``(group, transaction, item)``."""
+    kept = items.join(frequent, [*group_cols, "item"], "left_semi")
+    return (kept.groupBy(*group_cols, "transaction_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+            .filter(F.size("items") >= 2))
+
+
+def basket_pairs(trimmed: DataFrame, group_cols: list[str], block: int) -> DataFrame:
+    """``(group, transaction_id, items, a, b)``: the item pairs ``a < b`` of
+    every basket.  A basket of up to ``block`` items is paired inside its row
+    and keeps its items; a wider one is cut into blocks of that many, each
+    pair of blocks is a row of its own (spread over tasks, ``items`` null),
+    so one huge basket is never expanded in one row.  Only a basket's own
+    items are ever paired."""
+    keys = [*group_cols, "transaction_id"]
+    narrow = trimmed.filter(F.size("items") <= block)
+    wide = trimmed.filter(F.size("items") > block)
+    inside = narrow.select(*keys, "items", F.explode(in_row_pairs(F.col("items"))).alias("p"))
+    n = F.ceil(F.size("items") / F.lit(block)).cast("int")
+    part = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice("items", i * block + 1, F.lit(block)))
+    cut = wide.select(*keys, part.alias("parts")).select(*keys, "parts", F.posexplode("parts").alias("i", "left"))
+    both = cut.select(*keys, "left", "i", F.posexplode(F.slice("parts", F.col("i") + 1, F.size("parts"))).alias("j", "right"))
+    both = both.repartition(*keys, "i", "j")
+    across = F.when(F.col("j") == 0, in_row_pairs(F.col("left"))).otherwise(F.flatten(F.transform(
+        "left", lambda x: F.transform("right", lambda y: F.struct(x.alias("a"), y.alias("b"))))))
+    empty = F.lit(None).cast("array<string>").alias("items")
+    outside = both.select(*keys, empty, F.explode(across).alias("p"))
+    return inside.unionByName(outside).select(*keys, "items", "p.a", "p.b")
 
 
 def next_candidates(level: DataFrame, k: int, group_cols: list[str]) -> DataFrame:

@@ -4,16 +4,20 @@ Spark's FPGrowth has no maximum length: it mines every length and the
 result is cut to ``max_len`` afterwards.  Its threshold is the same
 ``ceil(minSupport * n)`` as the other miners.  Item order inside a result
 is the tree order, so itemsets are sorted afterwards.
+
+Because every length is mined, the caller has to bound the search: restrict
+the baskets to the top items first (``load_baskets(top_items_n=...)``) and keep
+the support high enough that long itemsets are rare.  The other two miners
+stop at ``max_len``.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.mining.common import check_args, finish, normalize_baskets, thresholds
-from tillroll.session import cut_lineage
+from tillroll.session import Scratch, cut_lineage
 
 
 def fpgrowth(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(),
@@ -23,14 +27,13 @@ def fpgrowth(baskets: DataFrame, min_support: float, max_len: int = 3, group_col
         raise ValueError("FP-growth mines one basket set; use the level-wise or vertical miner for groups")
     from pyspark.ml.fpm import FPGrowth
 
-    b = normalize_baskets(baskets, []).persist(StorageLevel.MEMORY_AND_DISK)
-    th = thresholds(b, min_support, [])
-    params = dict(itemsCol="items", minSupport=float(min_support), minConfidence=0.0)
-    if num_partitions:
-        params["numPartitions"] = int(num_partitions)
-    model = FPGrowth(**params).fit(b)
-    fi = model.freqItemsets.filter(F.size("items") <= max_len).select(
-        F.sort_array("items").alias("items"), F.col("freq").alias("support_count"))
-    result = cut_lineage(finish(fi, th, []))
-    b.unpersist()
-    return result
+    with Scratch(baskets.sparkSession) as scratch:
+        b = scratch.hold(normalize_baskets(baskets, []))
+        th = thresholds(b, min_support, [])
+        params = dict(itemsCol="items", minSupport=float(min_support), minConfidence=0.0)
+        if num_partitions:
+            params["numPartitions"] = int(num_partitions)
+        model = FPGrowth(**params).fit(b)
+        fi = model.freqItemsets.filter(F.size("items") <= max_len).select(
+            F.sort_array("items").alias("items"), F.col("freq").alias("support_count"))
+        return cut_lineage(finish(fi, th, []))

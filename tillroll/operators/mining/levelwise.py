@@ -1,127 +1,88 @@
 """Level-wise (Apriori) frequent itemsets on the DataFrame API.
 
 Level 1 is an explode + partial count.  Baskets are then trimmed to their
-frequent items.  Each level counts only *occurrences of candidates*:
+frequent items and cached; nothing larger is cached or written later.  Each
+level counts the candidates that occur in each basket:
 
-* narrow baskets (at most ``wide_width`` frequent items) extend their own
-  frequent ``(k-1)``-itemsets inside the row with the basket's later items
-  and keep the extensions that are candidates (semi-join against the
-  broadcast candidate table) -- no shuffle before the partial count;
-* wide baskets (a basket holding a large share of the data) never expand
-  inside one row: their item rows are hash-spread on ``(basket, item)``,
-  joined with the candidate table and confirmed with a semi-join on
-  ``(basket, extension item)``, so one huge basket is split over many tasks.
+* pairs are a basket's own item pairs (``basket_pairs``), counted directly;
+* at level ``k`` a basket's occurrences of frequent ``(k-1)``-itemsets meet
+  the candidates' extensions (one row per prefix, broadcast behind a size
+  check) and are extended by the items the basket has.  A narrow basket does
+  so inside its row, before any shuffle; a basket of more than ``wide_width``
+  items confirms the extension with a join on ``(basket, item)``, so one huge
+  basket is split over many tasks.
 
-Both paths are exact; together they cover every basket.
+Occurrences are derived again from the trimmed baskets at every level, which
+costs a broadcast join per level and no storage.  Both paths are exact;
+together they cover every basket.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.mining.common import (
-    check_args, empty_itemsets, finish, in_row_pairs, next_candidates, normalize_baskets, pair_candidates,
-    thresholds,
+    basket_pairs, check_args, empty_itemsets, finish, next_candidates, normalize_baskets, thresholds, trim_baskets,
 )
 from tillroll.session import Scratch, broadcast_if_small, cut_lineage
 
 WIDE_WIDTH = 64
-MEM_DISK = StorageLevel.MEMORY_AND_DISK
 
 
 def _count(occ: DataFrame, group_cols: list[str]) -> DataFrame:
     return occ.groupBy(*group_cols, "itemset").agg(F.count(F.lit(1)).alias("support_count"))
 
 
+def _extended(occ: DataFrame, cand: DataFrame, wide_items: DataFrame | None, g: list[str]) -> DataFrame:
+    """Occurrences ``(group, transaction_id, items, itemset)`` of the candidates."""
+    keys = [*g, "transaction_id"]
+    by_prefix = broadcast_if_small(cand.groupBy(*g, F.col("prefix").alias("itemset")).agg(
+        F.collect_list("ext").alias("exts")))
+    met = occ.join(by_prefix, [*g, "itemset"])
+    inside = met.filter(F.col("items").isNotNull()).select(
+        *keys, "items", "itemset", F.explode(F.array_intersect("exts", "items")).alias("ext"))
+    if wide_items is not None:
+        outside = met.filter(F.col("items").isNull()).select(*keys, "items", "itemset", F.explode("exts").alias("ext"))
+        inside = inside.unionByName(outside.join(wide_items, [*keys, "ext"], "left_semi").select(inside.columns))
+    return inside.select(*keys, "items", F.concat("itemset", F.array("ext")).alias("itemset"))
+
+
 def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(),
             wide_width: int = WIDE_WIDTH) -> DataFrame:
     """Frequent itemsets of length ``1..max_len`` with ``count >= ceil(min_support * n)``."""
     check_args(min_support, max_len)
     g = list(group_cols)
     spark = baskets.sparkSession
-    scratch = Scratch(spark)
-    b = normalize_baskets(baskets, g).persist(MEM_DISK)
-    th = thresholds(b, min_support, g, scratch.cut)
-    occ1 = b.select(*g, "transaction_id", F.explode("items").alias("item"))
-    l1 = scratch.cut(th.keep_frequent(occ1.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("support_count"))))
-    n1 = l1.count()
-    if n1 == 0:
-        b.unpersist()
-        scratch.clear()
-        return empty_itemsets(spark, g)
-    levels = [l1.select(*g, F.array("item").alias("itemset"), "support_count")]
-    big: list[DataFrame] = [b]
-
-    if max_len >= 2 and n1 >= 2:
-        freq = broadcast_if_small(l1.select(*g, "item"), known_rows=n1)
-        # regroup by basket: input is already hash-clustered on (group, basket)
-        trimmed = (occ1.join(freq, [*g, "item"], "left_semi")
-                   .groupBy(*g, "transaction_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
-                   .filter(F.size("items") >= 2)).persist(MEM_DISK)
-        narrow = trimmed.filter(F.size("items") <= wide_width)
-        wide = trimmed.filter(F.size("items") > wide_width)
-        n_wide = wide.count()
-        wide_long = wide.select(*g, "transaction_id", F.explode("items").alias("item"))
-        if n_wide:
-            wide_long = wide_long.repartition(*g, "transaction_id", "item").persist(MEM_DISK)
-
-        pairs = narrow.select(*g, "transaction_id", "items", F.explode(in_row_pairs(F.col("items"))).alias("p"))
-        occ_n = pairs.select(*g, "transaction_id", "items", F.array("p.a", "p.b").alias("itemset"))
-        occ_w = None
-        if n_wide:
-            c2 = pair_candidates(l1, g)
-            c2 = broadcast_if_small(c2, known_rows=n1 * (n1 - 1) // 2)
-            ext = wide_long.select(*g, "transaction_id", F.col("item").alias("a")).join(c2, [*g, "a"])
-            occ_w = ext.join(wide_long.select(*g, "transaction_id", F.col("item").alias("b")),
-                             [*g, "transaction_id", "b"], "left_semi").select(
-                *g, "transaction_id", F.array("a", "b").alias("itemset"))
-        k = 2
-        while True:
-            # narrow occurrences are re-derived in the row from the cached
-            # trimmed baskets (cheaper than caching rows that each carry the
-            # basket); a reliable checkpoint every third level bounds the
-            # lineage of deep searches
-            if k % 3 == 0 and k < max_len:
-                occ_n = scratch.cut(occ_n)
-            both = occ_n.select(*g, "itemset")
-            if occ_w is not None:
-                occ_w = scratch.cut(occ_w) if k % 3 == 0 else occ_w.persist(MEM_DISK)
-                big.append(occ_w)
-                both = both.unionByName(occ_w.select(*g, "itemset"))
-            lk = scratch.cut(th.keep_frequent(_count(both, g)))
-            nk = lk.count()
-            if nk == 0:
-                break
-            levels.append(lk)
-            if k >= max_len:
-                break
-            k += 1
-            cand = scratch.cut(next_candidates(lk.select(*g, F.col("itemset").alias("items")), k, g))
-            nc = cand.count()
-            if nc == 0:
-                break
-            cand_b = broadcast_if_small(cand.withColumnRenamed("prefix", "itemset"), known_rows=nc)
-            lk_b = broadcast_if_small(lk.select(*g, "itemset"), known_rows=nk)
-            prev_n = occ_n.join(lk_b, [*g, "itemset"], "left_semi")
-            grown = prev_n.select(*g, "transaction_id", "items", "itemset", F.explode(
-                F.filter("items", lambda x: x > F.element_at(F.col("itemset"), -1))).alias("ext"))
-            grown = grown.join(cand_b, [*g, "itemset", "ext"], "left_semi")
-            occ_n = grown.select(*g, "transaction_id", "items", F.concat("itemset", F.array("ext")).alias("itemset"))
-            if occ_w is not None:
-                prev_w = occ_w.join(lk_b, [*g, "itemset"], "left_semi")
-                ext = prev_w.join(cand_b, [*g, "itemset"])
-                occ_w = ext.join(wide_long.select(*g, "transaction_id", F.col("item").alias("ext")),
-                                 [*g, "transaction_id", "ext"], "left_semi").select(
-                    *g, "transaction_id", F.concat("itemset", F.array("ext")).alias("itemset"))
-    out = reduce(DataFrame.unionByName, [lv.select(*g, "itemset", "support_count") for lv in levels])
-    # the itemset table is output-sized; writing it makes downstream plans
-    # (rules, comparisons) start from a leaf, after which the caches go
-    result = cut_lineage(finish(out.withColumnRenamed("itemset", "items"), th, g))
-    for df in big:
-        df.unpersist()
-    scratch.clear()
-    return result
+    with Scratch(spark) as scratch:
+        b = scratch.hold(normalize_baskets(baskets, g))
+        th = thresholds(b, min_support, g, scratch.cut)
+        occ1 = b.select(*g, "transaction_id", F.explode("items").alias("item"))
+        l1 = scratch.cut(th.keep_frequent(occ1.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("support_count"))))
+        if l1.isEmpty():
+            return empty_itemsets(spark, g)
+        levels = [l1.select(*g, F.array("item").alias("itemset"), "support_count")]
+        if max_len >= 2:
+            trimmed = scratch.hold(trim_baskets(occ1, broadcast_if_small(l1.select(*g, "item")), g))
+            wide = trimmed.filter(F.size("items") > wide_width)
+            wide_items = None if wide.isEmpty() else wide.select(
+                *g, "transaction_id", F.explode("items").alias("ext"))
+            occ = basket_pairs(trimmed, g, wide_width).select(
+                *g, "transaction_id", "items", F.array("a", "b").alias("itemset"))
+            for k in range(2, max_len + 1):
+                lk = scratch.cut(th.keep_frequent(_count(occ, g)))
+                if lk.isEmpty():
+                    break
+                levels.append(lk)
+                if k == max_len:
+                    break
+                cand = scratch.cut(next_candidates(lk.select(*g, F.col("itemset").alias("items")), k + 1, g))
+                if cand.isEmpty():
+                    break
+                occ = _extended(occ, cand, wide_items, g)
+        out = reduce(DataFrame.unionByName, [lv.select(*g, "itemset", "support_count") for lv in levels])
+        # the itemset table is output-sized; writing it makes downstream plans
+        # (rules, comparisons) start from a leaf, after which the caches go
+        return cut_lineage(finish(out.withColumnRenamed("itemset", "items"), th, g))

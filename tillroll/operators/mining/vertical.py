@@ -2,11 +2,14 @@
 
 A tid-list per item would be one row as large as the item's support (a hot
 item: a third of all baskets).  Lists are split by
-``bucket = pmod(xxhash64(transaction_id), B)`` with ``B`` chosen so a chunk
-holds about ``tids_per_bucket`` ids, and an itemset's support is
-``sum(size(intersect(prefix chunk, item chunk)))`` over buckets.  Candidates
-come from the frequent itemsets (equi-joins only); each candidate row joins
-its prefix's chunks and the extension item's chunks on ``(item, bucket)``.
+``bucket = pmod(xxhash64(tid), B)`` with ``B`` chosen so a chunk holds about
+``tids_per_bucket`` ids, and an itemset's support is
+``sum(size(intersect(prefix chunk, item chunk)))`` over buckets.
+
+Pairs are counted from the baskets themselves (a partial aggregate over each
+basket's own pairs), so no list is intersected for a pair that is not
+frequent.  From length three on a candidate meets its prefix's chunks on
+``(prefix, bucket)`` and the extension item's chunks on ``(item, bucket)``.
 """
 
 from __future__ import annotations
@@ -14,17 +17,16 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.mining.common import (
-    check_args, empty_itemsets, finish, next_candidates, normalize_baskets, pair_candidates, thresholds,
+    basket_pairs, check_args, empty_itemsets, finish, next_candidates, normalize_baskets, thresholds, trim_baskets,
 )
 from tillroll.session import Scratch, broadcast_if_small, cut_lineage
 
 TIDS_PER_BUCKET = 50_000
-MEM_DISK = StorageLevel.MEMORY_AND_DISK
+PAIR_BLOCK = 64
 
 
 def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(),
@@ -32,58 +34,50 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
     check_args(min_support, max_len)
     g = list(group_cols)
     spark = baskets.sparkSession
-    # numeric basket ids keep tid-lists compact (8 bytes, cheap hashing);
-    # they are fixed by writing the table once (a retried write task's output
-    # is discarded whole), so every later read sees the same ids
-    scratch = Scratch(spark)
-    b = scratch.cut(normalize_baskets(baskets, g).withColumn("tid", F.monotonically_increasing_id()))
-    th = thresholds(b, min_support, g, scratch.cut)
-    total = th.n if not g else th.table.agg(F.sum("n")).first()[0] or 0
-    nb = buckets or max(1, math.ceil(total / tids_per_bucket))
+    with Scratch(spark) as scratch:
+        # numeric basket ids keep tid-lists compact (8 bytes, cheap hashing);
+        # they are fixed by writing the table once (a retried write task's
+        # output is discarded whole), so every later read sees the same ids
+        b = scratch.cut(normalize_baskets(baskets, g).withColumn("tid", F.monotonically_increasing_id()))
+        th = thresholds(b, min_support, g, scratch.cut)
+        items = b.select(*g, F.col("tid").alias("transaction_id"), F.explode("items").alias("item"))
+        l1 = scratch.cut(th.keep_frequent(items.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("support_count"))))
+        if l1.isEmpty():
+            return empty_itemsets(spark, g)
+        frequent = broadcast_if_small(l1.select(*g, "item"))
+        levels = [l1.select(*g, F.array("item").alias("items"), "support_count")]
+        if max_len >= 2:
+            pairs = basket_pairs(trim_baskets(items, frequent, g), g, PAIR_BLOCK)
+            l2 = scratch.cut(th.keep_frequent(pairs.groupBy(*g, F.array("a", "b").alias("items")).agg(
+                F.count(F.lit(1)).alias("support_count"))))
+            levels.append(l2)
+        if max_len >= 3 and not levels[-1].isEmpty():
+            total = th.n if not g else th.table.agg(F.sum("n")).first()[0] or 0
+            nb = buckets or max(1, math.ceil(total / tids_per_bucket))
+            every = F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bucket")
+            occ = items.join(frequent, [*g, "item"], "left_semi").withColumn(
+                "bucket", F.pmod(F.xxhash64("transaction_id"), F.lit(nb)).cast("int"))
+            item_lists = scratch.hold(occ.groupBy(*g, F.col("item").alias("ext"), "bucket").agg(
+                F.sort_array(F.collect_list("transaction_id")).alias("etids")))
+            lists = item_lists.select(*g, F.array("ext").alias("prefix"), "bucket", F.col("etids").alias("ptids"))
 
-    occ = b.select(*g, "tid", F.explode("items").alias("item"),
-                   F.pmod(F.xxhash64("tid"), F.lit(nb)).cast("int").alias("bucket"))
-    v1 = occ.groupBy(*g, "item", "bucket").agg(F.sort_array(F.collect_list("tid")).alias("tids"))
-    v1 = v1.persist(MEM_DISK)
-    l1 = scratch.cut(th.keep_frequent(v1.groupBy(*g, "item").agg(F.sum(F.size("tids")).alias("support_count"))))
-    n1 = l1.count()
-    if n1 == 0:
-        v1.unpersist()
-        scratch.clear()
-        return empty_itemsets(spark, g)
-    item_lists = v1.join(broadcast_if_small(l1.select(*g, "item"), known_rows=n1), [*g, "item"], "left_semi")
-    item_lists = item_lists.select(*g, F.col("item").alias("ext"), "bucket", F.col("tids").alias("etids"))
-    item_lists = item_lists.persist(MEM_DISK)
-    big = [v1, item_lists]
+            def grown(cand: DataFrame) -> DataFrame:
+                """Tid-list chunks of the candidates ``(group, prefix, ext)``."""
+                spread = broadcast_if_small(cand.select(*g, "prefix", "ext", every))
+                met = spread.join(lists, [*g, "prefix", "bucket"]).join(item_lists, [*g, "ext", "bucket"])
+                return met.select(*g, F.concat("prefix", F.array("ext")).alias("prefix"), "bucket",
+                                  F.array_intersect("ptids", "etids").alias("ptids")).filter(F.size("ptids") > 0)
 
-    levels = [l1.select(*g, F.array("item").alias("items"), "support_count")]
-    prev_level = levels[0]
-    prev_lists = item_lists.select(*g, F.array("ext").alias("prefix"), "bucket", F.col("etids").alias("ptids"))
-    for k in range(2, max_len + 1):
-        cand = pair_candidates(l1, g).select(*g, F.array("a").alias("prefix"), F.col("b").alias("ext")) if k == 2 \
-            else next_candidates(prev_level, k, g)
-        cand = scratch.cut(cand)
-        nc = cand.count()
-        if nc == 0:
-            break
-        with_prefix = broadcast_if_small(cand, known_rows=nc).join(prev_lists, [*g, "prefix"])
-        joined = with_prefix.join(item_lists, [*g, "ext", "bucket"])
-        lists = joined.select(*g, F.concat("prefix", F.array("ext")).alias("prefix"), "bucket",
-                              F.array_intersect("ptids", "etids").alias("ptids")).filter(F.size("ptids") > 0)
-        # tid-list chunks are large: cached, written out every third level
-        lists = scratch.cut(lists) if k % 3 == 0 else lists.persist(MEM_DISK)
-        big.append(lists)
-        counts = lists.groupBy(*g, "prefix").agg(F.sum(F.size("ptids")).alias("support_count"))
-        lk = scratch.cut(th.keep_frequent(counts))
-        nk = lk.count()
-        if nk == 0:
-            break
-        prev_level = lk.select(*g, F.col("prefix").alias("items"), "support_count")
-        levels.append(prev_level)
-        prev_lists = lists.join(broadcast_if_small(lk.select(*g, "prefix"), known_rows=nk), [*g, "prefix"], "left_semi")
-    out = reduce(DataFrame.unionByName, levels)
-    result = cut_lineage(finish(out, th, g))
-    for df in big:
-        df.unpersist()
-    scratch.clear()
-    return result
+            lists = grown(l2.select(*g, F.slice("items", 1, 1).alias("prefix"), F.col("items")[1].alias("ext")))
+            for k in range(3, max_len + 1):
+                cand = scratch.cut(next_candidates(levels[-1], k, g))
+                if cand.isEmpty():
+                    break
+                lists = scratch.cut(grown(cand))
+                lk = scratch.cut(th.keep_frequent(lists.groupBy(*g, F.col("prefix").alias("items")).agg(
+                    F.sum(F.size("ptids")).alias("support_count"))))
+                if lk.isEmpty():
+                    break
+                levels.append(lk)
+        out = reduce(DataFrame.unionByName, [lv.select(*g, "items", "support_count") for lv in levels])
+        return cut_lineage(finish(out, th, g))

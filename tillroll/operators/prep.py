@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import zfill
-from tillroll.session import broadcast_if_small
+from tillroll.session import broadcast_if_small, cut_lineage
 
 LINE_KEY = ["t_dat", "customer_id", "article_id"]
 BASKET_KEY = ["customer_id", "t_dat"]
@@ -25,9 +25,8 @@ def dedupe_transactions(lines: DataFrame) -> DataFrame:
 
 def head_transactions(lines: DataFrame, max_rows: int) -> DataFrame:
     """First ``max_rows`` lines in key order (total order, so the result does
-    not depend on file splits).  Planned as ``TakeOrderedAndProject``: each
-    task keeps its own top ``max_rows`` and only those reach the final merge."""
-    return lines.select(*LINE_KEY).orderBy(*LINE_KEY).limit(max_rows)
+    not depend on file splits)."""
+    return first_rows(lines.select(*LINE_KEY), max_rows, LINE_KEY)
 
 
 def build_baskets(lines: DataFrame, min_items: int = 2) -> DataFrame:
@@ -57,17 +56,18 @@ def baskets_as_text(baskets: DataFrame) -> DataFrame:
 
 
 def ingest_counts(lines: DataFrame, min_items: int = 2) -> DataFrame:
-    """Lines read, unique lines, baskets kept, as one row.
-
-    The three counts are independent scalar subqueries over the same lazy
-    input; no join between them."""
-    spark = lines.sparkSession
-    read = lines.select(F.count(F.lit(1)).alias("c")).scalar()
-    unique = dedupe_transactions(lines).select(F.count(F.lit(1)).alias("c")).scalar()
-    kept = build_baskets(lines, min_items).select(F.count(F.lit(1)).alias("c")).scalar()
-    return spark.range(1).select(
-        read.alias("rows_read"), unique.alias("unique_lines"), kept.alias("baskets_kept")
-    )
+    """Lines read, unique lines, baskets kept, as one row, in one pass.
+
+    Lines are grouped per (customer, day), null keys included, so that the
+    same groups give all three counts; the sets are aggregated map-side."""
+    whole = F.col("customer_id").isNotNull() & F.col("t_dat").isNotNull()
+    groups = lines.select(*BASKET_KEY, zfill("article_id").alias("article_id")).groupBy(*BASKET_KEY).agg(
+        F.count(F.lit(1)).alias("n"), F.size(F.collect_set("article_id")).alias("items"))
+    zero = F.lit(0).cast("bigint")
+    return groups.agg(
+        F.coalesce(F.sum("n"), zero).alias("rows_read"),
+        F.coalesce(F.sum(F.when(whole, F.col("items"))), zero).alias("unique_lines"),
+        F.count_if(whole & (F.col("items") >= min_items)).alias("baskets_kept"))
 
 
 def clean_transactions(lines_wide: DataFrame) -> DataFrame:
@@ -109,32 +109,34 @@ def clean_customers(customers_wide: DataFrame) -> DataFrame:
 def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, num_partitions: int | None = None) -> DataFrame:
     """Dense ids 1..n in ``order_cols`` order without a single-partition window.
 
-    Range-partition and sort inside partitions, number rows inside each
-    partition, then add the number of rows of all earlier partitions (a table
-    with one row per partition, broadcast).  The partitioned frame is
-    checkpointed to shared storage so both passes see the same split.
+    Range-partition and sort inside partitions (as many as the session's
+    shuffles have, unless given), number rows inside each partition, then add
+    the number of rows of all earlier partitions (a table with one row per
+    partition).  The partitioned frame is written to shared storage so both
+    passes see the same split.
     """
-    from tillroll.session import cut_lineage
-
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    by = [num_partitions] if num_partitions else []
     staged = cut_lineage(
-        df.repartitionByRange(n, *order_cols)
-        .sortWithinPartitions(*order_cols)
-        .withColumn("_pid", F.spark_partition_id())
+        df.repartitionByRange(*by, *order_cols).sortWithinPartitions(*order_cols)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     # monotonically_increasing_id = (partition << 33) + row index in partition
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    sizes = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
-    ).fillna(0, subset=["_off"])
-    # one row per partition: bounded by the partition count
-    out = staged.join(broadcast_if_small(offsets, known_rows=n), "_pid")
+    pid = F.shiftright("_mid", 33)
+    sizes = staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    out = staged.withColumn("_pid", pid).join(broadcast_if_small(offsets), "_pid")
+    local = F.col("_mid") - F.shiftleft(F.col("_pid"), 33)
     return out.withColumn(id_col, (F.col("_off") + local + 1).cast("bigint")).drop("_pid", "_mid", "_off")
 
 
+def first_rows(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
+    """The first ``n`` rows in ``order_cols`` order, still spread over tasks:
+    rows are numbered by ``dense_ids``, so no task gathers ``n`` rows of every
+    other task as a global top-n would."""
+    return dense_ids(df, order_cols, "_row").filter(F.col("_row") <= n).drop("_row")
+
+
 def baskets_by_customer_date(clean_lines: DataFrame, min_items: int = 2) -> DataFrame:
     """Legacy basket table: distinct (unpadded) items per customer and day,
     at least ``min_items``, dense ``basket_id`` from 1 in (customer, day) order."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import readable_token
-from tillroll.session import broadcast_if_small
+from tillroll.session import fits_broadcast
 
 RULE_COLUMNS = ["antecedents", "consequents", "support", "confidence", "lift", "rule_length"]
 SORT_METRICS = ("lift", "confidence", "support")
@@ -37,9 +37,11 @@ def association_rules(itemsets: DataFrame, min_confidence: float = 0.0, group_co
         F.expr("filter(items, (x, i) -> (shiftright(m, i) & 1) = 0)").alias("consequent_items"),
     ).withColumn("antecedents", F.array_join("antecedent_items", " ")).withColumn(
         "consequents", F.array_join("consequent_items", " "))
-    # the itemset table is output-sized; broadcast behind the row check
-    a = broadcast_if_small(lookup.withColumnRenamed("itemset_key", "antecedents").withColumnRenamed("support", "s_a"))
-    c = broadcast_if_small(lookup.withColumnRenamed("itemset_key", "consequents").withColumnRenamed("support", "s_c"))
+    # the itemset table is output-sized; both lookups are the same one
+    a = lookup.withColumnsRenamed({"itemset_key": "antecedents", "support": "s_a"})
+    c = lookup.withColumnsRenamed({"itemset_key": "consequents", "support": "s_c"})
+    if fits_broadcast(lookup):
+        a, c = F.broadcast(a), F.broadcast(c)
     r = split.join(a, [*g, "antecedents"]).join(c, [*g, "consequents"])
     r = r.withColumn("confidence", F.col("s_ac") / F.col("s_a"))
     r = r.filter(F.col("confidence") >= F.lit(float(min_confidence)))

@@ -29,25 +29,27 @@ def clamp_k(k: int) -> int:
 
 
 def sequence_lines(lines: DataFrame) -> DataFrame:
-    """Purchase events ``(customer_id, order_ts, order_key, line_no, old_article_idx)``."""
+    """Purchase events ``(customer_id, order_ts, order_key, line_no, old_article_idx)``;
+    an article id that is no integer becomes null, which every encoding
+    treats as unknown."""
     return lines.select(
         "customer_id", "order_ts", "order_key", F.col("sales_channel_id").alias("line_no"),
-        F.col("article_id").cast("int").alias("old_article_idx"))
+        F.expr("try_cast(article_id AS INT)").alias("old_article_idx"))
 
 
 def item_catalog(events: DataFrame, size: int = CATALOG_SIZE) -> DataFrame:
     """Top ``size`` items by purchases (ties: lower id); rank = new id."""
-    counts = events.groupBy("old_article_idx").agg(F.count(F.lit(1)).alias("purchases"))
+    counts = events.filter(F.col("old_article_idx").isNotNull()).groupBy("old_article_idx").agg(
+        F.count(F.lit(1)).alias("purchases"))
     top = counts.orderBy(F.desc("purchases"), F.asc("old_article_idx")).limit(size)
-    # ``top`` has ``size`` rows (a fixed catalogue size): numbering it is a top-k step
+    # ``top`` has ``size`` rows: numbering it is a top-k step
     w = Window.orderBy(F.desc("purchases"), F.asc("old_article_idx"))
     ranked = top.withColumn("rank", F.row_number().over(w))
     return ranked.select("rank", "old_article_idx", F.col("rank").alias("new_item_idx"), "purchases")
 
 
 def _catalog_b(catalog: DataFrame) -> DataFrame:
-    # the catalogue has a fixed number of rows (CATALOG_SIZE)
-    return broadcast_if_small(catalog.select("old_article_idx", "new_item_idx", "rank"), known_rows=CATALOG_SIZE)
+    return broadcast_if_small(catalog.select("old_article_idx", "new_item_idx", "rank"))
 
 
 def encode_zero(events: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -57,44 +59,42 @@ def encode_zero(events: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def parse_requests(raw: DataFrame, text_col: str = "raw") -> DataFrame:
-    """Typed id lists -> one row per token with its position."""
-    return raw.select("*", F.posexplode(parse_article_ids(text_col)).alias("pos", "token"))
+    """Typed id lists -> one row per token with its position; a list without
+    any token keeps one row with a null token."""
+    return raw.select("*", F.posexplode_outer(parse_article_ids(text_col)).alias("pos", "token"))
 
 
 def encode_drop(tokens: DataFrame, catalog: DataFrame, key: str = "request_id") -> DataFrame:
     """Known ids in input order, and the unknown or non-integer tokens.
 
     ``try_cast`` keeps non-integers as null (dropped, reported); the join
-    is with the fixed-size catalogue.  A request with nothing known gets
-    ``status = 'error'``.  Requests are short typed lists, so gathering one
-    request's tokens is bounded by its text."""
+    is with the catalogue.  A request with nothing known, or without any
+    token, gets ``status = 'error'``.  Requests are short typed lists, so
+    gathering one request's tokens is bounded by its text."""
     t = tokens.withColumn("old_article_idx", F.expr("try_cast(token AS INT)"))
     joined = t.join(_catalog_b(catalog).drop("rank"), "old_article_idx", "left")
-    known = F.when(F.col("new_item_idx").isNotNull(), F.struct("pos", "new_item_idx"))
-    unknown = F.when(F.col("new_item_idx").isNull(), F.struct("pos", "token"))
+    known = F.when(F.col("new_item_idx").isNotNull(), F.struct("pos", "new_item_idx", "old_article_idx"))
+    unknown = F.when(F.col("token").isNotNull() & F.col("new_item_idx").isNull(), F.struct("pos", "token"))
     out = joined.groupBy(key).agg(
         F.sort_array(F.collect_list(known)).alias("k"), F.sort_array(F.collect_list(unknown)).alias("u"))
     return out.select(
         key,
         F.transform("k", lambda s: s["new_item_idx"]).alias("input_sequence"),
+        F.transform("k", lambda s: s["old_article_idx"]).alias("input_article_ids"),
         F.transform("u", lambda s: s["token"]).alias("unknown_article_ids"),
         F.when(F.size("k") > 0, F.lit("ok")).otherwise(F.lit("error")).alias("status"),
     )
 
 
-def last_n(encoded: DataFrame, n: int = MAX_SEQ_LEN, key: str = "customer_id", salt_buckets: int = 16) -> DataFrame:
+def last_n(encoded: DataFrame, n: int = MAX_SEQ_LEN, key: str = "customer_id") -> DataFrame:
     """The last ``n`` events per sequence, in order, as an array.
 
-    Two-phase top-n so that a customer holding a third of all events is never
-    sorted in one task: first per ``(customer, salt)`` (salt = hash of the
-    order), then per customer over at most ``n * salt_buckets`` rows."""
-    order = [F.desc(c) for c in ORDER_KEY]
-    salted = encoded.withColumn("_salt", F.pmod(F.xxhash64("order_key"), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(key, "_salt").orderBy(*order)
-    stage1 = salted.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= n)
-    w2 = Window.partitionBy(key).orderBy(*order)
-    stage2 = stage1.withColumn("_r", F.row_number().over(w2)).filter(F.col("_r") <= n)
-    gathered = stage2.groupBy(key).agg(
+    The filter on the row number lets Spark keep ``n`` rows per sequence and
+    task before the shuffle, so a customer with a third of all events brings
+    at most ``n`` rows from each task."""
+    w = Window.partitionBy(key).orderBy(*[F.desc(c) for c in ORDER_KEY])
+    kept = encoded.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n)
+    gathered = kept.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in ORDER_KEY], "new_item_idx"))).alias("s"))
     return gathered.select(key, F.transform("s", lambda s: s["new_item_idx"]).alias("sequence"))
 
@@ -118,37 +118,36 @@ def last_event(events: DataFrame, key: str = "customer_id") -> DataFrame:
         *[F.col(f"_l.{c}").alias(f"last_{c}") for c in ORDER_KEY])
 
 
-def transition_scores(events: DataFrame, catalog: DataFrame) -> DataFrame:
-    """``P(next = j | current = i)`` from consecutive lines of one order.
+def transition_scores(events: DataFrame, catalog: DataFrame, step: int = 1) -> DataFrame:
+    """``P(j follows i)`` from lines of one order that are ``step`` apart.
 
-    Consecutive lines meet by an equi-join on ``(order, line + 1)``, not by a
+    The lines meet by an equi-join on ``(order, line + step)``, not by a
     window over the order, so a huge order is split by the join (AQE skew
     handling) instead of being sorted in one task."""
     enc = encode_zero(events, catalog).filter(F.col("new_item_idx") != PADDING_ID)
     a = enc.select("order_key", "line_no", F.col("new_item_idx").alias("item"))
-    b = enc.select("order_key", (F.col("line_no") - 1).alias("line_no"), F.col("new_item_idx").alias("next_item"))
+    b = enc.select("order_key", (F.col("line_no") - step).alias("line_no"), F.col("new_item_idx").alias("next_item"))
     pairs = a.join(b, ["order_key", "line_no"]).groupBy("item", "next_item").agg(F.count(F.lit(1)).alias("c"))
     totals = pairs.groupBy("item").agg(F.sum("c").alias("t"))
-    # at most CATALOG_SIZE^2 rows
+    # at most (catalogue size)^2 rows
     return pairs.join(totals, "item").select(
         "item", "next_item", (F.col("c").cast("double") / F.col("t").cast("double")).alias("score"))
 
 
 def scores_from_last_item(last: DataFrame, transitions: DataFrame, key: str = "customer_id") -> DataFrame:
     """Score table per sequence: successors of its last item (<= catalogue size each)."""
-    t = broadcast_if_small(transitions, known_rows=CATALOG_SIZE * CATALOG_SIZE)
+    t = broadcast_if_small(transitions)
     return last.join(t, last.last_item == t.item).select(key, F.col("next_item").alias("new_item_idx"), "score")
 
 
 def rank_scores(scores: DataFrame, catalog: DataFrame, k: int, seen: DataFrame | None = None,
                 key: str = "customer_id", by: list[str] | None = None) -> DataFrame:
-    """Top ``k`` (clamped to 1..20) per sequence: score desc, then lower id;
+    """Top ``k`` per sequence: score desc, then lower id;
     id 0 and ids outside the catalogue never returned; ``seen`` (key, id)
     blocked through an anti-join.  ``by`` adds partition columns, e.g. a
     ``scorer`` column when one score table holds several models.  Each
     (scorer, sequence) has at most one score per catalogue id, so the window
     is bounded by the catalogue."""
-    k = clamp_k(k)
     part = [*(by or []), key]
     s = scores.filter(F.col("new_item_idx") != PADDING_ID)
     if seen is not None:
@@ -160,10 +159,14 @@ def rank_scores(scores: DataFrame, catalog: DataFrame, k: int, seen: DataFrame |
                          "catalog_rank", "score")
 
 
+def answer_request(scores: DataFrame, catalog: DataFrame, k: int, **how) -> DataFrame:
+    """``rank_scores`` as a request reaches it: ``k`` clamped to 1..20."""
+    return rank_scores(scores, catalog, clamp_k(k), **how)
+
+
 def rank_scores_allow_seen(scores: DataFrame, catalog: DataFrame, k: int, key: str = "customer_id") -> DataFrame:
     """The simple form: id 0 forced last (score -1), seen items allowed, an
     id without a catalogue entry decodes to old id -1."""
-    k = clamp_k(k)
     s = scores.withColumn("score", F.when(F.col("new_item_idx") == PADDING_ID, F.lit(-1.0)).otherwise(F.col("score")))
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("new_item_idx"))
     ranked = s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -177,20 +180,18 @@ def popularity_recommend(events: DataFrame, catalog: DataFrame, k: int, key: str
 
     Scores are equal for every sequence, so a sequence that has seen ``s``
     catalogue items only needs the global ranks ``1 .. k + s``: each sequence
-    emits exactly those ranks (an equi-join on rank with the fixed-size
-    catalogue), and no sequence x catalogue product is formed."""
-    k = clamp_k(k)
+    emits exactly those ranks (an equi-join on rank with the catalogue), and
+    no sequence x catalogue product is formed.  Ranks end with the catalogue,
+    whatever its size."""
     cat = catalog.select("rank", "old_article_idx", "new_item_idx", "purchases")
-    total = cat.agg(F.sum("purchases").alias("t")).scalar()
-    scored = cat.withColumn("score", F.col("purchases").cast("double") / total.cast("double"))
+    size, total = cat.agg(F.count(F.lit(1)), F.sum("purchases")).first()
+    scored = cat.withColumn("score", F.col("purchases").cast("double") / F.lit(float(total or 1)))
     enc = encode_zero(events, catalog)
-    seen = catalog_events(enc).select(key, "new_item_idx").distinct()
-    seen_n = seen.groupBy(key).agg(F.count(F.lit(1)).alias("s"))
-    customers = enc.select(key).distinct().join(seen_n, key, "left").fillna(0, subset=["s"])
-    want = customers.select(key, F.explode(F.sequence(F.lit(1), F.least(F.lit(k) + F.col("s"),
-                                                                       F.lit(CATALOG_SIZE)))).alias("rank"))
-    cand = want.join(broadcast_if_small(scored, known_rows=CATALOG_SIZE), "rank")
-    cand = cand.join(seen, [key, "new_item_idx"], "left_anti")
+    # one row per sequence with its seen items: at most the catalogue each
+    seen = enc.groupBy(key).agg(F.collect_set(F.when(F.col("new_item_idx") != PADDING_ID, F.col("new_item_idx"))).alias("seen"))
+    last = F.least(F.lit(int(k)) + F.size("seen"), F.lit(int(size)))
+    want = seen.filter(F.lit(size > 0 and k > 0)).select(key, "seen", F.explode(F.sequence(F.lit(1), last)).alias("rank"))
+    cand = want.join(broadcast_if_small(scored), "rank").filter(~F.array_contains("seen", F.col("new_item_idx")))
     w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("new_item_idx"))
     ranked = cand.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= k)
     return ranked.select(key, F.col("r").cast("int").alias("rank"), "new_item_idx", "old_article_idx",

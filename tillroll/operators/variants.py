@@ -151,19 +151,47 @@ def with_variant(df: DataFrame, variant: str) -> DataFrame:
     return df.select(F.lit(variant).alias("variant"), *BASKET_COLUMNS)
 
 
-def all_variants(baskets: DataFrame, articles: DataFrame, customers: DataFrame, min_items: int = 2) -> DataFrame:
-    """Every variant in one long table with a ``variant`` column.
+def year_ranges(baskets: DataFrame) -> list[tuple[str, str, str]]:
+    """One closed range per calendar year that has a basket."""
+    years = sorted(r[0] for r in baskets.select(F.substring("t_dat", 1, 4).alias("y")).distinct().collect() if r[0])
+    return [(f"year_{y}", f"{y}-01-01", f"{y}-12-31") for y in years]
+
+
+def all_variants(baskets: DataFrame, articles: DataFrame, customers: DataFrame, min_items: int = 2,
+                 ranges=YEAR_RANGES) -> DataFrame:
+    """Every variant in one long table with a ``variant`` column; ``ranges``
+    are the day ranges, ``year_ranges(baskets)`` for every year there is.
 
     Broadcast checks use the dimension row counts (answered from Parquet
     footers): a map derived from a dimension has at most as many rows."""
     n_articles, n_customers = articles.count(), customers.count()
     specs = [(key, column, key) for key, column in CATEGORY_VARIANTS]
     specs.append(("outfit_category", OUTFIT_VARIANT[1], OUTFIT_VARIANT[0]))
-    parts = [segment_variants(baskets, customer_age_groups(customers), min_items=min_items, group_rows=n_customers),
+    parts = [segment_variants(baskets, customer_age_groups(customers), ranges, min_items, n_customers),
              category_variants(baskets, articles, specs, min_items, n_articles)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def variant_manifest(variants: DataFrame) -> DataFrame:
-    """Rows per variant; variants with no rows never appear (group-by)."""
-    return variants.groupBy(F.col("variant").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+def variant_labels(ranges=YEAR_RANGES) -> list[tuple[str, str, str]]:
+    """``(key, label, description)`` of every variant in list order."""
+    out = [("base", "Base", "All baskets of articles")]
+    for key, column in CATEGORY_VARIANTS:
+        out.append((key, key.replace("_", " ").title(), f"Baskets of {column} values"))
+    out.append(("outfit_category", "Outfit Category", f"Baskets of {OUTFIT_VARIANT[1]} values as outfits"))
+    out += [(k, k.replace("_", " ").title(), f"Baskets of customers aged {lo} to {hi}") for k, lo, hi in AGE_GROUPS]
+    out += [(k, k.replace("_", " ").title(), f"Baskets from {a} to {b}") for k, a, b in ranges]
+    return out
+
+
+def variant_manifest(variants: DataFrame, folder: str = "variants", ranges=YEAR_RANGES) -> DataFrame:
+    """Key, label, path, description and rows of every variant that has
+    rows, and the base entry, whose rows are not counted (null)."""
+    spark = variants.sparkSession
+    rows = variants.groupBy(F.col("variant").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    names = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(label).alias("label"), F.lit(text).alias("description"))
+                      for k, label, text in variant_labels(ranges)])
+    entries = spark.range(1).select(F.inline(names))  # one row per variant there can be
+    path = F.concat(F.lit(folder.rstrip("/") + "/variant="), F.col("key"))
+    return entries.join(rows, "key", "left").filter(F.col("rows").isNotNull() | (F.col("key") == "base")).select(
+        "key", "label", F.when(F.col("key") == "base", F.lit(folder.rstrip("/"))).otherwise(path).alias("path"),
+        "description", "rows")

@@ -256,12 +256,19 @@ for _key, _column in variants.CATEGORY_VARIANTS + [("outfit", variants.OUTFIT_VA
         f"SELECT '{'outfit_category' if _key == 'outfit' else _key}' AS variant FROM cb_{_key}")
 
 
-@query("variant_manifest", S.with_(*_MANIFEST_CTES) + "SELECT variant AS key, count(*) AS rows FROM ("
-       + " UNION ALL ".join(_manifest_parts) + ") GROUP BY variant")
+_MANIFEST_NAMES = ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in variants.variant_labels())
+
+
+@query("variant_manifest", S.with_(*_MANIFEST_CTES, "counted AS (SELECT variant, count(*) AS rows FROM ("
+       + " UNION ALL ".join(_manifest_parts) + ") GROUP BY variant)", f"""names AS (
+  SELECT * FROM (VALUES {_MANIFEST_NAMES}) AS v(key, label, description))""") + """
+SELECT key, label, CASE WHEN key = 'base' THEN 'variants' ELSE 'variants/variant=' || key END AS path, description, CAST(rows AS VARCHAR) AS rows
+FROM names LEFT JOIN counted ON variant = key WHERE rows IS NOT NULL OR key = 'base'""")
 def variant_manifest(spark, sf_dir):
     v = variants.all_variants(basket_arrays(spark, sf_dir), tables.articles_raw(spark, sf_dir),
                               tables.customers(spark, sf_dir), MIN_ITEMS)
-    return variants.variant_manifest(v)
+    # as text: the base entry has no count
+    return variants.variant_manifest(v).withColumn("rows", F.col("rows").cast("string"))
 
 
 @query("mining_baskets", S.mining_with() + "SELECT transaction_id, t_dat, array_to_string(items, ' ') AS items "

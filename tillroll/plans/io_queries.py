@@ -1,36 +1,94 @@
-"""Round trips through the sinks and the streaming ingest (S5, ST1)."""
+"""Round trips through the sinks and the streaming ingest (S5-S9, S19, ST1)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillroll.operators import experiments, mining, prep, variants
 from tillroll.plans import sql as S
-from tillroll.plans.inputs import basket_arrays
+from tillroll.plans.inputs import basket_arrays, mining_baskets, product_group_baskets
 from tillroll.plans.registry import query
+from tillroll.session import cut_lineage
 from tillroll.sources import files, tables
 from tillroll.streaming import ingest
 
+SUPPORT = 0.01
+
 
 @query("incremental_dedupe", S.with_(S.TX) + f"""
 SELECT DISTINCT t_dat, customer_id, {S.zfill('article_id')} AS article_id FROM tx
 WHERE t_dat IS NOT NULL AND customer_id IS NOT NULL AND article_id IS NOT NULL""")
 def incremental_dedupe(spark, sf_dir):
-    """Stream the line files through the key de-duplication into a table and
-    read the table back."""
+    """Deal the lines out to several files, newest orders first, stream them
+    one file at a time through the key de-duplication, and read the table."""
+    inbox = ingest.scratch_path(spark, "line-files")
+    tables.table(spark, sf_dir, "lineitem").repartitionByRange(4, F.desc("l_orderkey")).write.parquet(inbox)
     table_path = ingest.scratch_path(spark, "unique-lines")
-    stream = ingest.lines_stream(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", tables.table(spark, sf_dir, "orders"))
+    stream = ingest.lines_stream(spark, inbox, tables.table(spark, sf_dir, "orders"), max_files_per_trigger=1)
     ingest.ingest_unique_lines(stream, table_path, ingest.scratch_path(spark, "unique-lines-ckpt"))
-    return spark.read.parquet(table_path).select("t_dat", "customer_id", "article_id")
+    return ingest.read_unique_lines(spark, table_path).select("t_dat", "customer_id", "article_id")
 
 
 @query("baskets_roundtrip", S.with_(S.TX, S.BASKETS) + """
-SELECT transaction_id, customer_id, t_dat, array_to_string(items, ' ') AS items, item_count FROM baskets
-WHERE t_dat >= '1996-01-01'""")
+SELECT transaction_id, customer_id, t_dat, array_to_string(items, ' ') AS items, item_count, fmt
+FROM baskets, (VALUES ('parquet'), ('csv')) AS f(fmt)""")
 def baskets_roundtrip(spark, sf_dir):
-    """Write baskets partitioned by year, read back with a date filter that
-    prunes the year folders before 1996."""
-    path = ingest.scratch_path(spark, "baskets")
-    files.write_baskets(basket_arrays(spark, sf_dir), path)
-    back = files.read_baskets(spark, path).filter((F.col("t_year") >= "1996") & (F.col("t_dat") >= "1996-01-01"))
-    return back.select("transaction_id", "customer_id", "t_dat", F.array_join("items", " ").alias("items"),
-                       "item_count")
+    """Write the baskets in both formats and read all of them back."""
+    baskets = cut_lineage(basket_arrays(spark, sf_dir))
+    parts = []
+    for fmt in ("parquet", "csv"):
+        path = ingest.scratch_path(spark, f"baskets-{fmt}")
+        files.write_baskets(baskets, path, fmt)
+        back = files.read_baskets(spark, path, fmt)
+        items = F.col("items") if fmt == "csv" else F.array_join("items", " ")
+        parts.append(back.select("transaction_id", "customer_id", "t_dat", items.alias("items"), "item_count",
+                                 F.lit(fmt).alias("fmt")))
+    return parts[0].unionByName(parts[1])
+
+
+@query("itemsets_roundtrip", S.mining_with(*S.itemsets_upto3(SUPPORT)) + """
+SELECT support, itemset_key, length, support_count FROM itemsets""")
+def itemsets_roundtrip(spark, sf_dir):
+    """Write the itemset file and read it back."""
+    path = ingest.scratch_path(spark, "itemsets")
+    files.write_itemsets(mining.apriori(mining_baskets(spark, sf_dir), SUPPORT, 3), path)
+    return spark.read.schema("support double, itemset_key string, length int, support_count bigint").option(
+        "header", True).csv(path)
+
+
+@query("variants_roundtrip", S.with_(S.TX, S.BASKETS, S.YEAR_RANGES) + """
+SELECT r.variant, b.transaction_id, array_to_string(b.items, ' ') AS items
+FROM baskets b JOIN year_ranges r ON b.t_dat >= r.start_day AND b.t_dat <= r.end_day WHERE b.item_count >= 2""")
+def variants_roundtrip(spark, sf_dir):
+    """Write the year variants, a folder each, and read them back."""
+    path = ingest.scratch_path(spark, "variants")
+    files.write_variants(variants.year_baskets(basket_arrays(spark, sf_dir)), path)
+    return spark.read.parquet(path).select("variant", "transaction_id", F.array_join("items", " ").alias("items"))
+
+
+@query("profile_roundtrip", S.with_(S.TX) + """
+SELECT count(*) AS rows, count(*) FILTER (WHERE article_id IS NULL) AS null_articles, min(t_dat) AS first_day,
+       max(t_dat) AS last_day FROM tx""")
+def profile_roundtrip(spark, sf_dir):
+    """Write a profile of the lines as JSON and read it back."""
+    path = ingest.scratch_path(spark, "profile")
+    lines = tables.transactions(spark, sf_dir)
+    files.write_json(lines.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("article_id").isNull()).alias("null_articles"),
+        F.min("t_dat").alias("first_day"), F.max("t_dat").alias("last_day")), path)
+    return spark.read.schema("rows bigint, null_articles bigint, first_day string, last_day string").json(path)
+
+
+@query("experiments_roundtrip", S.mining_with(*S.itemsets_upto3(SUPPORT)) + " UNION ALL ".join(
+    f"""SELECT '{c}' AS config, '{m}' AS algorithm, (SELECT count(*) FROM itemsets WHERE length <= {n})
+          AS frequent_itemsets, CAST({n} AS INTEGER) AS max_len, 'ok' AS status"""
+    for c, n in (("pairs", 2), ("triples", 3)) for m in ("apriori", "eclat")))
+def experiments_roundtrip(spark, sf_dir):
+    """Two configs, each added to the experiment log when it is done, and the
+    log read back."""
+    path = ingest.scratch_path(spark, "experiments")
+    text = cut_lineage(prep.baskets_as_text(product_group_baskets(spark, sf_dir)))
+    base = dict(max_baskets=0, top_items=0, min_support=SUPPORT)
+    experiments.experiment_grid(text, [dict(name="pairs", max_len=2), dict(name="triples", max_len=3)], base,
+                                ("apriori", "eclat"), sink=path)
+    return files.read_experiments(spark, path).select("config", "algorithm", "frequent_itemsets", "max_len", "status")

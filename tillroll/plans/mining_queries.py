@@ -5,10 +5,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillroll.operators import mining
+from tillroll.operators import baskets as B
+from tillroll.operators import compare, experiments, mining, patterns, prep
+from tillroll.operators import itemsets as IS
+from tillroll.operators import rules as R
 from tillroll.plans import sql as S
-from tillroll.plans.inputs import mining_baskets
+from tillroll.plans.inputs import (
+    article_names, basket_arrays, garment_baskets, mining_baskets, product_group_baskets,
+)
 from tillroll.plans.registry import query
+from tillroll.session import cut_lineage, held
 
 MIN_SUPPORT = 0.005
 MAX_LEN = 3
@@ -43,15 +49,6 @@ def eclat_itemsets(spark, sf_dir):
 
 # -- itemset post-processing -------------------------------------------------
 
-from tillroll.operators import compare, experiments, itemsets as IS, rules as R  # noqa: E402
-from tillroll.operators import baskets as B  # noqa: E402
-from tillroll.operators import variants as V  # noqa: E402
-from tillroll.plans.inputs import (  # noqa: E402
-    article_names, basket_arrays, garment_baskets, product_group_baskets,
-)
-from tillroll.sources import tables  # noqa: E402
-from tillroll.operators import prep  # noqa: E402
-
 ARTICLE_SUPPORT, ARTICLE_MAX_LEN = 0.002, 2
 MIN_ITEMSET_LENGTH = 2
 TOP_RESULTS = 20
@@ -105,25 +102,41 @@ def combo_cards(spark, sf_dir):
 
 # -- comparison of methods ---------------------------------------------------
 
-def _three(spark, sf_dir):
-    tx = mining_baskets(spark, sf_dir)
-    return experiments.run_methods(tx, MIN_SUPPORT, MAX_LEN)
+# the methods on the same baskets: with equal parameters, and each with its own
+EQUAL = {m: (MIN_SUPPORT, MAX_LEN) for m in ("apriori", "fpgrowth", "eclat")}
+OWN = {"apriori": (MIN_SUPPORT, MAX_LEN), "fpgrowth": (MIN_SUPPORT, 2), "eclat": (2 * MIN_SUPPORT, MAX_LEN)}
+_OWN_SQL = S.mining_with(*[cte for m, (support, length) in OWN.items()
+                           for cte in S.itemsets_sql(support, length, name=f"own_{m}")])
+
+
+def _mined(tx, settings):
+    return {m: mining.mine(tx, support, length, m) for m, (support, length) in settings.items()}
+
 
+def _own(spark, sf_dir):
+    with held(mining_baskets(spark, sf_dir)) as tx:
+        return _mined(tx, OWN)
 
-@query("common_itemsets", _ITEMSETS_SQL + "SELECT count(*) AS common_itemsets FROM itemsets")
+
+@query("common_itemsets", _OWN_SQL + "SELECT count(*) AS common_itemsets FROM ("
+       + " INTERSECT ".join(f"SELECT itemset_key FROM own_{m}" for m in OWN) + ")")
 def common_itemsets(spark, sf_dir):
-    res = _three(spark, sf_dir)
+    res = _own(spark, sf_dir)
     return compare.common_itemsets(compare.method_long(res), list(res))
 
 
 _PAIRS = [("apriori", "eclat"), ("apriori", "fpgrowth"), ("eclat", "fpgrowth")]
 
 
-@query("pairwise_differences", " UNION ALL ".join(
-    f"SELECT '{l}_vs_{r}' AS pair, '{l}' AS left_method, '{r}' AS right_method, CAST(0 AS BIGINT) AS only_left, "
-    f"CAST(0 AS BIGINT) AS only_right, CAST(0 AS BIGINT) AS total_difference" for l, r in _PAIRS))
+def _only(left: str, right: str) -> str:
+    return f"(SELECT count(*) FROM (SELECT itemset_key FROM own_{left} EXCEPT SELECT itemset_key FROM own_{right}))"
+
+
+@query("pairwise_differences", _OWN_SQL + " UNION ALL ".join(
+    f"SELECT '{l}_vs_{r}' AS pair, '{l}' AS left_method, '{r}' AS right_method, {_only(l, r)} AS only_left, "
+    f"{_only(r, l)} AS only_right, {_only(l, r)} + {_only(r, l)} AS total_difference" for l, r in _PAIRS))
 def pairwise_differences(spark, sf_dir):
-    res = _three(spark, sf_dir)
+    res = _own(spark, sf_dir)
     return compare.pairwise_differences(compare.method_long(res), list(res))
 
 
@@ -136,16 +149,29 @@ _STATS_SQL = """stats AS (SELECT (SELECT count(*) FROM mining_baskets) AS transa
     f"(SELECT coalesce(max(length), 0) FROM itemsets) AS max_itemset_length, transactions, unique_items FROM stats"
     for m in ("apriori", "fpgrowth", "eclat")))
 def method_summary(spark, sf_dir):
-    tx = mining_baskets(spark, sf_dir)
-    return experiments.method_summary(experiments.run_methods(tx, MIN_SUPPORT, MAX_LEN), B.basket_stats(tx))
+    with held(mining_baskets(spark, sf_dir)) as tx:
+        results, _ = experiments.run_methods(tx, MIN_SUPPORT, MAX_LEN)
+        return cut_lineage(experiments.method_summary(results, B.basket_stats(tx)))
+
+
+_AGREE_SQL = """SELECT '{run}' AS run, count(*) AS methods, count(DISTINCT n) = 1 AS all_agree, min(n) AS min_itemsets,
+  max(n) AS max_itemsets FROM ({counts})"""
 
 
-@query("method_agreement", _ITEMSETS_SQL + """SELECT CAST(3 AS BIGINT) AS methods, true AS all_agree,
-  (SELECT count(*) FROM itemsets) AS min_itemsets, (SELECT count(*) FROM itemsets) AS max_itemsets""")
+@query("method_agreement", S.mining_with(*S.itemsets_sql(MIN_SUPPORT, MAX_LEN),
+                                         *[cte for m, (support, length) in OWN.items()
+                                           for cte in S.itemsets_sql(support, length, name=f"own_{m}")])
+       + _AGREE_SQL.format(run="equal", counts=" UNION ALL ".join(
+           "SELECT count(*) AS n FROM itemsets" for _ in EQUAL))
+       + " UNION ALL " + _AGREE_SQL.format(run="own", counts=" UNION ALL ".join(
+           f"SELECT count(*) AS n FROM own_{m}" for m in OWN)))
 def method_agreement(spark, sf_dir):
-    tx = mining_baskets(spark, sf_dir)
-    summary = experiments.method_summary(experiments.run_methods(tx, MIN_SUPPORT, MAX_LEN), B.basket_stats(tx))
-    return compare.method_agreement(summary)
+    """Agreement with equal parameters, and with each method's own."""
+    with held(mining_baskets(spark, sf_dir)) as tx:
+        stats = cut_lineage(B.basket_stats(tx))
+        runs = [compare.method_agreement(experiments.method_summary(_mined(tx, settings), stats)).select(
+            F.lit(run).alias("run"), "*") for run, settings in (("equal", EQUAL), ("own", OWN))]
+        return cut_lineage(runs[0].unionByName(runs[1]))
 
 
 # -- association rules -------------------------------------------------------
@@ -235,16 +261,9 @@ SELECT (SELECT count(*) FROM garment_baskets) AS transactions,
        (SELECT count(*) FROM itemsets) AS total_frequent_itemsets,
        (SELECT count(*) FROM rules WHERE rule_length >= {MIN_ITEMSET_LENGTH}) AS rules""")
 def pattern_summary(spark, sf_dir):
-    tx = garment_baskets(spark, sf_dir)
-    found = mining.apriori(tx, RULE_SUPPORT, RULE_MAX_LEN)
-    rules = R.rules_min_length(R.association_rules(found, MIN_CONFIDENCE), MIN_ITEMSET_LENGTH)
-    stats = B.basket_stats(tx)
-    return stats.select(
-        "transactions", "unique_items",
-        found.filter(F.col("length") >= MIN_ITEMSET_LENGTH).select(F.count(F.lit(1))).scalar().alias(
-            "frequent_itemsets"),
-        found.select(F.count(F.lit(1))).scalar().alias("total_frequent_itemsets"),
-        rules.select(F.count(F.lit(1))).scalar().alias("rules"))
+    found = patterns.find_patterns(garment_baskets(spark, sf_dir), RULE_SUPPORT, RULE_MAX_LEN, MIN_CONFIDENCE,
+                                   MIN_ITEMSET_LENGTH, TOP_RESULTS)
+    return found.summary
 
 
 # -- experiment grid (H2, H3) ---------------------------------------------------
@@ -288,5 +307,5 @@ def _grid_sql() -> str:
 
 @query("experiment_grid", _grid_sql())
 def experiment_grid(spark, sf_dir):
-    text = prep.baskets_as_text(product_group_baskets(spark, sf_dir))
+    text = cut_lineage(prep.baskets_as_text(product_group_baskets(spark, sf_dir)))
     return experiments.experiment_grid(text, GRID)

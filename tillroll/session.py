@@ -5,14 +5,19 @@ from __future__ import annotations
 import math
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows above which a derived table is never broadcast; such sides are joined
-# by shuffle instead.  Every broadcast in this package goes through
+# Rows and bytes above which a derived table is never broadcast; such sides
+# are joined by shuffle instead.  Every broadcast in this package goes through
 # ``broadcast_if_small`` so the bound is checked, never assumed.
 BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_BYTE_LIMIT = 64 << 20
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -38,7 +43,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
-        builder = builder.config("spark.driver.memory", os.environ.get("TILLROLL_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("TILLROLL_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -66,6 +71,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_OWNED: list[str] = []  # tables written by this process and not released yet
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
@@ -73,17 +81,39 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     earlier level's plan in the next one and spend their time planning.  A
     written table survives executor loss (unlike a local checkpoint), costs
     one job (an RDD checkpoint runs two) and reads back as a plan leaf whose
-    row count comes from the Parquet footers."""
-    import uuid
+    row count comes from the Parquet footers.  ``release_tables`` empties the
+    tables of a job whose results have been used."""
+    path = _new_table(df.sparkSession)
+    _OWNED.append(path)
+    return _written(df, path)
+
+
+def _new_table(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+
 
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/stage-{uuid.uuid4().hex}"
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def _empty_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove the data of written tables (an overwrite with no rows)."""
+    for path in paths:
+        spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Empty every table written so far by ``cut_lineage``; frames that read
+    them must not be used afterwards.  Returns how many there were."""
+    paths, _OWNED[:] = list(_OWNED), []
+    _empty_tables(spark, paths)
+    return len(paths)
+
+
 class Scratch:
-    """Lineage cuts owned by one job, removed together when it is done.
+    """Lineage cuts owned by one job: a context that empties them at its end,
+    also when the job fails.
 
     Iterative miners write one small table per level; once their result is
     written, those tables are dropped from the shared folder."""
@@ -91,27 +121,73 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
+        self.held: list[DataFrame] = []
 
     def cut(self, df: DataFrame) -> DataFrame:
-        out = cut_lineage(df)
-        self.paths.extend(sorted({f.rsplit("/", 1)[0] for f in out.inputFiles()}))
-        return out
+        self.paths.append(_new_table(self.spark))
+        return _written(df, self.paths[-1])
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        """Cache ``df`` (memory, then disk) until the end of the job."""
+        self.held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self.held[-1]
 
     def clear(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for p in dict.fromkeys(self.paths):
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
-        self.paths.clear()
-
-
-def broadcast_if_small(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT,
-                       known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a measured row count; otherwise leave the
-    join to a shuffle (and to AQE, which may still demote it at run time)."""
-    rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= row_limit else df
+        for df in self.held:
+            df.unpersist()
+        self.held.clear()
+        paths, self.paths = self.paths, []
+        _empty_tables(self.spark, paths)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.clear()
+
+
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` cached (memory, then disk) for the block; whatever is to
+    outlive the block has to be written inside it."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row, measured where the type has no fixed width."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        kind, c = f.dataType.typeName(), F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            w = F.octet_length(c)
+        elif kind == "array" and f.dataType.elementType.typeName() == "string":
+            w = F.octet_length(F.array_join(c, "")) + F.size(c) * 8
+        elif kind in ("array", "map"):
+            w = F.size(c) * 16
+        else:
+            w = F.lit(16 if kind in ("struct", "decimal") else 8)
+        total = total + F.coalesce(w, F.lit(0))
+    return total
+
+
+def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, byte_limit: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Measured rows and bytes of ``df`` are within the limits."""
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
+    return rows <= row_limit and size <= byte_limit
+
+
+def broadcast_if_small(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, known_rows: int | None = None,
+                       byte_limit: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
+    """Broadcast hint only behind a measured row count and size; otherwise the
+    join shuffles, and AQE may split its skewed partitions.  ``known_rows``
+    (a count the caller has) spares the job where it is over the limit."""
+    if known_rows is not None and known_rows > row_limit:
+        return df
+    return F.broadcast(df) if fits_broadcast(df, row_limit, byte_limit) else df
 
 
 def support_threshold(min_support: float, n: int) -> int:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# File headers and run-log columns.
 TRANSACTION_SCHEMA = T.StructType([
     T.StructField("t_dat", T.StringType()),
     T.StructField("customer_id", T.StringType()),
@@ -17,6 +18,23 @@ TRANSACTION_SCHEMA = T.StructType([
     T.StructField("price", T.DoubleType()),
     T.StructField("sales_channel_id", T.IntegerType()),
 ])
+ARTICLE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in [
+    "article_id", "prod_name", "product_type_name", "product_group_name", "graphical_appearance_name",
+    "colour_group_name", "department_name", "section_name", "garment_group_name", "detail_desc"]])
+CUSTOMER_SCHEMA = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("age", T.DoubleType()),
+                                T.StructField("club_member_status", T.StringType()),
+                                T.StructField("fashion_news_frequency", T.StringType())])
+BASKET_SCHEMA = "transaction_id string, customer_id string, t_dat string, items string, item_count bigint"
+EXPERIMENT_SCHEMA = T.StructType([
+    T.StructField("config", T.StringType()), T.StructField("algorithm", T.StringType()),
+    T.StructField("elapsed_seconds", T.DoubleType()), T.StructField("fastest", T.BooleanType()),
+    T.StructField("frequent_itemsets", T.LongType()), T.StructField("max_itemset_length", T.IntegerType()),
+    T.StructField("transactions", T.LongType()), T.StructField("unique_items", T.LongType()),
+    T.StructField("max_baskets", T.LongType()), T.StructField("top_items", T.LongType()),
+    T.StructField("min_support", T.DoubleType()), T.StructField("max_len", T.IntegerType()),
+    T.StructField("common_itemsets", T.LongType()), T.StructField("start_date", T.StringType()),
+    T.StructField("end_date", T.StringType()), T.StructField("status", T.StringType()),
+    T.StructField("error", T.StringType())])
 CATALOG_SCHEMA = "rank int, old_article_idx int, new_item_idx int"
 METRIC_SCHEMA = ("Model string, Loss double, `Accuracy (Top-1)` double, `Top-3 Accuracy` double, "
                  "`Top-5 Accuracy` double, `Top-10 Accuracy` double, `Top-20 Accuracy` double")
@@ -32,6 +50,25 @@ def read_transactions_csv(spark: SparkSession, path: str, columns=("t_dat", "cus
     return spark.read.schema(TRANSACTION_SCHEMA).option("header", True).csv(path).select(*columns)
 
 
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` by the names in the file's header (in any order;
+    a column the file lacks is null)."""
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    have = {c.strip().lower(): c for c in raw.columns}
+    return raw.select(*[(F.col(f"`{have[f.name]}`") if f.name in have else F.lit(None)).try_cast(f.dataType).alias(f.name)
+                        for f in schema])
+
+
+def read_articles_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The article columns in use out of a wider file."""
+    return _read_csv(spark, path, ARTICLE_SCHEMA)
+
+
+def read_customers_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Customers; an age that is no number is null."""
+    return _read_csv(spark, path, CUSTOMER_SCHEMA)
+
+
 def write_baskets(baskets: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Baskets partitioned by year of the day, so a date filter on read
     prunes whole folders; CSV keeps the items as one blank-joined column."""
@@ -43,7 +80,10 @@ def write_baskets(baskets: DataFrame, path: str, fmt: str = "parquet") -> None:
         out.write.mode("overwrite").partitionBy("t_year").parquet(path)
 
 
-def read_baskets(spark: SparkSession, path: str) -> DataFrame:
+def read_baskets(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Baskets of either format; CSV items stay text (``load_baskets`` parses)."""
+    if fmt == "csv":
+        return spark.read.schema(f"{BASKET_SCHEMA}, t_year string").option("header", True).csv(path)
     return spark.read.parquet(path)
 
 
@@ -55,8 +95,19 @@ def write_itemsets(itemsets: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """Small result tables (summaries, manifests, profiles) as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Result tables (summaries, manifests, profiles) as JSON lines, written
+    by as many tasks as the table has."""
+    df.write.mode("overwrite").json(path)
+
+
+def write_experiment(rows: DataFrame, path: str) -> None:
+    """Add one config's rows to the experiment log (CSV, a folder a config)."""
+    rows.write.mode("append").partitionBy("config").option("header", True).csv(path)
+
+
+def read_experiments(spark: SparkSession, path: str) -> DataFrame:
+    """The summary over all configs written so far."""
+    return spark.read.schema(EXPERIMENT_SCHEMA).option("header", True).csv(path)
 
 
 def write_variants(variants: DataFrame, path: str) -> None:

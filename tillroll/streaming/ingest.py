@@ -1,18 +1,15 @@
 """Incremental ingest of purchase lines with key de-duplication (ST1).
 
-Files are consumed a few at a time (``maxFilesPerTrigger``) with
-``Trigger.AvailableNow``.  Two ways to keep the unique-lines table:
-
-* ``merge`` (default): every micro-batch is de-duplicated on the line key
-  and anti-joined against the lines already written for the same months (the
-  table is partitioned by day), then appended.  No streaming state at all,
-  and a replayed batch adds nothing twice.
-* ``state``: ``dropDuplicatesWithinWatermark`` on the key with a watermark on
-  the order day, so the de-duplication state is bounded for endless input.
+Files are consumed with ``Trigger.AvailableNow``.  Every micro-batch is
+de-duplicated on the line key and anti-joined against the lines already
+written for the same months (the table is partitioned by month), then
+appended.  There is no streaming state and no watermark: files may come in any
+order, lines of any age are kept, and a replayed batch adds nothing twice.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +17,10 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import zfill
 from tillroll.operators.prep import LINE_KEY
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.session import ensure_checkpoint_dir, held
 
-
-WRITERS_PER_MONTH = 4
+ROWS_PER_WRITER = 1_000_000
+TABLE_SCHEMA = "t_dat string, customer_id string, article_id string, t_month string"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -31,59 +28,54 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def lines_stream(spark: SparkSession, lineitem_path: str, orders: DataFrame, max_files_per_trigger: int = 2) -> DataFrame:
+def lines_stream(spark: SparkSession, lineitem_path: str, orders: DataFrame,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming purchase lines: lineitem files as they arrive, joined to the
-    (static) orders table -- a stream-static equi-join."""
+    (static) orders table -- a stream-static equi-join, once per micro-batch.
+    Without ``max_files_per_trigger`` all files there are make one batch."""
     schema = spark.read.parquet(lineitem_path).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-    source = lineitem_path
-    if lineitem_path.endswith(".parquet"):
-        # the file source wants a folder or a glob: a one-character class
-        # turns a single file name into a glob matching exactly that file
-        source = lineitem_path[:-1] + "[" + lineitem_path[-1] + "]"
-    items = reader.parquet(source).select("l_orderkey", "l_partkey")
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    items = reader.parquet(lineitem_path).select("l_orderkey", "l_partkey")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     joined = items.join(o, items.l_orderkey == o.o_orderkey)
     return joined.select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("t_dat"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         zfill(F.col("l_partkey").cast("string")).alias("article_id"),
-        F.col("o_orderdate").cast("timestamp").alias("event_ts"),  # watermarks need TIMESTAMP
     ).na.drop(subset=LINE_KEY)
 
 
-def ingest_unique_lines(stream: DataFrame, table_path: str, checkpoint_location: str, mode: str = "merge",
-                        watermark: str = "400 days") -> None:
+def read_unique_lines(spark: SparkSession, table_path: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMA).parquet(table_path)
+
+
+def ingest_unique_lines(stream: DataFrame, table_path: str, checkpoint_location: str,
+                        rows_per_writer: int = ROWS_PER_WRITER) -> None:
     """Run the stream to completion (available-now) into ``table_path``."""
     spark = stream.sparkSession
-    if mode == "merge":
-        def merge(batch: DataFrame, epoch_id: int) -> None:
-            new = (batch.select(*LINE_KEY).dropDuplicates(LINE_KEY)
-                   .withColumn("t_month", F.substring("t_dat", 1, 7)).persist())
-            # the table is partitioned by month: only the months present in
-            # this micro-batch are read back (a short list, bounded by the span
-            # one batch covers), so the anti-join never scans the whole table
-            months = [r[0] for r in new.select("t_month").distinct().collect()]
-            if months:
-                try:
-                    existing = spark.read.parquet(table_path).filter(F.col("t_month").isin(months)).select(
-                        *LINE_KEY, "t_month")
-                    fresh = new.join(existing, [*LINE_KEY, "t_month"], "left_anti")
-                except Exception:  # noqa: BLE001 - first batch: no table yet
-                    fresh = new
-                # a few writers per month (salted, so a hot month is still
-                # split) instead of every task writing every month's folder
-                salt = F.pmod(F.xxhash64(*LINE_KEY), F.lit(WRITERS_PER_MONTH))
-                fresh.repartition("t_month", salt).write.mode("append").partitionBy("t_month").parquet(table_path)
-            new.unpersist()
-
-        writer = stream.writeStream.foreachBatch(merge)
-    elif mode == "state":
-        deduped = stream.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(LINE_KEY)
-        writer = deduped.select(*LINE_KEY).writeStream.format("parquet").option("path", table_path)
-    else:
-        raise ValueError("mode must be 'merge' or 'state'")
-    query = writer.option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start()
+    # makes the folder, so that every batch can read the table it adds to
+    spark.range(0).select(*[F.lit("").alias(c) for c in [*LINE_KEY, "t_month"]]).write.mode("append").parquet(table_path)
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        unique = batch.select(*LINE_KEY).dropDuplicates(LINE_KEY).withColumn("t_month", F.substring("t_dat", 1, 7))
+        with held(unique) as new:
+            sizes = new.groupBy("t_month").count().collect()  # one row per month in the batch
+            if not sizes:
+                return
+            existing = read_unique_lines(batch.sparkSession, table_path).filter(
+                F.col("t_month").isin([r["t_month"] for r in sizes]))
+            fresh = new.join(existing, [*LINE_KEY, "t_month"], "left_anti")
+            # writers by size: a month's lines are dealt to as many tasks as they fill
+            writers = {r["t_month"]: math.ceil(r["count"] / rows_per_writer) for r in sizes}
+            per_month = F.create_map(*[F.lit(x) for kv in writers.items() for x in kv])
+            salt = F.pmod(F.xxhash64(*LINE_KEY), per_month[F.col("t_month")])
+            fresh.repartition(sum(writers.values()), "t_month", salt).write.mode("append").partitionBy(
+                "t_month").parquet(table_path)
+
+    query = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_location)
+             .trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

@@ -12,16 +12,20 @@ from pyspark.sql import functions as F
 
 from tillroll.session import BROADCAST_ROW_LIMIT
 
+BATCH_ROWS = 1000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# letters outside A-Z that lower() would change as well
-OTHER_UPPER = r"[\p{IsUppercase}\p{Lt}&&[^A-Z]]"
+# characters outside ASCII and a few blocks without capitals (Latin-1 small
+# letters and signs, punctuation, Hebrew to Sinhala, kana to CJK, Hangul):
+# lower() might change these
+MAY_CHANGE = r"[^\x00-\x7F\u00A0-\u00BF\u00D7\u00DF-\u00FF\u0590-\u0DFF\u2010-\u2044\u20AC\u3040-\u9FFF\uAC00-\uD7A3]"
 
 
 def ascii_lower(c: Column) -> Column:
-    """Lower-case A-Z only.  ``lower`` gives the same for texts without any
-    other upper-case letter and is several times faster than ``translate``."""
+    """Lower-case A-Z only.  ``lower`` gives the same for texts of characters
+    that it leaves alone otherwise, and is several times faster than
+    ``translate``."""
     return (F.when(F.octet_length(c) == F.char_length(c), F.lower(c))
-            .when(~c.rlike(OTHER_UPPER), F.lower(c))
+            .when(~c.rlike(MAY_CHANGE), F.lower(c))
             .otherwise(F.translate(c, UPPER, UPPER.lower())))
 
 
@@ -30,11 +34,6 @@ def text_or_empty(df: DataFrame, text: str = "text") -> Column:
     return F.coalesce(df[text].cast("string"), F.lit(""))
 
 
-def own(prefix: str, name: str) -> str:
-    """A column name of ours that cannot clash with a caller's extra column."""
-    return f"__{prefix}_{name}"
-
-
 def broadcast_checked(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast hint for a narrow table whose rows were counted and are few;
     beyond the limit the join shuffles (and AQE splits its skewed partitions)."""
@@ -94,6 +93,11 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package at hand in the workers."""
-    ship_package(df.sparkSession)
+    """``mapInArrow`` with the package at hand in the workers, in batches of
+    ``BATCH_ROWS`` rows at most: the default of 10,000 rows is sized for
+    numbers, not for whole texts."""
+    spark, rows = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    ship_package(spark)
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     return df.mapInArrow(function, schema)

@@ -47,9 +47,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         step = 4 * capacity
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for part, encoded in encoded_slices(batch, tokenizer, 1, end_id):
+            for first, encoded in encoded_slices(batch, tokenizer, 1, end_id):
                 out: list[list] = [[], [], [], [], []]
-                for i, e in zip(part, encoded):
+                for i, e in enumerate(encoded, first):
                     view = memoryview(e)
                     for k, at in enumerate(range(0, len(e), step)):
                         chunk = view[at:at + step]

@@ -38,15 +38,15 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str, end_id: int = EN
         seq = 0
         for batch in batches:
             doc_ids = batch.column(0)
-            for part, encoded in encoded_slices(batch, tokenizer, 1, end_id):
+            for first, encoded in encoded_slices(batch, tokenizer, 1, end_id):
                 n = np.array([len(e) // 4 for e in encoded], dtype=np.int32)
                 flat = pa.array(np.frombuffer(b"".join(encoded), dtype="<u4").astype(np.int32))
                 ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(part[0], len(part)), pa.array(np.arange(seq, seq + len(part), dtype=np.int64)),
+                    [doc_ids.slice(first, len(n)), pa.array(np.arange(seq, seq + len(n), dtype=np.int64)),
                      pa.array(n), pa.ListArray.from_arrays(pa.array(ends), flat)],
                     ["doc_id", "seq", "n_tokens", "ids"])
-                seq += len(part)
+                seq += len(n)
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
     ranged = src.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

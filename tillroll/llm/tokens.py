@@ -22,7 +22,7 @@ from array import array
 from codecs import charmap_decode
 from collections.abc import Iterator
 
-MEMO_WORDS = 250_000   # of each of the two generations
+MEMO_WORDS = 200_000   # of each of the two generations
 MEMO_BYTES = 64        # longer words are not kept
 # signs that end a word; an apostrophe may begin a contraction, so it is not one
 SIGNS = string.punctuation.replace("'", "").encode()
@@ -31,7 +31,7 @@ SIGNS = string.punctuation.replace("'", "").encode()
 _OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
 BYTE_LETTERS = "".join(chr(256 + _OTHERS.index(b) if b in _OTHERS else b) for b in range(256))
 ID_BYTES: list[bytes] = []  # of every id of the vocabulary
-SLICE_BYTES = 4 << 20  # texts are handled in slices of about this size
+SLICE_BYTES = 1 << 20  # texts are handled in slices of about this size
 
 
 class WordEncoder:
@@ -109,28 +109,27 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def slices(texts: list, limit: int = SLICE_BYTES) -> Iterator[list[int]]:
-    """Index lists whose texts together hold about ``limit`` bytes."""
-    part, size = [], 0
-    for i, t in enumerate(texts):
-        part.append(i)
-        size += len(t or b"")
-        if size >= limit:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def text_slices(batch, column: int) -> Iterator[tuple[int, list[bytes]]]:
+    """Of an Arrow batch: (number of the first row, texts), in slices of about
+    ``SLICE_BYTES``, so that only a slice is held twice."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
+    texts = batch.column(column).cast(pa.binary())
+    first, size = 0, 0
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        size += n or 0
+        if size >= SLICE_BYTES or i == len(texts) - 1:
+            yield first, [t or b"" for t in texts.slice(first, i + 1 - first).to_pylist()]
+            first, size = i + 1, 0
 
-def encoded_slices(batch, path: str, text: int, end_id: int) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Of an Arrow batch: (row numbers, ids of each as bytes with the end id)."""
-    import pyarrow as pa
 
-    texts = batch.column(text).cast(pa.binary()).to_pylist()
+def encoded_slices(batch, path: str, text: int, end_id: int) -> Iterator[tuple[int, list[bytes]]]:
+    """Of an Arrow batch: (number of the first row, ids as bytes with the end id)."""
     end = array("I", [end_id]).tobytes()
     enc = encoder(path)
-    for part in slices(texts):
-        yield part, [ids + end for ids in enc.encode_many([texts[i] or b"" for i in part])]
+    for first, texts in text_slices(batch, text):
+        yield first, [ids + end for ids in enc.encode_many(texts)]
 
 
 def crc(ids) -> int:

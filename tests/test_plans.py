@@ -42,7 +42,7 @@ def test_inner_plans_of_the_miners(spark):
     cand = spark.createDataFrame([(["i000", "i001"], "i002")], "prefix array<string>, ext string")
     occ = pairs.select("transaction_id", "items", F.array("a", "b").alias("itemset"))
     wide = baskets.filter(F.size("items") > 4).select("transaction_id", F.explode("items").alias("ext"))
-    grown = levelwise._extended(occ, cand, wide, [])
+    grown = levelwise._extended(occ, cand, True, wide, [])
     assert_plan_is_scalable("extended", grown.groupBy("itemset").count())
     assert grown.count() == baskets.filter(F.size("items") >= 3).count()
 

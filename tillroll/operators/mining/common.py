@@ -32,10 +32,12 @@ def normalize_baskets(baskets: DataFrame, group_cols: list[str]) -> DataFrame:
     """Distinct sorted items per basket; one hash shuffle on the basket key
     so that a later per-basket regroup (explode -> broadcast join -> group by
     basket) finds its input already clustered.  The width is the session's
-    shuffle width, which AQE fits to the data."""
+    shuffle width, stated so that AQE does not merge partitions by their
+    bytes: the levels that follow do far more work per byte than a scan."""
+    width = int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return baskets.select(
         *group_cols, "transaction_id", F.sort_array(F.array_distinct("items")).alias("items")
-    ).repartition(*group_cols, "transaction_id")
+    ).repartition(width, *group_cols, "transaction_id")
 
 
 @dataclass
@@ -100,17 +102,20 @@ def trim_baskets(items: DataFrame, frequent: DataFrame, group_cols: list[str]) -
             .filter(F.size("items") >= 2))
 
 
-def basket_pairs(trimmed: DataFrame, group_cols: list[str], block: int) -> DataFrame:
+def basket_pairs(trimmed: DataFrame, group_cols: list[str], block: int, any_wide: bool = True) -> DataFrame:
     """``(group, transaction_id, items, a, b)``: the item pairs ``a < b`` of
     every basket.  A basket of up to ``block`` items is paired inside its row
     and keeps its items; a wider one is cut into blocks of that many, each
     pair of blocks is a row of its own (spread over tasks, ``items`` null),
     so one huge basket is never expanded in one row.  Only a basket's own
-    items are ever paired."""
+    items are ever paired.  ``any_wide=False``: no basket is wider."""
     keys = [*group_cols, "transaction_id"]
     narrow = trimmed.filter(F.size("items") <= block)
     wide = trimmed.filter(F.size("items") > block)
     inside = narrow.select(*keys, "items", F.explode(in_row_pairs(F.col("items"))).alias("p"))
+    inside = inside.select(*keys, "items", "p.a", "p.b")
+    if not any_wide:
+        return inside
     n = F.ceil(F.size("items") / F.lit(block)).cast("int")
     part = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice("items", i * block + 1, F.lit(block)))
     cut = wide.select(*keys, part.alias("parts")).select(*keys, "parts", F.posexplode("parts").alias("i", "left"))
@@ -120,7 +125,7 @@ def basket_pairs(trimmed: DataFrame, group_cols: list[str], block: int) -> DataF
         "left", lambda x: F.transform("right", lambda y: F.struct(x.alias("a"), y.alias("b"))))))
     empty = F.lit(None).cast("array<string>").alias("items")
     outside = both.select(*keys, empty, F.explode(across).alias("p"))
-    return inside.unionByName(outside).select(*keys, "items", "p.a", "p.b")
+    return inside.unionByName(outside.select(*keys, "items", "p.a", "p.b"))
 
 
 def next_candidates(level: DataFrame, k: int, group_cols: list[str]) -> DataFrame:

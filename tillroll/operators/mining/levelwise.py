@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tillroll.operators.mining.common import (
     basket_pairs, check_args, empty_itemsets, finish, next_candidates, normalize_baskets, thresholds, trim_baskets,
 )
-from tillroll.session import Scratch, broadcast_if_small, cut_lineage
+from tillroll.session import Scratch, cut_lineage, fits, measured
 
 WIDE_WIDTH = 64
 
@@ -36,11 +36,12 @@ def _count(occ: DataFrame, group_cols: list[str]) -> DataFrame:
     return occ.groupBy(*group_cols, "itemset").agg(F.count(F.lit(1)).alias("support_count"))
 
 
-def _extended(occ: DataFrame, cand: DataFrame, wide_items: DataFrame | None, g: list[str]) -> DataFrame:
-    """Occurrences ``(group, transaction_id, items, itemset)`` of the candidates."""
+def _extended(occ: DataFrame, cand: DataFrame, small: bool, wide_items: DataFrame | None, g: list[str]) -> DataFrame:
+    """Occurrences ``(group, transaction_id, items, itemset)`` of the
+    candidates; ``small``: they may be broadcast."""
     keys = [*g, "transaction_id"]
-    by_prefix = broadcast_if_small(cand.groupBy(*g, F.col("prefix").alias("itemset")).agg(
-        F.collect_list("ext").alias("exts")))
+    by_prefix = cand.groupBy(*g, F.col("prefix").alias("itemset")).agg(F.collect_list("ext").alias("exts"))
+    by_prefix = F.broadcast(by_prefix) if small else by_prefix
     met = occ.join(by_prefix, [*g, "itemset"])
     inside = met.filter(F.col("items").isNotNull()).select(
         *keys, "items", "itemset", F.explode(F.array_intersect("exts", "items")).alias("ext"))
@@ -61,27 +62,28 @@ def apriori(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols
         th = thresholds(b, min_support, g, scratch.cut)
         occ1 = b.select(*g, "transaction_id", F.explode("items").alias("item"))
         l1 = scratch.cut(th.keep_frequent(occ1.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("support_count"))))
-        if l1.isEmpty():
+        size = measured(l1)
+        if not size[0]:
             return empty_itemsets(spark, g)
         levels = [l1.select(*g, F.array("item").alias("itemset"), "support_count")]
         if max_len >= 2:
-            trimmed = scratch.hold(trim_baskets(occ1, broadcast_if_small(l1.select(*g, "item")), g))
+            frequent = l1.select(*g, "item")
+            trimmed = scratch.hold(trim_baskets(occ1, F.broadcast(frequent) if fits(*size) else frequent, g))
             wide = trimmed.filter(F.size("items") > wide_width)
             wide_items = None if wide.isEmpty() else wide.select(
                 *g, "transaction_id", F.explode("items").alias("ext"))
-            occ = basket_pairs(trimmed, g, wide_width).select(
+            occ = basket_pairs(trimmed, g, wide_width, wide_items is not None).select(
                 *g, "transaction_id", "items", F.array("a", "b").alias("itemset"))
             for k in range(2, max_len + 1):
                 lk = scratch.cut(th.keep_frequent(_count(occ, g)))
-                if lk.isEmpty():
-                    break
                 levels.append(lk)
-                if k == max_len:
+                if k == max_len or lk.isEmpty():
                     break
                 cand = scratch.cut(next_candidates(lk.select(*g, F.col("itemset").alias("items")), k + 1, g))
-                if cand.isEmpty():
+                size = measured(cand)
+                if not size[0]:
                     break
-                occ = _extended(occ, cand, wide_items, g)
+                occ = _extended(occ, cand, fits(*size), wide_items, g)
         out = reduce(DataFrame.unionByName, [lv.select(*g, "itemset", "support_count") for lv in levels])
         # the itemset table is output-sized; writing it makes downstream plans
         # (rules, comparisons) start from a leaf, after which the caches go

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tillroll.operators.mining.common import (
     basket_pairs, check_args, empty_itemsets, finish, next_candidates, normalize_baskets, thresholds, trim_baskets,
 )
-from tillroll.session import Scratch, broadcast_if_small, cut_lineage
+from tillroll.session import Scratch, cut_lineage, fits, measured
 
 TIDS_PER_BUCKET = 50_000
 PAIR_BLOCK = 64
@@ -42,12 +42,16 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
         th = thresholds(b, min_support, g, scratch.cut)
         items = b.select(*g, F.col("tid").alias("transaction_id"), F.explode("items").alias("item"))
         l1 = scratch.cut(th.keep_frequent(items.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("support_count"))))
-        if l1.isEmpty():
+        size = measured(l1)
+        if not size[0]:
             return empty_itemsets(spark, g)
-        frequent = broadcast_if_small(l1.select(*g, "item"))
+        frequent = l1.select(*g, "item")
+        frequent = F.broadcast(frequent) if fits(*size) else frequent
         levels = [l1.select(*g, F.array("item").alias("items"), "support_count")]
         if max_len >= 2:
-            pairs = basket_pairs(trim_baskets(items, frequent, g), g, PAIR_BLOCK)
+            trimmed = scratch.hold(trim_baskets(items, frequent, g))
+            any_wide = not trimmed.filter(F.size("items") > PAIR_BLOCK).isEmpty()
+            pairs = basket_pairs(trimmed, g, PAIR_BLOCK, any_wide)
             l2 = scratch.cut(th.keep_frequent(pairs.groupBy(*g, F.array("a", "b").alias("items")).agg(
                 F.count(F.lit(1)).alias("support_count"))))
             levels.append(l2)
@@ -61,19 +65,23 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
                 F.sort_array(F.collect_list("transaction_id")).alias("etids")))
             lists = item_lists.select(*g, F.array("ext").alias("prefix"), "bucket", F.col("etids").alias("ptids"))
 
-            def grown(cand: DataFrame) -> DataFrame:
+            def grown(cand: DataFrame, small: bool) -> DataFrame:
                 """Tid-list chunks of the candidates ``(group, prefix, ext)``."""
-                spread = broadcast_if_small(cand.select(*g, "prefix", "ext", every))
+                spread = cand.select(*g, "prefix", "ext", every)
+                spread = F.broadcast(spread) if small else spread
                 met = spread.join(lists, [*g, "prefix", "bucket"]).join(item_lists, [*g, "ext", "bucket"])
                 return met.select(*g, F.concat("prefix", F.array("ext")).alias("prefix"), "bucket",
                                   F.array_intersect("ptids", "etids").alias("ptids")).filter(F.size("ptids") > 0)
 
-            lists = grown(l2.select(*g, F.slice("items", 1, 1).alias("prefix"), F.col("items")[1].alias("ext")))
+            rows, size = measured(l2)
+            lists = grown(l2.select(*g, F.slice("items", 1, 1).alias("prefix"), F.col("items")[1].alias("ext")),
+                          fits(rows * nb, size * nb))
             for k in range(3, max_len + 1):
                 cand = scratch.cut(next_candidates(levels[-1], k, g))
-                if cand.isEmpty():
+                rows, size = measured(cand)
+                if not rows:
                     break
-                lists = scratch.cut(grown(cand))
+                lists = scratch.cut(grown(cand, fits(rows * nb, size * nb)))
                 lk = scratch.cut(th.keep_frequent(lists.groupBy(*g, F.col("prefix").alias("items")).agg(
                     F.sum(F.size("ptids")).alias("support_count"))))
                 if lk.isEmpty():

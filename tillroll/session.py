@@ -174,12 +174,21 @@ def _width(df: DataFrame) -> Column:
     return total
 
 
-def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, byte_limit: int = BROADCAST_BYTE_LIMIT) -> bool:
-    """Measured rows and bytes of ``df`` are within the limits."""
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of ``df``, in one job."""
     rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(_width(df)), F.lit(0))).first()
+    return int(rows), int(size)
+
+
+def fits(rows: int, size: int, row_limit: int = BROADCAST_ROW_LIMIT, byte_limit: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Whether a table of that many rows and bytes may be broadcast."""
     return rows <= row_limit and size <= byte_limit
 
 
+def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, byte_limit: int = BROADCAST_BYTE_LIMIT) -> bool:
+    return fits(*measured(df), row_limit, byte_limit)
+
+
 def broadcast_if_small(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, known_rows: int | None = None,
                        byte_limit: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
     """Broadcast hint only behind a measured row count and size; otherwise the

@@ -91,6 +91,7 @@ def keep_first_per_key(df: DataFrame, key: str, columns: list[str]) -> DataFrame
     return picked.select(key, *[F.col(f"_first.{c}").alias(c) for c in others])
 
 
+# Columns of the clean tables.
 ARTICLE_WIDE_COLUMNS = [
     "article_id", "prod_name", "product_type_name", "product_group_name", "graphical_appearance_name",
     "colour_group_name", "department_name", "section_name", "garment_group_name", "detail_desc",

@@ -10,9 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.session import BROADCAST_ROW_LIMIT
+from tillroll.session import fits_broadcast
 
 BATCH_ROWS = 1000
+BROADCAST_ROWS = 500_000  # narrow rows; the byte limit of the session's helper holds as well
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # characters outside ASCII and a few blocks without capitals (Latin-1 small
 # letters and signs, punctuation, Hebrew to Sinhala, kana to CJK, Hangul):
@@ -34,11 +35,13 @@ def text_or_empty(df: DataFrame, text: str = "text") -> Column:
     return F.coalesce(df[text].cast("string"), F.lit(""))
 
 
-def broadcast_checked(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast hint for a narrow table whose rows were counted and are few;
-    beyond the limit the join shuffles (and AQE splits its skewed partitions)."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n <= limit else df
+def broadcast_checked(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a written table whose rows and bytes were measured
+    and are few; beyond the limits the join shuffles, and AQE splits its
+    skewed partitions.  ``rows``: a count that the caller has."""
+    if rows is not None and rows > limit:
+        return df
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
 def drop_rows(docs: DataFrame, row_key: list[Column], names: list[str], dropped: DataFrame,

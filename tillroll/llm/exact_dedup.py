@@ -115,8 +115,10 @@ def text_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES, fp=fingerprint64
 def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, fp=fingerprint64) -> DataFrame:
     """One row per document row: doc_id, keep_id (largest id of its group),
     group_size, kept, text_sha256, and the row's key (h, len, copies)."""
-    names = text_names(docs, block_bytes, fp)
-    groups = names.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    names = cut_lineage(text_names(docs, block_bytes, fp))
+    # a table of its own: a join of two tables is one that AQE splits at a hot name
+    groups = cut_lineage(names.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"),
+                                                            F.sum("copies").alias("group_size")))
     rows = names.join(groups, ["level", "name"])
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
     return rows.select("*", copy).select(

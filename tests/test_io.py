@@ -138,7 +138,7 @@ def test_scratch_tables_are_emptied(spark):
         with Scratch(spark) as scratch:
             t = scratch.cut(spark.range(10))
             scratch.hold(spark.range(5)).count()
-            folder = scratch.paths[0].replace("file:", "")
+            folder = scratch.folder.replace("file:", "")
             assert t.count() == 10
             raise ZeroDivisionError
     assert spark.read.parquet(folder).count() == 0 and not scratch.held

@@ -71,73 +71,51 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-_OWNED: list[str] = []  # tables written by this process and not released yet
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared checkpoint folder and read it back.
-
-    Iterative jobs (one level per loop) would otherwise re-embed every
-    earlier level's plan in the next one and spend their time planning.  A
-    written table survives executor loss (unlike a local checkpoint), costs
-    one job (an RDD checkpoint runs two) and reads back as a plan leaf whose
-    row count comes from the Parquet footers.  ``release_tables`` empties the
-    tables of a job whose results have been used."""
-    path = _new_table(df.sparkSession)
-    _OWNED.append(path)
-    return _written(df, path)
-
-
-def _new_table(spark: SparkSession) -> str:
+def _new_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _empty_tables(spark: SparkSession, paths: list[str]) -> None:
-    """Remove the data of written tables (an overwrite with no rows)."""
-    for path in paths:
-        spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def release_tables(spark: SparkSession) -> int:
-    """Empty every table written so far by ``cut_lineage``; frames that read
-    them must not be used afterwards.  Returns how many there were."""
-    paths, _OWNED[:] = list(_OWNED), []
-    _empty_tables(spark, paths)
-    return len(paths)
+def _empty_folder(spark: SparkSession, folder: str) -> None:
+    """Remove what a folder of tables holds: an overwrite without rows."""
+    spark.range(0).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 class Scratch:
-    """Lineage cuts owned by one job: a context that empties them at its end,
-    also when the job fails.
+    """Written tables and caches owned by one job: a context that releases
+    them at its end, also when the job fails.
 
     Iterative miners write one small table per level; once their result is
-    written, those tables are dropped from the shared folder."""
+    written, those tables leave the shared folder."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: list[str] = []
+        self.folder: str | None = None
+        self.tables = 0
         self.held: list[DataFrame] = []
 
     def cut(self, df: DataFrame) -> DataFrame:
-        self.paths.append(_new_table(self.spark))
-        return _written(df, self.paths[-1])
+        if self.folder is None:
+            self.folder = _new_folder(self.spark)
+        path = f"{self.folder}/{self.tables}"
+        self.tables += 1
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
 
     def hold(self, df: DataFrame) -> DataFrame:
         """Cache ``df`` (memory, then disk) until the end of the job."""
         self.held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return self.held[-1]
 
-    def clear(self) -> None:
+    def clear(self) -> int:
+        """Release everything; returns how many tables there were."""
         for df in self.held:
             df.unpersist()
         self.held.clear()
-        paths, self.paths = self.paths, []
-        _empty_tables(self.spark, paths)
+        count, self.tables = self.tables, 0
+        if self.folder is not None:
+            folder, self.folder = self.folder, None
+            _empty_folder(self.spark, folder)
+        return count
 
     def __enter__(self) -> Scratch:
         return self
@@ -146,6 +124,30 @@ class Scratch:
         self.clear()
 
 
+_RESULTS: dict[str, Scratch] = {}  # by application: tables that nobody else owns
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+
+    Iterative jobs (one level per loop) would otherwise re-embed every
+    earlier level's plan in the next one and spend their time planning.  A
+    written table survives executor loss (unlike a local checkpoint), costs
+    one job (an RDD checkpoint runs two) and reads back as a plan leaf whose
+    row count comes from the Parquet footers.  ``release_tables`` empties the
+    tables of a job whose results have been used."""
+    spark = df.sparkSession
+    return _RESULTS.setdefault(spark.sparkContext.applicationId, Scratch(spark)).cut(df)
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Empty every table that ``cut_lineage`` has written and nobody has
+    released yet; frames that read them must not be used afterwards.  Returns
+    how many there were."""
+    owner = _RESULTS.pop(spark.sparkContext.applicationId, None)
+    return owner.clear() if owner else 0
+
+
 @contextmanager
 def held(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` cached (memory, then disk) for the block; whatever is to

@@ -11,7 +11,7 @@ from tillroll.session import cut_lineage
 def _star(edges: DataFrame, keep) -> DataFrame:
     """Link the neighbours of every node ``u`` that ``keep`` names, and the
     node itself, to the smallest of ``u`` and its neighbours."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = cut_lineage(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return edges.join(least, "u").filter(keep).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
@@ -25,8 +25,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps alternate until nothing changes, which
     takes a number of rounds that grows with the logarithm of the longest
-    path.  Every round is a partial aggregate and a join on the node, written
-    as a table; a node with very many neighbours is split by the skew join."""
+    path.  Every round is a partial aggregate and a join on the node, both of
+    written tables, so AQE splits a node with very many neighbours."""
     edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                         .filter("u <> v").distinct())
     state = _state(edges)
@@ -35,7 +35,7 @@ def components(links: DataFrame) -> DataFrame:
         large = _star(both, F.col("v") > F.col("u")).filter("u <> v").distinct()
         large = cut_lineage(large)
         # small star: every u > v already; u's smaller neighbours and u itself
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))).distinct())
         edges = cut_lineage(small)

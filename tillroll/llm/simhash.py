@@ -208,7 +208,8 @@ def near_groups(rows: DataFrame, max_bits: int = MAX_BITS, key_bytes: int = KEY_
     tree = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     named = tree.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(tree.select("fp", "root").join(named, "root").drop("root"), "fp")
+    # a table of its own: a join of two tables is one that AQE splits at a hot fingerprint
+    return rows.join(cut_lineage(tree.select("fp", "root").join(named, "root").drop("root")), "fp")
 
 
 def simhash_dedup(docs: DataFrame, words_per: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,

@@ -40,7 +40,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str, end_id: int = EN
             doc_ids = batch.column(0)
             for first, encoded in encoded_slices(batch, tokenizer, 1, end_id):
                 n = np.array([len(e) // 4 for e in encoded], dtype=np.int32)
-                flat = pa.array(np.frombuffer(b"".join(encoded), dtype="<u4").astype(np.int32))
+                flat = pa.array(np.frombuffer(b"".join(encoded), dtype="<i4"))
                 ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids.slice(first, len(n)), pa.array(np.arange(seq, seq + len(n), dtype=np.int64)),
@@ -82,9 +82,9 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
 
         for batch in batches:
             lists = batch.column(3)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+            flat = memoryview(lists.flatten().to_numpy(zero_copy_only=False).astype("<i4", copy=False))
             ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            crcs = [crc(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
+            crcs = [crc(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array((ends[1:] - ends[:-1]).astype("int64")),
                  pa.array(crcs, pa.int64())], ["file", "doc_id", "seq", "n_tokens", "ids_crc32"])

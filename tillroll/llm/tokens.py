@@ -22,7 +22,7 @@ from array import array
 from codecs import charmap_decode
 from collections.abc import Iterator
 
-MEMO_WORDS = 200_000   # of each of the two generations
+MEMO_WORDS = 300_000   # of each of the two generations
 MEMO_BYTES = 64        # longer words are not kept
 # signs that end a word; an apostrophe may begin a contraction, so it is not one
 SIGNS = string.punctuation.replace("'", "").encode()
@@ -63,15 +63,18 @@ class WordEncoder:
             if not text.isalpha() or max(text) > "\xff":
                 return None
             text = charmap_decode(text.lower().encode(), "strict", BYTE_LETTERS)[0]
-        ids = b"".join([ID_BYTES[t.id] for t in self.model.tokenize(text)])
-        if len(base) == len(word):
-            return ids
-        signs = word[len(base):]
-        if signs not in self.signs:
+        ids = self.memo.get(base) if len(base) < len(word) else None
+        if ids is None:
+            ids = b"".join([ID_BYTES[t.id] for t in self.model.tokenize(text)])
+        return ids + self._signs(word[len(base):]) if len(base) < len(word) else ids
+
+    def _signs(self, signs: bytes) -> bytes:
+        ids = self.signs.get(signs)
+        if ids is None:
             if len(self.signs) > 10_000:
                 self.signs.clear()
-            self.signs[signs] = self._whole(signs)
-        return ids + self.signs[signs]
+            ids = self.signs[signs] = self._whole(signs)
+        return ids
 
     def _ids(self, word: bytes) -> bytes:
         """Ids of a word that is not in the memo; short ones are kept."""

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tillroll.functions import pad_sequence, parse_article_ids, parse_items, safe_token, title_case, zfill
-from tillroll.functions.text import readable_token
+from tillroll.functions.text import percent_text, readable_token
 
 
 def one(spark, expr, value, dtype="string"):
@@ -47,3 +47,9 @@ def test_pad_sequence(spark):
     assert pad([]) == [0] * 20
     assert pad([1, 2, 3]) == [1, 2, 3] + [0] * 17
     assert pad(list(range(1, 26))) == list(range(6, 26))
+
+
+def test_percent_text(spark):
+    assert one(spark, percent_text, 0.12345, "double") == "12.35%"
+    assert one(spark, percent_text, None, "double") == "N/A"
+    assert one(spark, percent_text, 0.0, "double") == "0.00%"

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 # ``broadcast_if_small`` so the bound is checked, never assumed.
 BROADCAST_ROW_LIMIT = 2_000_000
 BROADCAST_BYTE_LIMIT = 64 << 20
+WIDE_ROW = 2048
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -195,9 +196,12 @@ def broadcast_if_small(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, know
                        byte_limit: int = BROADCAST_BYTE_LIMIT) -> DataFrame:
     """Broadcast hint only behind a measured row count and size; otherwise the
     join shuffles, and AQE may split its skewed partitions.  ``known_rows``
-    (a count the caller has) spares the job where it is over the limit."""
+    (a bound the caller has counted) spares the job where it is over the
+    limit, or so low that rows of ``WIDE_ROW`` bytes would still fit."""
     if known_rows is not None and known_rows > row_limit:
         return df
+    if known_rows is not None and known_rows * WIDE_ROW <= byte_limit:
+        return F.broadcast(df)
     return F.broadcast(df) if fits_broadcast(df, row_limit, byte_limit) else df
 
 

@@ -65,6 +65,17 @@ def test_mix(spark, group):
     assert sorted(key) == sorted((str(r["doc_id"]), str(r["source"]), r["size"], r["taken"]) for r in again)
 
 
+@pytest.mark.parametrize("n,group", [(17, 4), (65, 4), (5, 2)])
+def test_sources_just_above_a_power_of_the_group(spark, n, group):
+    """Their last level has few groups; every row must come out of it."""
+    rows = [(i, "w " * (1 + i % 3), "a" if i < n else "b") for i in range(n + 3)]
+    docs = frame(spark, [(i, t, "en", s) for i, t, s in rows])
+    check(rows, mixing.per_row(mixing.mix(docs, group=group)).collect())
+    plan = {r["doc_id"]: r["copies"] for r in mixing.mix(docs, group=group).collect()}
+    assert sorted(plan) == list(range(n + 3))
+    assert Counter(r["doc_id"] for r in mixing.take_copies(docs, group=group).collect()) == +Counter(plan)
+
+
 def test_expected_copies(spark):
     """Over seeds a document's copies average its source's ratio."""
     rows = [(i, "w " * (1 + i % 7), "en", "a" if i < 30 else "b") for i in range(60)]

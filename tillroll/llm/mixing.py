@@ -143,11 +143,10 @@ def _round_level(items: DataFrame, level: int, seed: int) -> DataFrame:
 def pivotal_round(items: DataFrame, group: int = GROUP, seed: int = 1) -> DataFrame:
     """``items`` (source, n, doc_id, size > 0, m, p in (0, 1)) with up = 0 or
     1 instead of p; ``n`` is the number of documents of the source."""
-    most = items.agg(F.max("n")).first()[0]
     settled, level = [], 0
     cur = items.withColumn("groups", F.ceil(F.col("n") / group).cast("long"))
     fields = ("doc_id", "size", "m")
-    while most:
+    while not cur.isEmpty():  # sources of different sizes end at different levels
         order = F.xxhash64(F.lit(seed), F.lit(level), "doc_id", "size")
         ready = cur.select("source", "groups", order.alias("order"), *fields, "p")
         ready = ready.withColumn("nth", F.pmod("order", "groups"))
@@ -158,9 +157,7 @@ def pivotal_round(items: DataFrame, group: int = GROUP, seed: int = 1) -> DataFr
         settled.append(done.filter(last).select("source", *[f"open.{c}" for c in fields],
                                                 final.cast("int").alias("up")))
         cur = done.filter(~last).select("source", F.ceil(F.col("groups") / group).cast("long").alias("groups"), "open.*")
-        most, level = most // group if most > group else 0, level + 1
-        if cur.isEmpty():
-            break
+        level += 1
     if not settled:
         return items.select("source", *fields, F.lit(0).alias("up"))
     out = settled[0]

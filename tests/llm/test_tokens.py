@@ -51,7 +51,9 @@ def test_word_encoder_equals_the_library(tok):
     rng = random.Random(4)
     bits = ["Éa", "straße", "ÀÉÎ", "it's", "don't.", "x<|endoftext|>y", "<|ENDOFTEXT|>", "a..", "é", "naïve!!",
             "ñ&&&", "ﬁn", "İx", "Σς", "µm", "ªb", "12.5", "a1b", "日本語", " x", "a\x1cb", "'s", "x'.s", "Ǆ", "K",
-            "�", "😀", "e­x", "a|>", "×", "Ab\x85c", "q" * 100, "é" * 80 + "."]
+            "�", "😀", "e­x", "a|>", "×", "Ab\x85c", "q" * 100, "é" * 80 + ".",
+            # composed in lower case alone
+            "J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a", "T\u0344", "J\u0323\u030cX.", "E\u0301A"]
     enc = tokens.WordEncoder(queries.vocabulary())
     for _ in range(1500):
         text = rng.choice([" ", "\n", "\t", "  "]).join(rng.choices(bits, k=rng.randint(0, 8)))

@@ -6,7 +6,9 @@ ids of the words it has met (two generations of a bounded dict) and sends only
 new words to the library.  Texts are split at the ASCII blanks alone, which
 the library treats as white space too; what other blanks and signs do is left
 to it.  Lower-casing A-Z first changes nothing (the vocabulary lower-cases)
-except for spelled-out special tokens, so texts that hold ``<|`` skip it.
+with two exceptions: texts that hold ``<|`` (spelled-out special tokens) skip
+it, and so do words with a combining mark, which the library composes before
+it lower-cases (there is a composed j with caron, but no J).
 
 A word of Latin letters is one piece to the library's splitter and needs no
 normalising, so it goes to the library's model directly, which costs a third;
@@ -34,6 +36,16 @@ ID_BYTES: list[bytes] = []  # of every id of the vocabulary
 SLICE_BYTES = 1 << 20  # texts are handled in slices of about this size
 
 
+def _words(text: bytes) -> list[bytes]:
+    """The words, A-Z lower-cased where that leaves the ids alone.  0xCC and
+    0xCD lead U+0300 to U+037F, the marks that compose with Latin letters."""
+    if b"<|" in text:
+        return text.split()
+    if b"\xcc" in text or b"\xcd" in text:
+        return [w if b"\xcc" in w or b"\xcd" in w else w.lower() for w in text.split()]
+    return text.lower().split()
+
+
 class WordEncoder:
     """bytes of a text -> little-endian unsigned 32-bit ids as bytes."""
 
@@ -89,7 +101,7 @@ class WordEncoder:
         return v
 
     def encode(self, text: bytes) -> bytes:
-        words = (text.lower() if b"<|" not in text else text).split()
+        words = _words(text)
         found = list(map(self.memo.get, words))
         if None in found:
             if len(self.memo) > MEMO_WORDS:

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import (ann, exact_dedup, langid, line_dedup, mixing, packing, quality, secret_scan, simhash,
-                          token_orc)
+from tillroll.llm import (ann, decontaminate, exact_dedup, fim, langid, line_dedup, mixing, packing, quality,
+                          secret_scan, simhash, token_orc, whitening)
 from tillroll.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,68 @@ FROM t JOIN (SELECT doc_id, any_value(n) AS n FROM l GROUP BY doc_id) m USING (d
 """)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_benchmark_decontamination", r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+r AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS run
+  FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0),
+g AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS run
+  FROM d, (SELECT DISTINCT k FROM r), unnest(range(1, len(w) - k + 2)) AS t(i) WHERE len(w) >= k),
+h AS (SELECT doc_id, k, i, item FROM g JOIN r USING (k, run)),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM h, unnest(range(i, i + k)) AS t(p) GROUP BY doc_id),
+m AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+      FROM h GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+""")
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = decontaminate.hit_words(F.col("spans"))
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+@query("op13_fill_in_middle", r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS s,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+  FROM documents),
+h AS (
+  SELECT *, len(w) AS n, ('0x' || s[1:8])::BIGINT % (len(w) + 1) AS a, ('0x' || s[9:16])::BIGINT % (len(w) + 1) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR ('0x' || s[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || s[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM t),
+c AS (
+  SELECT *, coalesce(array_to_string(w[1:least(a, b)], ''), '') AS prefix,
+         coalesce(array_to_string(w[least(a, b) + 1:greatest(a, b)], ''), '') AS middle,
+         coalesce(array_to_string(w[greatest(a, b) + 1:], ''), '') AS suffix
+  FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::DOUBLE AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::DOUBLE AS middle_chars,  -- as pandas reads a long with nulls
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
+""")
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))

@@ -96,8 +96,8 @@ def test_large_entries_and_empty(spark):
     rows = [(1, [1e30, 0.0]), (2, [-1e30, 1.0]), (3, [3e38, 2.0])]
     got = whitening.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == 6 and all(r["deviation"] is None for r in got)
-    wide = [(1, [1e9, 0.0]), (2, [-1e9, 1.0]), (3, [5.0, 2.0])]
-    check(whitening.whiten(spark.createDataFrame(wide[2:] * 3 + wide[2:], SCHEMA)).collect(), wide[2:] * 4)
+    wide = [(1, [1e6, 0.0]), (2, [-1e6, 1.0]), (3, [5.0, 2.0])]
+    check(whitening.whiten(spark.createDataFrame(wide, SCHEMA)).collect(), wide)
     assert whitening.whiten(spark.createDataFrame([], SCHEMA)).collect() == []
     assert whitening.whiten(spark.createDataFrame([(1, None)], SCHEMA)).collect() == []
 

@@ -228,11 +228,12 @@ def segments_of(benchmark: DataFrame, window: int = WINDOW, segment: int = SEGME
 
 def _merged(spans: Column) -> Column:
     """Spans in order, joined where they touch or overlap."""
-    none = F.expr("cast(array() as array<struct<start:bigint,stop:bigint>>)")
+    span = "struct<start:bigint,stop:bigint>"
+    none = F.array().cast(f"array<{span}>")
 
     def step(acc: Column, s: Column) -> Column:
         last = F.get(acc, F.size(acc) - 1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"))
+        longer = F.struct(last["start"], F.greatest(last["stop"], s["stop"])).cast(span)
         joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer))
         return F.when((F.size(acc) > 0) & (s["start"] <= last["stop"]), joined).otherwise(F.array_append(acc, s))
 

@@ -46,3 +46,13 @@ def test_dense_ids_are_dense_and_ordered(spark):
     out = prep.dense_ids(df, ["customer_id", "t_dat"], "id", num_partitions=3).collect()
     ordered = sorted(out, key=lambda r: (r["customer_id"], r["t_dat"]))
     assert [r["id"] for r in ordered] == list(range(1, 51))
+
+
+def test_restriction_keeps_baskets_with_repeated_ids_apart(spark):
+    df = spark.createDataFrame(
+        [("t1", "c", "d", "x y"), ("t1", "c", "d", "y z"), ("t1", "c", "d", "x y"), (None, None, "d", "z y")],
+        "transaction_id string, customer_id string, t_dat string, items string")
+    out = B.load_baskets(df, top_items_n=2, min_items=1, pad_width=None).collect()
+    # y four times, x and z twice: x by name
+    assert sorted((r["transaction_id"] or "", r["items"]) for r in out) == [
+        ("", ["y"]), ("t1", ["x", "y"]), ("t1", ["x", "y"]), ("t1", ["y"])]

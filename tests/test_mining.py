@@ -103,6 +103,92 @@ def test_grouped_mining_equals_per_group(spark):
             assert {r["itemset_key"]: r["support_count"] for r in got if r["variant"] == g} == per[g]
 
 
+def test_repeated_ids_are_baskets_of_their_own(spark):
+    """A row is a basket: ids that repeat or are missing change nothing."""
+    baskets = [["a", "b", "b"], ["a", "b"], ["a", "c", "b"], ["b", "c", "a"], ["c", "b"], ["a"], ["c", "d"]]
+    ids = ["t1", "t1", "t1", "t1", "t5", None, None]
+    df = spark.createDataFrame(list(zip(ids, baskets)), "transaction_id string, items array<string>")
+    want = brute(baskets, 0.1, 3)
+    for method in ("apriori", "fpgrowth", "eclat"):
+        assert as_dict(mining.mine(df, 0.1, 3, method)) == want, method
+        grouped = mining.mine(df.withColumn("v", F.lit("x")), 0.1, 3, method, group_cols=["v"])
+        assert as_dict(grouped) == want and {r["v"] for r in grouped.collect()} == {"x"}
+    assert as_dict(mining.apriori(df, 0.1, 3, wide_width=1)) == want
+
+
+@pytest.mark.parametrize("wide_width", [64, 3])
+def test_candidates_beyond_the_broadcast_limit(spark, wide_width):
+    """The partitioned trie counts what the broadcast candidates count."""
+    rnd = random.Random(5)
+    alphabet = [f"i{j}" for j in range(12)]
+    baskets = [sorted({rnd.choice(alphabet[:rnd.randint(2, 12)]) for _ in range(rnd.randint(1, 9))}) for _ in range(150)]
+    df = baskets_df(spark, baskets)
+    want = brute(baskets, 0.04, 5)
+    assert max(len(k.split()) for k in want) >= 4
+    assert as_dict(mining.apriori(df, 0.04, 5, wide_width=wide_width, broadcast_rows=0)) == want
+    two = df.withColumn("v", F.lit("x")).unionByName(df.withColumn("v", F.lit("y")))
+    got = mining.apriori(two, 0.04, 4, ["v"], wide_width, broadcast_rows=0).collect()
+    for v in ("x", "y"):
+        assert {r["itemset_key"]: r["support_count"] for r in got if r["v"] == v} == {
+            k: c for k, c in want.items() if len(k.split()) <= 4}
+
+
+def test_the_trie_walk_moves_no_occurrences(spark):
+    """Only baskets by first item, trie nodes and partial counts are shuffled;
+    a hot first item is dealt over several salts."""
+    from tillroll.operators.mining import trie
+
+    baskets = [[f"i{j}" for j in range(8) if (i >> j) & 1] for i in range(256)]
+    trimmed = spark.createDataFrame([(i, b) for i, b in enumerate(baskets) if len(b) > 1],
+                                    "transaction_id long, items array<string>")
+    combos = list(itertools.combinations([f"i{j}" for j in range(8)], 4))
+    cand = spark.createDataFrame([(list(c[:-1]), c[-1]) for c in combos], "prefix array<string>, ext string")
+    l1 = spark.createDataFrame([(f"i{j}", 128) for j in range(8)], "item string, support_count long")
+    occ = trie.routed(trimmed, trimmed.filter("false"), cand, l1, 4, None, [], routes=50)
+    with trie.co_partitioned(spark):
+        counts = occ.groupBy("itemset").count()
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r["itemset"]): r["count"] for r in counts.collect()} == {c: 16 for c in combos}
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # baskets, inner nodes and leaves by (first, salt); no side of the walk once more by its node
+    assert sum("REPARTITION_BY_NUM" in m and "first" in m and "salt" in m for m in moved) == 3
+    assert not any("transaction_id" in m or "first" in m and "node" in m for m in moved)
+
+
+def test_fpgrowth_forms_nothing_longer_than_asked(spark):
+    """Twenty items in every basket: 2^20 itemsets if the length were not
+    bounded."""
+    items = [f"i{j:02d}" for j in range(20)]
+    df = baskets_df(spark, [items] * 30)
+    got = as_dict(mining.fpgrowth(df, 0.5, 2))
+    assert got == {" ".join(c): 30 for k in (1, 2) for c in itertools.combinations(items, k)}
+
+
+def test_fpgrowth_long_paths(spark):
+    from tillroll.operators.mining.fpgrowth import projected
+
+    rows = spark.createDataFrame([([], [f"i{j}" for j in range(10)], 3), ([], ["i1"], 2)],
+                                 "itemset array<string>, path array<string>, n long")
+    whole = sorted((tuple(r["itemset"]), tuple(r["path"]), r["n"]) for r in projected(rows, []).collect())
+    parts = sorted((tuple(r["itemset"]), tuple(r["path"]), r["n"]) for r in projected(rows, [], block=3).collect())
+    assert whole == parts and len(whole) == 9
+
+
+def test_eclat_ships_a_chunk_once_per_class(spark):
+    from tillroll.operators.mining import vertical
+
+    chunks = spark.createDataFrame([(["a"], f"x{j}", 0, [2**j - 1, 7]) for j in range(1, 7)],
+                                   "class array<string>, last string, chunk long, bits array<long>")
+    cand = spark.createDataFrame([(["a", f"x{i}"], f"x{j}") for i in range(1, 7) for j in range(i + 1, 7)],
+                                 "prefix array<string>, ext string")
+    grown = vertical.joined_chunks(vertical.classes(chunks, []), vertical.candidates_by_class(cand, 3, []), [])
+    got = {(r["class"][1], r["last"]): r["bits"] for r in grown.collect()}
+    assert got == {(f"x{i}", f"x{j}"): [2**i - 1, 7] for i in range(1, 7) for j in range(i + 1, 7)}
+    plan = grown._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not any("last" in m for m in moved)
+
+
 def test_argument_checks(spark):
     df = baskets_df(spark, THREE)
     with pytest.raises(ValueError):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.text import parse_items
 from tillroll.operators.prep import first_rows
-from tillroll.session import broadcast_if_small
+from tillroll.session import broadcast_if_small, cut_lineage
 
 
 def date_filter(baskets: DataFrame, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
@@ -58,16 +58,26 @@ def top_items(baskets: DataFrame, n: int | None) -> DataFrame:
 
 
 def restrict_items(baskets: DataFrame, allowed: DataFrame) -> DataFrame:
-    """Keep only allowed items inside each basket, distinct and sorted.
+    """Keep only allowed items inside each basket, distinct and sorted; a
+    basket without any allowed item stays, empty.
 
-    Items meet the top-N list in a broadcast join (one lookup per item) and
-    are regrouped on the basket's other columns; a basket without any allowed
-    item stays, empty."""
-    keys = [c for c in baskets.columns if c != "items"]
+    A row is a basket, whatever its id says: the rows are numbered on a
+    written table and regrouped by that number."""
+    return _restricted(_numbered(baskets), allowed).drop("_row")
+
+
+def _numbered(baskets: DataFrame) -> DataFrame:
+    return cut_lineage(baskets.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _restricted(numbered: DataFrame, allowed: DataFrame) -> DataFrame:
+    """Items meet the top-N list in a broadcast join (one lookup per item) and
+    are regrouped by row; the other columns come along as they are."""
+    others = [c for c in numbered.columns if c not in ("items", "_row")]
     top = broadcast_if_small(allowed.select("item").distinct().withColumn("ok", F.lit(True)))
-    items = baskets.select(*keys, F.explode_outer("items").alias("item")).join(top, "item", "left")
-    kept = items.groupBy(*keys).agg(F.array_sort(F.collect_set(F.when(F.col("ok"), F.col("item")))).alias("items"))
-    return kept.select(*baskets.columns)
+    items = numbered.select("_row", *others, F.explode_outer("items").alias("item")).join(top, "item", "left")
+    kept = items.groupBy("_row", *others).agg(F.array_sort(F.collect_set(F.when(F.col("ok"), F.col("item")))).alias("items"))
+    return kept.select(*numbered.columns)
 
 
 def min_items_filter(baskets: DataFrame, min_items: int) -> DataFrame:
@@ -85,7 +95,8 @@ def load_baskets(baskets: DataFrame, max_baskets: int | None = None, start_date:
     b = first_n(b, max_baskets)
     b = with_parsed_items(b, "items", pad_width)
     if top_items_n:
-        b = restrict_items(b, top_items(b, top_items_n))
+        b = _numbered(b)  # read twice: for the counts and for the restriction
+        b = _restricted(b, top_items(b, top_items_n))
     return min_items_filter(b, min_items).select("transaction_id", "t_dat", "items")
 
 

@@ -28,16 +28,14 @@ def check_args(min_support: float, max_len: int) -> None:
         raise ValueError("max_len must be >= 1")
 
 
-def normalize_baskets(baskets: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Distinct sorted items per basket; one hash shuffle on the basket key
-    so that a later per-basket regroup (explode -> broadcast join -> group by
-    basket) finds its input already clustered.  The width is the session's
-    shuffle width, stated so that AQE does not merge partitions by their
-    bytes: the levels that follow do far more work per byte than a scan."""
-    width = int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return baskets.select(
-        *group_cols, "transaction_id", F.sort_array(F.array_distinct("items")).alias("items")
-    ).repartition(width, *group_cols, "transaction_id")
+def numbered_baskets(baskets: DataFrame, group_cols: list[str], cut=cut_lineage) -> DataFrame:
+    """``(group, transaction_id, items)``: distinct sorted items, one row per
+    row of ``baskets``.  A row is a basket whatever its id says, so every row
+    gets a number of its own in place of the id.  The numbers are fixed by
+    writing the table once (a retried task's output is discarded whole); rows
+    written by one task are numbered without gaps."""
+    return cut(baskets.select(*group_cols, F.monotonically_increasing_id().alias("transaction_id"),
+                              F.sort_array(F.array_distinct("items")).alias("items")))
 
 
 @dataclass
@@ -96,9 +94,13 @@ def empty_itemsets(spark, group_cols: list[str]) -> DataFrame:
 
 
 def trim_baskets(items: DataFrame, frequent: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Baskets of at least two frequent items, from ``(group, transaction, item)``."""
-    kept = items.join(frequent, [*group_cols, "item"], "left_semi")
-    return (kept.groupBy(*group_cols, "transaction_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    """Baskets of at least two frequent items, from ``(group, transaction, item)``.
+    The width of the shuffle is the session's, stated so that AQE does not
+    merge partitions by their bytes: the levels that follow do far more work
+    per byte than a scan."""
+    keys, width = [*group_cols, "transaction_id"], int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = items.join(frequent, [*group_cols, "item"], "left_semi").repartition(width, *keys)
+    return (kept.groupBy(*keys).agg(F.sort_array(F.collect_list("item")).alias("items"))
             .filter(F.size("items") >= 2))
 
 

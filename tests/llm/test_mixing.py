@@ -44,9 +44,8 @@ def check(rows, got):
         assert abs(r["target"] - target[r["source"]]) < 1e-6 and r["source_size"] == size[r["source"]]
         assert 0 <= r["taken"] <= 3 * r["size"] and (r["taken"] == 0 or r["taken"] % r["size"] == 0)
         taken[r["source"]] += r["taken"]
-    unit = Counter((i, s, words(t)) for i, t, s in rows)
-    for (_, s, n), m in unit.items():
-        largest[s] = max(largest[s], n * m)
+    for _, t, s in rows:
+        largest[s] = max(largest[s], words(t))
     for s in size:
         assert abs(taken[s] - target[s]) <= largest[s] / 2 + 1e-6
 
@@ -58,9 +57,9 @@ def test_mix(spark, group):
         (1000 + j, "w " * (j % 50)) for j in range(600)])]
     rows.append((5000, "one", "only"))
     docs = frame(spark, [(i, t, "en", s) for i, t, s in rows], [c for c in CLASHING if c != "size"])
-    first = mixing.per_row(mixing.mix(docs, group=group)).collect()
+    first = mixing.mix(docs, group=group).collect()
     check(rows, first)
-    again = mixing.per_row(mixing.mix(docs.repartition(11), group=group)).collect()
+    again = mixing.mix(docs.repartition(11), group=group).collect()
     key = [(str(r["doc_id"]), str(r["source"]), r["size"], r["taken"]) for r in first]
     assert sorted(key) == sorted((str(r["doc_id"]), str(r["source"]), r["size"], r["taken"]) for r in again)
 
@@ -70,7 +69,7 @@ def test_sources_just_above_a_power_of_the_group(spark, n, group):
     """Their last level has few groups; every row must come out of it."""
     rows = [(i, "w " * (1 + i % 3), "a" if i < n else "b") for i in range(n + 3)]
     docs = frame(spark, [(i, t, "en", s) for i, t, s in rows])
-    check(rows, mixing.per_row(mixing.mix(docs, group=group)).collect())
+    check(rows, mixing.mix(docs, group=group).collect())
     plan = {r["doc_id"]: r["copies"] for r in mixing.mix(docs, group=group).collect()}
     assert sorted(plan) == list(range(n + 3))
     assert Counter(r["doc_id"] for r in mixing.take_copies(docs, group=group).collect()) == +Counter(plan)
@@ -93,13 +92,31 @@ def test_copies_and_empty(spark, empty):
     docs = frame(spark, odd_rows(long=300), [c for c in CLASHING])
     out = mixing.take_copies(docs)
     assert out.columns == docs.columns
-    plan = {(r["doc_id"], r["size"]): r["copies"] for r in mixing.mix(docs).collect()}
-    have = Counter((r["doc_id"], words(r["text"])) for r in docs.collect())
+    plan = Counter()
+    for r in mixing.mix(docs).collect():
+        plan[r["doc_id"], r["size"]] += r["copies"]
     got = Counter((r["doc_id"], words(r["text"])) for r in out.collect())
-    assert got == Counter({k: m * plan[k] for k, m in have.items() if plan[k]})
+    assert got == +plan
     assert mixing.mix(empty).count() == 0 and mixing.take_copies(empty).count() == 0
 
 
+@pytest.mark.parametrize("run", [1000, 7])
+def test_ids_that_are_null_or_repeat(spark, monkeypatch, run):
+    """A third of a source without ids, all texts of one size: each row is
+    rounded alone, so the source ends within half a document of its target,
+    and the texts taken are those of the rows."""
+    monkeypatch.setattr(mixing, "RUN", run)
+    rows = [(None if i % 3 == 0 else i % 100, f"w{i} " + "w " * 99, "a") for i in range(900)]
+    rows += [(i, "w " * 100, "b") for i in range(700)]
+    docs = frame(spark, [(i, t, "en", s) for i, t, s in rows]).repartition(5)
+    mixed = mixing.mix(docs).collect()
+    check(rows, mixed)
+    taken = Counter(r["text"].split()[0] for r in mixing.take_copies(docs).collect() if r["source"] == "a")
+    assert sum(taken.values()) == sum(r["copies"] for r in mixed if r["source"] == "a")
+    low = min(r["copies"] for r in mixed if r["source"] == "a")
+    assert set(taken.values()) <= {low, low + 1} - {0}
+
+
 def test_whole_query(spark):
     rows = [tuple(r) for r in queries.table(spark, SF, "documents").select("doc_id", "text", "source").collect()]
     check(rows, queries.QUERIES["op5_mix_sources"](spark, SF).collect())

@@ -69,7 +69,7 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_mix_sources")
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixing.per_row(mixed).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 @query("op6_secret_scan")

@@ -3,6 +3,8 @@
 import math
 import zlib
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -166,17 +168,32 @@ def test_nearest_with_odd_vectors(spark, k):
     base = [rng.normal(size=5).round(1).tolist() for _ in range(20)]
     rows = [(i, base[i % 20] if i % 3 else rng.normal(size=5).tolist()) for i in range(300)]
     odd = [(300, None), (301, [0.0] * 5), (302, [1.0, None, 1.0, 1.0, 1.0]), (303, [float("nan")] * 5),
-           (304, [float("inf")] * 5), (305, [1.0, 2.0]), (None, [1.0] * 5), (40, rows[40][1])]
+           (304, [float("inf")] * 5), (305, [1.0, 2.0])]
+    # rows of their own: repeated ids with the same and other vectors, also of a query, and rows without id
+    rows += [(40, rows[40][1]), (60, rng.normal(size=5).tolist()), (5, [90.0] * 5), (5, rows[5][1]), (None, [80.0] * 5),
+             (None, rows[7][1])]
     table = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>").withColumn("code", F.lit("x"))
-    index = ann.build_index(ann.valid_vectors(table))
-    got = ann.search(index, index.rows.filter("vec_id % 20 = 0"), k=k, scan_rows=37, query_rows=6).toPandas()
-    want = brute_nearest({i: np.array(v) for i, v in rows}, k)
-    for q, best in want.items():
-        mine = got[got.query_id == q].sort_values("rank")
-        assert len(mine) == len(best) and list(mine["rank"]) == list(range(1, len(best) + 1))
-        assert np.allclose(mine.score, [-s for s, _ in best])
-        order = list(zip(-mine.score.round(9), mine.vec_id))
-        assert order == sorted(order) and q not in set(mine.vec_id)
+    index = ann.build_index(ann.valid_vectors(table.withColumn("row", F.lit("x"))))
+    got = ann.search(index, index.rows.filter("vec_id % 20 = 0"), k=k, scan_rows=37, query_rows=6).collect()
+    m = np.array([v for _, v in rows])
+    mine, want = Counter(), Counter()
+    for r in got:
+        mine[r["query_id"], r["rank"], round(r["score"], 9)] += 1
+    for q, (i, v) in enumerate(rows):
+        if i is not None and i % 20 == 0:
+            scores = np.delete(m @ m[q], q)
+            want.update((i, n + 1, round(s, 9)) for n, s in enumerate(np.sort(scores)[::-1][:k].tolist()))
+    assert mine == want
+    vectors = {}
+    for i, v in rows:
+        vectors.setdefault(i, []).append(np.array(v))
+    for r in got:  # the score is one of the named vector's, and ties are in order of the ids
+        assert any(abs(v @ u - r["score"]) < 1e-9 for v in vectors[r["vec_id"]] for u in vectors[r["query_id"]])
+    once = [i for i in vectors if i is not None and i % 20 == 0 and len(vectors[i]) == 1]
+    for q in once:
+        order = [(-round(r["score"], 9), r["vec_id"] is None, r["vec_id"] or 0)
+                 for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert order == sorted(order) and q not in {r["vec_id"] for r in got if r["query_id"] == q}
 
 
 def test_nearest_recall_and_empty(spark):

@@ -38,6 +38,60 @@ def test_ingest_keeps_files_of_any_age_and_replays(spark):
         assert ingest.read_unique_lines(spark, out).count() == expected
 
 
+def _batch(spark, rows):
+    return spark.createDataFrame(rows, "t_dat string, customer_id string, article_id string")
+
+
+def _files(path):
+    import glob
+
+    base = path.replace("file:", "")
+    return {f[len(base):] for f in glob.glob(f"{base}/t_month=*/bucket=*/part-*")}
+
+
+def test_baskets_are_kept_by_chunks(spark):
+    """Baskets after each of four chunks equal a rebuild from all lines so
+    far; folders that a chunk does not touch keep their files."""
+    first = [(f"1996-0{m}-1{d}", f"c{c}", f"{a:010d}") for m in (1, 2, 3) for d in range(4) for c in range(6) for a in (1, 2)]
+    chunks = [first, [("1996-01-10", "c1", "0000000009"), ("1996-01-10", "c1", "0000000001")],
+              [("1995-07-01", "new", "0000000001"), ("1996-03-13", "single", "0000000001")],
+              [("1995-07-01", "new", "0000000002"), ("1996-02-12", "c5", "0000000003")], first]
+    inbox, out, kept = (ingest.scratch_path(spark, n) for n in ("chunk-in", "chunk-lines", "chunk-baskets"))
+    ckpt, so_far, before = ingest.scratch_path(spark, "chunk-ckpt"), [], set()
+    for i, rows in enumerate(chunks):
+        _batch(spark, rows).coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema("t_dat string, customer_id string, article_id string").parquet(inbox)
+        ingest.ingest_unique_lines(stream, out, ckpt, buckets=4, baskets_path=kept)
+        so_far += rows
+        want = {(r["customer_id"], r["t_dat"], tuple(r["items"])) for r in prep.build_baskets(_batch(spark, so_far)).collect()}
+        got = [(r["customer_id"], r["t_dat"], tuple(r["items"])) for r in ingest.read_kept_baskets(spark, kept).collect()]
+        assert set(got) == want and len(got) == len(want)
+        assert ingest.read_unique_lines(spark, out).count() == len(set(so_far))
+        files = _files(kept)
+        if 0 < i < 4:
+            touched = {d[:7] for d, _, _ in rows}
+            gone = before - files
+            assert len(before & files) >= len(before) - 2 and all(f.split("t_month=")[1][:7] in touched for f in gone)
+        before = files
+
+
+def test_a_batch_reads_the_folders_it_touches(spark):
+    """Two keys of one day: the scan of the stored lines lists their folders
+    and that day only."""
+    rows = ingest._placed(_batch(spark, [("1996-05-03", f"c{i}", "0000000001") for i in range(2)]), 64)
+    folders = rows.groupBy(*ingest.FOLDER).agg(F.min("t_dat").alias("first"), F.max("t_dat").alias("last")).collect()
+    path = ingest.scratch_path(spark, "placed")
+    ingest._placed(_batch(spark, [(f"1996-05-0{d}", f"c{i}", "0000000001") for d in range(1, 8) for i in range(300)]), 64
+                   ).repartition(*ingest.FOLDER).write.partitionBy(*ingest.FOLDER).parquet(path)
+    stored = ingest.read_unique_lines(spark, path).filter(ingest._touched(folders, days=True))
+    assert len(folders) <= 2 and len(stored.inputFiles()) == 64
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "GreaterThanOrEqual(t_dat,1996-05-03)" in plan
+    read = {r["bucket"] for r in stored.select("bucket").distinct().collect()}
+    assert read == {r["bucket"] for r in folders} and 2 <= stored.count() < 40
+
+
 def test_csv_readers(spark):
     path = ingest.scratch_path(spark, "csv-in")
     spark.createDataFrame([("7", "A \"b\", c", "Top", "x"), ("8", "D", "Hat", "y")],

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import parse_items
-from tillroll.operators.prep import first_rows
+from tillroll.operators.selection import first_rows
 from tillroll.session import broadcast_if_small, cut_lineage
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import zfill
+from tillroll.operators.selection import first_rows
 from tillroll.session import broadcast_if_small, cut_lineage
 
 LINE_KEY = ["t_dat", "customer_id", "article_id"]
@@ -131,13 +132,6 @@ def dense_ids(df: DataFrame, order_cols: list[str], id_col: str, num_partitions:
     return out.withColumn(id_col, (F.col("_off") + local + 1).cast("bigint")).drop("_pid", "_mid", "_off")
 
 
-def first_rows(df: DataFrame, n: int, order_cols: list[str]) -> DataFrame:
-    """The first ``n`` rows in ``order_cols`` order, still spread over tasks:
-    rows are numbered by ``dense_ids``, so no task gathers ``n`` rows of every
-    other task as a global top-n would."""
-    return dense_ids(df, order_cols, "_row").filter(F.col("_row") <= n).drop("_row")
-
-
 def baskets_by_customer_date(clean_lines: DataFrame, min_items: int = 2) -> DataFrame:
     """Legacy basket table: distinct (unpadded) items per customer and day,
     at least ``min_items``, dense ``basket_id`` from 1 in (customer, day) order."""

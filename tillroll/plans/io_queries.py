@@ -13,6 +13,7 @@ from tillroll.sources import files, tables
 from tillroll.streaming import ingest
 
 SUPPORT = 0.01
+FOLDERS_A_MONTH = 2  # the given tables have few lines a month
 
 
 @query("incremental_dedupe", S.with_(S.TX) + f"""
@@ -24,11 +25,28 @@ def incremental_dedupe(spark, sf_dir):
     inbox = ingest.scratch_path(spark, "line-files")
     tables.table(spark, sf_dir, "lineitem").repartitionByRange(4, F.desc("l_orderkey")).write.parquet(inbox)
     table_path = ingest.scratch_path(spark, "unique-lines")
-    stream = ingest.lines_stream(spark, inbox, tables.table(spark, sf_dir, "orders"), max_files_per_trigger=1)
-    ingest.ingest_unique_lines(stream, table_path, ingest.scratch_path(spark, "unique-lines-ckpt"))
+    ingest.ingest_unique_lines(
+        ingest.item_stream(spark, inbox, max_files_per_trigger=1), table_path,
+        ingest.scratch_path(spark, "unique-lines-ckpt"), buckets=FOLDERS_A_MONTH,
+        lines_of=ingest.with_orders(tables.table(spark, sf_dir, "orders")))
     return ingest.read_unique_lines(spark, table_path).select("t_dat", "customer_id", "article_id")
 
 
+@query("incremental_baskets", S.with_(S.TX, S.BASKETS) + """
+SELECT transaction_id, customer_id, t_dat, array_to_string(items, ' ') AS items, item_count FROM baskets""")
+def incremental_baskets(spark, sf_dir):
+    """The lines in two chunks, and the baskets that the ingest keeps."""
+    inbox = ingest.scratch_path(spark, "basket-files")
+    tables.table(spark, sf_dir, "lineitem").repartitionByRange(2, "l_orderkey").write.parquet(inbox)
+    baskets_path = ingest.scratch_path(spark, "kept-baskets")
+    ingest.ingest_unique_lines(
+        ingest.item_stream(spark, inbox, max_files_per_trigger=1), ingest.scratch_path(spark, "basket-lines"),
+        ingest.scratch_path(spark, "basket-ckpt"), buckets=FOLDERS_A_MONTH,
+        lines_of=ingest.with_orders(tables.table(spark, sf_dir, "orders")), baskets_path=baskets_path)
+    return ingest.read_kept_baskets(spark, baskets_path).select(
+        "transaction_id", "customer_id", "t_dat", F.array_join("items", " ").alias("items"), "item_count")
+
+
 @query("baskets_roundtrip", S.with_(S.TX, S.BASKETS) + """
 SELECT transaction_id, customer_id, t_dat, array_to_string(items, ' ') AS items, item_count, fmt
 FROM baskets, (VALUES ('parquet'), ('csv')) AS f(fmt)""")

@@ -56,3 +56,53 @@ def test_restriction_keeps_baskets_with_repeated_ids_apart(spark):
     # y four times, x and z twice: x by name
     assert sorted((r["transaction_id"] or "", r["items"]) for r in out) == [
         ("", ["y"]), ("t1", ["x", "y"]), ("t1", ["x", "y"]), ("t1", ["y"])]
+
+
+BASKETS = "transaction_id string, customer_id string, t_dat string, items array<string>, item_count bigint"
+
+
+def test_years_come_from_the_baskets(spark):
+    b = spark.createDataFrame([(d, "c", d, ["a", "b"], 2) for d in ("2018-05-01", "1969-12-31", "2031-01-01", "no day")], BASKETS)
+    got = {r["transaction_id"]: r["variant"] for r in variants.year_baskets(b).collect()}
+    assert got == {"2018-05-01": "year_2018", "1969-12-31": "year_1969", "2031-01-01": "year_2031"}
+    told = {r["key"]: (r["label"], r["description"], r["rows"])
+            for r in variants.variant_manifest(variants.year_baskets(b)).collect()}
+    assert told["year_2018"] == ("Year 2018", "Baskets from 2018-01-01 to 2018-12-31", 1) and len(told) == 4
+
+
+def test_ranges_from_a_table(spark):
+    """Overlapping, nested, one-day, empty and broken ranges, each basket in
+    every range that holds its day."""
+    import datetime
+
+    days = [(datetime.date(1995, 1, 1) + datetime.timedelta(days=13 * i)).isoformat() for i in range(200)]
+    b = spark.createDataFrame([(f"t{i}", "c", d, ["a", "b"], 2) for i, d in enumerate(days)] + [("one", "c", days[3], ["a"], 1)],
+                              BASKETS)
+    ranges = [("all", "1990-01-01", "2030-12-31"), ("mid", "1996-02-10", "1998-07-03"), ("in", "1997-03-05", "1997-03-20"),
+              ("day", days[7], days[7]), ("back", "1998-01-01", "1997-01-01"), ("none", "2020-01-01", "2020-02-01"),
+              ("broken", "x", "1999-01-01")]
+    want = sorted((v, f"t{i}") for v, a, e in ranges if v != "broken" for i, d in enumerate(days) if a <= d <= e)
+    for given in (ranges, spark.createDataFrame(ranges, "variant string, start string, end string")):
+        got = variants.year_baskets(b, given)
+        assert sorted((r["variant"], r["transaction_id"]) for r in got.collect()) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_incidence_vectors(spark):
+    rows = [("t1", ["b", "a", "b"]), ("t1", ["c"]), (None, []), ("t2", None), ("t3", ["d", "a", None])]
+    df = spark.createDataFrame(rows, "transaction_id string, items array<string>")
+    got = sorted((r["transaction_id"] or "", r["size"], r["indices"], r["values"]) for r in B.incidence_vectors(df).collect())
+    assert got == [("", 4, [], []), ("t1", 4, [0, 1], [1.0, 1.0]), ("t1", 4, [2], [1.0]), ("t2", 4, [], []),
+                   ("t3", 4, [0, 3], [1.0, 1.0])]
+    some = spark.createDataFrame([("a", 5), ("c", 1)], "item string, idx int")
+    assert sorted(r["indices"] for r in B.incidence_vectors(df, some).collect()) == [[], [], [1], [5], [5]]
+
+
+def test_exact_distinct_expands_no_rows(spark):
+    from tillroll.operators import profile
+
+    df = spark.createDataFrame([(i % 3, None if i % 2 else f"v{i}", i) for i in range(40)], "a int, b string, c int")
+    got = profile.profile_distinct({"t": df})
+    assert {r["column_name"]: r["distinct_count"] for r in got.collect()} == {"a": 3, "b": 20, "c": 40}
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()

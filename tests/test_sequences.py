@@ -75,3 +75,52 @@ def test_ids_that_are_no_integers_are_unknown(spark):
     catalog = Q.item_catalog(events)
     assert [r["old_article_idx"] for r in catalog.collect()] == [12]
     assert sorted(r["new_item_idx"] for r in Q.encode_zero(events, catalog).collect()) == [0, 1]
+
+
+def _postings_case(spark):
+    import random
+
+    rnd = random.Random(4)
+    transitions = {(i, j): rnd.choice([0.1, 0.2, 0.3]) for i in range(1, 31) for j in rnd.sample(range(1, 31), rnd.randint(0, 25))}
+    t = spark.createDataFrame([(i, j, s) for (i, j), s in transitions.items()], "item int, next_item int, score double")
+    catalog = spark.createDataFrame([(i, 100 + i, i, 10) for i in range(1, 31)], CATALOG)
+    return rnd, transitions, t, catalog
+
+
+def test_rank_successors(spark):
+    """Against a sort of all unseen successors; each sequence asks for at
+    most k + seen postings, and no window stands over all of them."""
+    rnd, transitions, t, catalog = _postings_case(spark)
+    seqs = {f"c{n}": (rnd.randint(1, 30), rnd.sample(range(1, 31), rnd.randint(1, 28))) for n in range(60)}
+    df = spark.createDataFrame([(c, last, seen) for c, (last, seen) in seqs.items()],
+                               "customer_id string, last_item int, seen array<int>")
+    got = {}
+    for r in Q.rank_successors(df, Q.postings(t), catalog, 5).collect():
+        got.setdefault(r["customer_id"], []).append((r["rank"], r["new_item_idx"], r["old_article_idx"], r["score"]))
+    for c, (last, seen) in seqs.items():
+        best = sorted((-s, j) for (i, j), s in transitions.items() if i == last and j not in seen)[:5]
+        assert sorted(got.get(c, [])) == [(n + 1, j, 100 + j, -s) for n, (s, j) in enumerate(best)]
+    assert Q.rank_successors(df, Q.postings(t), catalog, 0).count() == 0
+
+
+def test_last_and_seen(spark):
+    rows = [("c", None, o, 1, o, 1 + o % 3) for o in range(30)] + [("d", None, 1, 1, 9, 9)]
+    df = spark.createDataFrame(rows, "customer_id string, order_ts timestamp, order_key bigint, line_no int, "
+                                     "old_article_idx int, new_item_idx int")
+    got = {r["customer_id"]: (r["last_item"], sorted(r["seen"])) for r in Q.last_and_seen(df).collect()}
+    assert got == {"c": (3, [1, 2, 3]), "d": (9, [9])}
+
+
+def test_evaluation_ranks_need_one_join(spark):
+    from tillroll.operators import evaluation as E
+
+    rnd, transitions, t, _ = _postings_case(spark)
+    held = [(f"c{n}", rnd.randint(1, 31), rnd.randint(1, 31)) for n in range(80)]
+    ranked = E.transition_ranks(spark.createDataFrame(held, "customer_id string, target int, prev_item int"), t)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and "partitionBy" not in plan.split("Window [")[0]
+    for r in ranked.collect():
+        order = sorted((-s, j) for (i, j), s in transitions.items() if i == r["prev_item"])
+        want = next((n + 1 for n, (_, j) in enumerate(order) if j == r["target"]), None)
+        assert r["target_rank"] == want
+        assert r["target_score"] == transitions.get((r["prev_item"], r["target"]), E.SCORE_FLOOR)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import parse_items
+from tillroll.operators.prep import dense_ids
 from tillroll.operators.selection import first_rows
 from tillroll.session import broadcast_if_small, cut_lineage
 
@@ -117,3 +118,29 @@ def basket_stats(transactions: DataFrame, raise_on_empty: bool = False) -> DataF
 def basket_incidence(transactions: DataFrame) -> DataFrame:
     """Sparse basket x item incidence as a long table (one row per present cell)."""
     return transactions.select("transaction_id", F.explode(F.array_distinct("items")).alias("item"))
+
+
+def item_vocabulary(transactions: DataFrame) -> DataFrame:
+    """``(item, idx)``: every item there is, numbered from 0 in item order
+    (no cut; the numbers come from a range partition, not from one task)."""
+    items = transactions.select(F.explode("items").alias("item")).filter(F.col("item").isNotNull()).distinct()
+    return dense_ids(items, ["item"], "idx").withColumn("idx", (F.col("idx") - 1).cast("int"))
+
+
+def incidence_vectors(transactions: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
+    """The binary basket x item matrix by rows, as sparse vectors: the
+    columns of ``transactions`` without ``items``, then ``size`` (items in the
+    vocabulary, counted), ``indices`` (ascending) and ``values`` (all 1).
+
+    A row is a basket, whatever its id.  Items outside a given ``vocabulary``
+    are left out; a basket without any has an empty vector."""
+    rows = _numbered(transactions)
+    words = cut_lineage(item_vocabulary(rows) if vocabulary is None else vocabulary.select("item", "idx"))
+    size = words.count()
+    others = [c for c in transactions.columns if c != "items"]
+    cells = rows.select("_row", *others, F.explode_outer("items").alias("item")).join(
+        broadcast_if_small(words, known_rows=size), "item", "left")
+    # a row's cells and its other columns together: one shuffle by row
+    gathered = cells.groupBy("_row", *others).agg(F.sort_array(F.collect_set("idx")).alias("indices"))
+    return gathered.select(*others, F.lit(size).alias("size"), "indices",
+                           F.transform("indices", lambda i: F.lit(1.0)).alias("values"))

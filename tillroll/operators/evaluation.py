@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators import sequences as Q
@@ -36,15 +36,15 @@ def popularity_ranks(held: DataFrame, catalog: DataFrame) -> DataFrame:
     return held.join(ranks, "target", "left").withColumn("target_score", F.lit(None).cast("double"))
 
 
-def transition_ranks(held: DataFrame, transitions: DataFrame, key: str = "customer_id") -> DataFrame:
+def transition_ranks(held: DataFrame, transitions: DataFrame) -> DataFrame:
     """Rank of the target among the successors of the previous item (score
-    desc, lower id first); a target without a transition is a miss."""
-    t = broadcast_if_small(transitions)
-    cand = held.join(t, held.prev_item == t.item).select(key, "target", "next_item", "score")
-    w = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("next_item"))  # <= catalogue size per key
-    ranked = cand.withColumn("r", F.row_number().over(w)).filter(F.col("next_item") == F.col("target"))
-    found = ranked.select(key, F.col("r").alias("target_rank"), F.col("score").alias("target_score"))
-    return held.join(found, key, "left").withColumn("target_score", F.coalesce("target_score", F.lit(SCORE_FLOOR)))
+    desc, lower id first); a target without a transition is a miss.  The rank
+    is the posting's own, so one equi-join on (item, next item) finds it."""
+    ranked = broadcast_if_small(Q.postings(transitions).select(
+        F.col("item").alias("prev_item"), F.col("next_item").alias("target"), F.col("rank").alias("target_rank"),
+        F.col("score").alias("target_score")))
+    return held.join(ranked, ["prev_item", "target"], "left").withColumn(
+        "target_score", F.coalesce("target_score", F.lit(SCORE_FLOOR)))
 
 
 def accuracy_row(model: str, ranked: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def topk_accuracy(events: DataFrame, catalog: DataFrame, scorers: dict[str, Data
     """One row for the popularity baseline and one per transition table."""
     held = cut_lineage(holdout(events, key))
     rows = [accuracy_row("Popularity baseline", popularity_ranks(held, catalog))]
-    rows += [accuracy_row(name, transition_ranks(held, t, key)) for name, t in scorers.items()]
+    rows += [accuracy_row(name, transition_ranks(held, t)) for name, t in scorers.items()]
     return reduce(DataFrame.unionByName, rows)
 
 

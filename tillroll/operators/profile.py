@@ -38,17 +38,20 @@ def profile_nulls(tables: dict[str, DataFrame]) -> DataFrame:
 def profile_distinct(tables: dict[str, DataFrame], approximate: bool = False, rsd: float = 0.01) -> DataFrame:
     """Distinct non-null values per column.
 
-    Exact ``count(DISTINCT c)`` for many columns makes Spark expand every row
-    once per column before the shuffle; ``approximate=True`` switches to
-    HyperLogLog++ sketches (one pass, fixed-size partial state) for very wide
-    or very large tables.
+    Exact: an aggregate per column, each over a scan of that column alone, so
+    together they read a columnar table once; values are made distinct before
+    and after one shuffle, and no row is expanded once per column.  Store or
+    hold derived tables first, as each aggregate computes them.
+    ``approximate=True``: HyperLogLog++ sketches (one pass, fixed-size partial
+    state).
     """
-    def agg(c):
-        if approximate:
-            return F.approx_count_distinct(c, rsd).alias(c)
-        return F.count_distinct(F.col(c)).alias(c)
-
-    parts = [_long(name, df.agg(*[agg(c) for c in df.columns]), "distinct_count") for name, df in tables.items()]
+    if approximate:
+        parts = [_long(name, df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in df.columns]), "distinct_count")
+                 for name, df in tables.items()]
+    else:
+        parts = [df.agg(F.count_distinct(F.col(c)).alias("distinct_count")).select(
+            F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "distinct_count")
+            for name, df in tables.items() for c in df.columns]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -134,12 +134,47 @@ def transition_scores(events: DataFrame, catalog: DataFrame, step: int = 1) -> D
         "item", "next_item", (F.col("c").cast("double") / F.col("t").cast("double")).alias("score"))
 
 
+def postings(transitions: DataFrame) -> DataFrame:
+    """``transitions`` with the ``rank`` of every successor within its item:
+    score desc, lower id first.  Ranked once, whoever asks; an item has at
+    most (catalogue size) successors."""
+    order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc("next_item"))
+    return transitions.withColumn("rank", F.row_number().over(order))
+
+
 def scores_from_last_item(last: DataFrame, transitions: DataFrame, key: str = "customer_id") -> DataFrame:
     """Score table per sequence: successors of its last item (<= catalogue size each)."""
     t = broadcast_if_small(transitions)
     return last.join(t, last.last_item == t.item).select(key, F.col("next_item").alias("new_item_idx"), "score")
 
 
+def last_and_seen(events: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Per sequence the last item and the set of items, from events of
+    catalogue items: two partial aggregates in one shuffle."""
+    last = F.max(F.struct(*[F.col(c) for c in ORDER_KEY], "new_item_idx"))
+    return events.groupBy(key).agg(last.alias("_l"), F.collect_set("new_item_idx").alias("seen")).select(
+        key, F.col("_l.new_item_idx").alias("last_item"), "seen")
+
+
+def rank_successors(sequences: DataFrame, ranked: DataFrame, catalog: DataFrame, k: int,
+                    key: str = "customer_id") -> DataFrame:
+    """Top ``k`` unseen successors of each sequence's last item.
+
+    ``sequences`` as ``last_and_seen`` gives them, ``ranked`` as ``postings``.
+    Of ``k`` plus the seen items' number of successors at least ``k`` are
+    unseen, or all there are, so each sequence asks for exactly those ranks:
+    an equi-join on (item, rank) of at most ``k + seen`` rows a sequence, and
+    a window over those."""
+    want = sequences.filter(F.lit(k > 0)).select(
+        key, "seen", F.col("last_item").alias("item"), F.explode(F.sequence(F.lit(1), F.lit(int(k)) + F.size("seen"))).alias("rank"))
+    met = want.join(broadcast_if_small(ranked), ["item", "rank"]).filter(~F.array_contains("seen", F.col("next_item")))
+    met = met.select(key, F.col("next_item").alias("new_item_idx"), "score", F.col("rank").alias("posting"))
+    met = met.join(_catalog_b(catalog).withColumnRenamed("rank", "catalog_rank"), "new_item_idx")
+    order = Window.partitionBy(key).orderBy("posting")
+    top = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return top.select(key, F.col("rank").cast("int").alias("rank"), "new_item_idx", "old_article_idx", "catalog_rank", "score")
+
+
 def rank_scores(scores: DataFrame, catalog: DataFrame, k: int, seen: DataFrame | None = None,
                 key: str = "customer_id", by: list[str] | None = None) -> DataFrame:
     """Top ``k`` per sequence: score desc, then lower id;

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.text import safe_token, zfill
+from tillroll.functions.text import safe_token, title_case, zfill
 from tillroll.session import broadcast_if_small
 
 # Segment keys and closed bounds (age cut to int first).
@@ -18,9 +18,6 @@ AGE_GROUPS = [
     ("age_45_plus", 45, 200),
 ]
 
-# Year ranges over the driver data (closed, text days).
-YEAR_RANGES = [(f"year_{y}", f"{y}-01-01", f"{y}-12-31") for y in range(1995, 2002)]
-
 # Category variants (variant key = token prefix, article column).
 CATEGORY_VARIANTS = [
     ("product_group", "product_group_name"),
@@ -115,36 +112,61 @@ def age_baskets(baskets: DataFrame, age_groups: DataFrame, min_items: int = 2,
     return b.join(g, "customer_id").select(F.col("age_group").alias("variant"), *BASKET_COLUMNS)
 
 
-def year_baskets(baskets: DataFrame, ranges=YEAR_RANGES, min_items: int = 2) -> DataFrame:
-    """One basket set per closed day range.  The fixed range list is an
-    array literal filtered per row and exploded: an interval join with no
-    join operator at all (a basket in two overlapping ranges gets two rows)."""
-    lit_ranges = F.array(*[
-        F.struct(F.lit(k).alias("variant"), F.lit(s).alias("start"), F.lit(e).alias("end")) for k, s, e in ranges
-    ])
-    matched = F.filter(lit_ranges, lambda r: (F.col("t_dat") >= r["start"]) & (F.col("t_dat") <= r["end"]))
+YEAR_PREFIX = "year_"  # of the variants that stand for calendar years
+
+
+def calendar_year() -> Column:
+    """The variant of a basket's own year; a day that begins with no year has none."""
+    year = F.substring("t_dat", 1, 4)
+    return F.when(year.rlike("^[0-9]{4}$"), F.concat(F.lit(YEAR_PREFIX), year))
+
+
+def range_table(spark: SparkSession, ranges) -> DataFrame:
+    """``(variant, start, end)``: closed ranges of text days, given as a table
+    or a list."""
+    if isinstance(ranges, DataFrame):
+        return ranges.select("variant", "start", "end")
+    return spark.createDataFrame(list(ranges), "variant string, start string, end string")
+
+
+def in_ranges(baskets: DataFrame, ranges) -> DataFrame:
+    """``baskets`` with the ``variant`` of every range that holds their day: a
+    row for each.  An interval join on months: a range stands in every month
+    it touches, baskets meet it on the month of their day, and the bounds are
+    compared for those pairs alone."""
+    table = range_table(baskets.sparkSession, ranges)
+    first, last = (F.expr(f"try_to_date(`{c}`, 'yyyy-MM-dd')") for c in ("start", "end"))
+    months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
+    bins = table.filter(first <= last).select("variant", "start", "end", F.explode(months).alias("m"))
+    bins = bins.select("variant", "start", "end", F.date_format("m", "yyyy-MM").alias("_month"))
+    met = baskets.withColumn("_month", F.substring("t_dat", 1, 7)).join(broadcast_if_small(bins), "_month")
+    return met.filter(F.col("t_dat").between(F.col("start"), F.col("end"))).drop("_month", "start", "end")
+
+
+def year_baskets(baskets: DataFrame, ranges=None, min_items: int = 2) -> DataFrame:
+    """One basket set per closed day range.  Without ``ranges`` the calendar
+    years of the baskets themselves; else a table (variant, start, end) or a
+    list of such rows (a basket in two overlapping ranges gets two rows)."""
     b = baskets.filter(F.col("item_count") >= min_items)
-    return b.select(F.explode(matched).alias("_r"), *BASKET_COLUMNS).select(
-        F.col("_r.variant").alias("variant"), *BASKET_COLUMNS)
+    if ranges is None:
+        return b.withColumn("variant", calendar_year()).filter(F.col("variant").isNotNull()).select(
+            "variant", *BASKET_COLUMNS)
+    return in_ranges(b, ranges).select("variant", *BASKET_COLUMNS)
 
 
-def segment_variants(baskets: DataFrame, age_groups: DataFrame, ranges=YEAR_RANGES, min_items: int = 2,
+def segment_variants(baskets: DataFrame, age_groups: DataFrame, ranges=None, min_items: int = 2,
                      group_rows: int | None = None) -> DataFrame:
-    """Year-range and age-group variants in one pass: each basket gets the
-    array of its labels (matching ranges, then its customer's age group, via
-    a left join) and is exploded once per label.  The left join adds no
-    inferred filter below the basket aggregation, so this branch and the
-    category branch share one basket-building shuffle (exchange reuse)."""
-    lit_ranges = F.array(*[
-        F.struct(F.lit(k).alias("variant"), F.lit(s).alias("start"), F.lit(e).alias("end")) for k, s, e in ranges
-    ])
-    years = F.transform(F.filter(lit_ranges, lambda r: (F.col("t_dat") >= r["start"]) & (F.col("t_dat") <= r["end"])),
-                        lambda r: r["variant"])
+    """Year and age-group variants in one pass: each basket gets the array of
+    its labels (its year, then its customer's age group, via a left join) and
+    is exploded once per label.  The left join adds no inferred filter below
+    the basket aggregation, so this branch and the category branch share one
+    basket-building shuffle (exchange reuse).  Given ``ranges`` take the place
+    of the years."""
     b = baskets.filter(F.col("item_count") >= min_items)
     j = b.join(broadcast_if_small(age_groups, known_rows=group_rows), "customer_id", "left")
-    labels = F.concat(years, F.when(F.col("age_group").isNotNull(), F.array("age_group")).otherwise(
-        F.array().cast("array<string>")))
-    return j.select(F.explode(labels).alias("variant"), *BASKET_COLUMNS)
+    labels = [F.col("age_group")] if ranges is not None else [calendar_year(), F.col("age_group")]
+    out = j.select(F.explode(F.array_compact(F.array(*labels))).alias("variant"), *BASKET_COLUMNS)
+    return out if ranges is None else out.unionByName(year_baskets(baskets, ranges, min_items))
 
 
 def with_variant(df: DataFrame, variant: str) -> DataFrame:
@@ -158,9 +180,9 @@ def year_ranges(baskets: DataFrame) -> list[tuple[str, str, str]]:
 
 
 def all_variants(baskets: DataFrame, articles: DataFrame, customers: DataFrame, min_items: int = 2,
-                 ranges=YEAR_RANGES) -> DataFrame:
+                 ranges=None) -> DataFrame:
     """Every variant in one long table with a ``variant`` column; ``ranges``
-    are the day ranges, ``year_ranges(baskets)`` for every year there is.
+    are day ranges in place of the calendar years there are.
 
     Broadcast checks use the dimension row counts (answered from Parquet
     footers): a map derived from a dimension has at most as many rows."""
@@ -172,25 +194,34 @@ def all_variants(baskets: DataFrame, articles: DataFrame, customers: DataFrame,
     return reduce(DataFrame.unionByName, parts)
 
 
-def variant_labels(ranges=YEAR_RANGES) -> list[tuple[str, str, str]]:
-    """``(key, label, description)`` of every variant in list order."""
+def variant_labels() -> list[tuple[str, str, str]]:
+    """``(key, label, description)`` of the variants that are no day ranges, in list order."""
     out = [("base", "Base", "All baskets of articles")]
     for key, column in CATEGORY_VARIANTS:
         out.append((key, key.replace("_", " ").title(), f"Baskets of {column} values"))
     out.append(("outfit_category", "Outfit Category", f"Baskets of {OUTFIT_VARIANT[1]} values as outfits"))
     out += [(k, k.replace("_", " ").title(), f"Baskets of customers aged {lo} to {hi}") for k, lo, hi in AGE_GROUPS]
-    out += [(k, k.replace("_", " ").title(), f"Baskets from {a} to {b}") for k, a, b in ranges]
     return out
 
 
-def variant_manifest(variants: DataFrame, folder: str = "variants", ranges=YEAR_RANGES) -> DataFrame:
+def variant_manifest(variants: DataFrame, folder: str = "variants", ranges=None) -> DataFrame:
     """Key, label, path, description and rows of every variant that has
-    rows, and the base entry, whose rows are not counted (null)."""
+    rows, and the base entry, whose rows are not counted (null).  Day ranges
+    are the calendar years among the variants, or the given ``ranges``."""
     spark = variants.sparkSession
     rows = variants.groupBy(F.col("variant").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
     names = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(label).alias("label"), F.lit(text).alias("description"))
-                      for k, label, text in variant_labels(ranges)])
-    entries = spark.range(1).select(F.inline(names))  # one row per variant there can be
+                      for k, label, text in variant_labels()])
+    if ranges is None:
+        year = F.substring("key", len(YEAR_PREFIX) + 1, 4)
+        days = rows.filter(F.col("key").rlike(f"^{YEAR_PREFIX}[0-9]{{4}}$")).select(
+            F.col("key").alias("variant"), F.concat(year, F.lit("-01-01")).alias("start"),
+            F.concat(year, F.lit("-12-31")).alias("end"))
+    else:
+        days = range_table(spark, ranges)
+    told = days.select(F.col("variant").alias("key"), title_case(F.translate("variant", "_", " ")).alias("label"),
+                       F.concat(F.lit("Baskets from "), "start", F.lit(" to "), "end").alias("description"))
+    entries = spark.range(1).select(F.inline(names)).unionByName(told)  # one row per variant there can be
     path = F.concat(F.lit(folder.rstrip("/") + "/variant="), F.col("key"))
     return entries.join(rows, "key", "left").filter(F.col("rows").isNotNull() | (F.col("key") == "base")).select(
         "key", "label", F.when(F.col("key") == "base", F.lit(folder.rstrip("/"))).otherwise(path).alias("path"),

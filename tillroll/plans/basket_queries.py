@@ -10,6 +10,7 @@ from tillroll.operators import profile, variants
 from tillroll.plans.inputs import MIN_ITEMS, basket_arrays, basket_text, mining_text_baskets
 from tillroll.plans.registry import query
 from tillroll.plans import sql as S
+from tillroll.session import cut_lineage, held
 from tillroll.sources import tables
 
 DATE_FROM, DATE_TO = "1996-01-01", "1998-12-31"
@@ -57,7 +58,9 @@ def profile_nulls(spark, sf_dir):
 
 @query("profile_distinct", _profile_sql("count(DISTINCT {c})", "distinct_count"))
 def profile_distinct(spark, sf_dir):
-    return profile.profile_distinct(_profile_tables(spark, sf_dir))
+    found = _profile_tables(spark, sf_dir)
+    with held(found["transactions"]) as lines:  # a join, which each column's aggregate would compute
+        return cut_lineage(profile.profile_distinct({**found, "transactions": lines}))
 
 
 @query("profile_date_range", S.with_(S.TX) + "SELECT min(t_dat) AS min_date, max(t_dat) AS max_date FROM tx")
@@ -176,6 +179,20 @@ def basket_incidence(spark, sf_dir):
     return B.basket_incidence(mining_text_baskets(spark, sf_dir))
 
 
+@query("incidence_vectors", S.with_(S.TX, S.BASKETS, """vocab AS (
+  SELECT item, row_number() OVER (ORDER BY item) - 1 AS idx FROM (SELECT DISTINCT unnest(items) AS item FROM baskets))""",
+                                    "cells AS (SELECT transaction_id, unnest(items) AS item FROM baskets)") + """
+SELECT transaction_id, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS size,
+       string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY idx) AS indices, string_agg('1', ' ') AS "values"
+FROM cells JOIN vocab USING (item) GROUP BY transaction_id""")
+def incidence_vectors(spark, sf_dir):
+    """All article baskets over all articles they hold, as sparse vectors."""
+    v = B.incidence_vectors(basket_arrays(spark, sf_dir).select("transaction_id", "items"))
+    whole = F.transform("values", lambda x: x.cast("int").cast("string"))
+    return v.select("transaction_id", "size", F.array_join(F.transform("indices", lambda i: i.cast("string")), " ").alias("indices"),
+                    F.array_join(whole, " ").alias("values"))
+
+
 # -- variants ---------------------------------------------------------------
 
 _TOKEN_COLUMNS = ["product_group_name", "garment_group_name", "section_name", "prod_name"]
@@ -257,11 +274,13 @@ for _key, _column in variants.CATEGORY_VARIANTS + [("outfit", variants.OUTFIT_VA
 
 
 _MANIFEST_NAMES = ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in variants.variant_labels())
+_YEAR_NAMES = """SELECT variant AS key, 'Year ' || substr(start_day, 1, 4) AS label,
+       'Baskets from ' || start_day || ' to ' || end_day AS description FROM year_ranges"""
 
 
 @query("variant_manifest", S.with_(*_MANIFEST_CTES, "counted AS (SELECT variant, count(*) AS rows FROM ("
        + " UNION ALL ".join(_manifest_parts) + ") GROUP BY variant)", f"""names AS (
-  SELECT * FROM (VALUES {_MANIFEST_NAMES}) AS v(key, label, description))""") + """
+  SELECT * FROM (VALUES {_MANIFEST_NAMES}) AS v(key, label, description) UNION ALL {_YEAR_NAMES})""") + """
 SELECT key, label, CASE WHEN key = 'base' THEN 'variants' ELSE 'variants/variant=' || key END AS path, description, CAST(rows AS VARCHAR) AS rows
 FROM names LEFT JOIN counted ON variant = key WHERE rows IS NOT NULL OR key = 'base'""")
 def variant_manifest(spark, sf_dir):
@@ -271,6 +290,21 @@ def variant_manifest(spark, sf_dir):
     return variants.variant_manifest(v).withColumn("rows", F.col("rows").cast("string"))
 
 
+@query("range_baskets", S.with_(S.TX, S.BASKETS, """seasons AS (
+  SELECT DISTINCT 'winter_' || substr(t_dat, 1, 4) AS variant, substr(t_dat, 1, 4) || '-11-16' AS start_day,
+         CAST(CAST(substr(t_dat, 1, 4) AS INTEGER) + 1 AS VARCHAR) || '-02-15' AS end_day FROM baskets)""") + """
+SELECT s.variant, b.transaction_id, b.customer_id, b.t_dat, array_to_string(b.items, ' ') AS items, b.item_count
+FROM baskets b JOIN seasons s ON b.t_dat >= s.start_day AND b.t_dat <= s.end_day""")
+def range_baskets(spark, sf_dir):
+    """Ranges from a table: the winters of the years that have baskets."""
+    b = cut_lineage(basket_arrays(spark, sf_dir))
+    year = F.substring("t_dat", 1, 4)
+    seasons = b.select(year.alias("y")).distinct().select(
+        F.concat(F.lit("winter_"), "y").alias("variant"), F.concat("y", F.lit("-11-16")).alias("start"),
+        F.concat((F.col("y").cast("int") + 1).cast("string"), F.lit("-02-15")).alias("end"))
+    return B_text(variants.year_baskets(b, seasons, MIN_ITEMS))
+
+
 @query("mining_baskets", S.mining_with() + "SELECT transaction_id, t_dat, array_to_string(items, ' ') AS items "
        "FROM mining_baskets")
 def mining_baskets_q(spark, sf_dir):

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillroll.operators import experiments, mining, prep, variants
+from tillroll.operators import baskets as B
+from tillroll.operators import compare, experiments, mining, prep, variants
 from tillroll.plans import sql as S
 from tillroll.plans.inputs import basket_arrays, mining_baskets, product_group_baskets
 from tillroll.plans.registry import query
-from tillroll.session import cut_lineage
+from tillroll.session import cut_lineage, held
 from tillroll.sources import files, tables
 from tillroll.streaming import ingest
 
@@ -97,6 +98,33 @@ def profile_roundtrip(spark, sf_dir):
     return spark.read.schema("rows bigint, null_articles bigint, first_day string, last_day string").json(path)
 
 
+@query("summary_roundtrip", S.mining_with(*S.itemsets_upto3(SUPPORT, max_len=2)) + f"""
+SELECT algorithm, (SELECT count(*) FROM mining_baskets) AS transactions,
+       (SELECT count(DISTINCT item) FROM mining_items) AS unique_items, CAST({SUPPORT} AS DOUBLE) AS min_support,
+       (SELECT count(*) FROM itemsets) AS frequent_itemsets, (SELECT max(length) FROM itemsets) AS max_itemset_length,
+       (SELECT count(*) FROM itemsets) AS common_itemsets, 0 AS only_left, 0 AS only_right
+FROM (VALUES ('apriori'), ('eclat')) AS m(algorithm)""")
+def summary_roundtrip(spark, sf_dir):
+    """One run's nested summary as JSON, read back and laid out by method."""
+    path = ingest.scratch_path(spark, "summary")
+    with held(mining_baskets(spark, sf_dir)) as b:
+        found, seconds = experiments.run_methods(b, SUPPORT, 2, ("apriori", "eclat"))
+        long = compare.method_long(found)
+        files.append_summary(files.run_summary(
+            {"min_support": SUPPORT, "max_len": 2, "max_baskets": None},
+            experiments.method_summary(found, B.basket_stats(b), seconds), compare.common_itemsets(long, list(found)),
+            compare.pairwise_differences(long, list(found))), path)
+    part = "struct<frequent_itemsets:bigint,max_itemset_length:int>"
+    back = spark.read.schema(
+        "input struct<parameters:struct<min_support:double>,transactions:bigint,unique_items:bigint>, "
+        f"algorithms map<string,{part}>, comparison struct<common_itemsets:bigint,"
+        "pairwise_differences:map<string,struct<only_left:bigint,only_right:bigint>>>").json(path)
+    pair = F.col("comparison.pairwise_differences")["apriori_vs_eclat"]
+    return back.select("input", "comparison", pair.alias("pair"), F.explode("algorithms").alias("algorithm", "a")).select(
+        "algorithm", "input.transactions", "input.unique_items", "input.parameters.min_support", "a.frequent_itemsets",
+        "a.max_itemset_length", "comparison.common_itemsets", "pair.only_left", "pair.only_right")
+
+
 @query("experiments_roundtrip", S.mining_with(*S.itemsets_upto3(SUPPORT)) + " UNION ALL ".join(
     f"""SELECT '{c}' AS config, '{m}' AS algorithm, (SELECT count(*) FROM itemsets WHERE length <= {n})
           AS frequent_itemsets, CAST({n} AS INTEGER) AS max_len, 'ok' AS status"""

@@ -148,13 +148,13 @@ _POP_CTE = """pop AS (SELECT new_item_idx, old_article_idx, rank AS catalog_rank
 _SEEN_CTE = "seen AS (SELECT DISTINCT customer_id, new_item_idx FROM enc WHERE new_item_idx <> 0)"
 
 
-def _last_scores(ev, cat):
-    last = Q.last_event(Q.catalog_events(Q.encode_zero(ev, cat)))
-    return Q.scores_from_last_item(last, cut_lineage(Q.transition_scores(ev, cat)))
+def _postings(ev, cat):
+    return cut_lineage(Q.postings(Q.transition_scores(ev, cat)))
 
 
 def _by_transition(ev, cat):
-    return Q.answer_request(_last_scores(ev, cat), cat, TOP_K, seen=Q.seen_items(Q.encode_zero(ev, cat)))
+    sequences = Q.last_and_seen(Q.catalog_events(Q.encode_zero(ev, cat)))
+    return Q.rank_successors(sequences, _postings(ev, cat), cat, Q.clamp_k(TOP_K))
 
 
 @query("recommend_topk", W(EV, CAT, ENC, TRS, LAST) + _TOPK_SQL)
@@ -174,7 +174,9 @@ FROM (SELECT sc.customer_id, sc.new_item_idx, c.old_article_idx,
 WHERE rank <= {TOP_K}""")
 def recommend_topk_allow_seen(spark, sf_dir):
     with _setup(spark, sf_dir) as (ev, cat):
-        return cut_lineage(Q.rank_scores_allow_seen(_last_scores(ev, cat), cat, TOP_K))
+        last = Q.last_event(Q.catalog_events(Q.encode_zero(ev, cat)))
+        first = _postings(ev, cat).filter(F.col("rank") <= TOP_K).drop("rank")  # seen or not, no other can be returned
+        return cut_lineage(Q.rank_scores_allow_seen(Q.scores_from_last_item(last, first), cat, TOP_K))
 
 
 @query("popularity_recommend", W(EV, CAT, ENC, _SEEN_CTE, _POP_CTE) + _POP_SQL)

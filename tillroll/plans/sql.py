@@ -102,8 +102,10 @@ AGE_GROUPS = """age_groups AS (
         FROM customers WHERE age IS NOT NULL)
   WHERE g IS NOT NULL GROUP BY customer_id)"""
 
-YEAR_RANGES = "year_ranges AS (SELECT * FROM (VALUES " + ", ".join(
-    f"('year_{y}', '{y}-01-01', '{y}-12-31')" for y in range(1995, 2002)) + ") AS r(variant, start_day, end_day))"
+# one closed range per calendar year that has a basket
+YEAR_RANGES = """year_ranges AS (
+  SELECT DISTINCT 'year_' || substr(t_dat, 1, 4) AS variant, substr(t_dat, 1, 4) || '-01-01' AS start_day,
+         substr(t_dat, 1, 4) || '-12-31' AS end_day FROM baskets WHERE item_count >= 2)"""
 
 # mining input: product-group roll-up of the article baskets, loaded whole
 MINING_CTES = [

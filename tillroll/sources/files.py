@@ -100,6 +100,39 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def run_summary(config: dict, methods: DataFrame, common: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One run as one nested row: ``input`` (the run's parameters with the
+    basket and item counts), ``algorithms`` (by name: seconds where measured,
+    itemsets, longest length) and ``comparison`` (common itemsets and, for each
+    pair of methods, what only one of them has).
+
+    ``methods`` as ``experiments.method_summary`` gives them, ``common`` and
+    ``pairs`` as ``compare`` does: a row a method or pair, so the gathered maps
+    are as short as the lists of methods."""
+    given = F.struct(*[F.lit(v).cast("string" if v is None else "bigint" if type(v) is int else "double" if type(v) is float
+                                     else "string").alias(k) for k, v in config.items()])
+    seconds = [F.round("elapsed_seconds", 4).alias("elapsed_seconds")] if "elapsed_seconds" in methods.columns else []
+    each = F.struct(*seconds, "frequent_itemsets", "max_itemset_length")
+    by_method = methods.agg(F.max("transactions").alias("transactions"), F.max("unique_items").alias("unique_items"),
+                            F.map_from_entries(F.sort_array(F.collect_list(F.struct("algorithm", each.alias("v"))))
+                                               ).alias("algorithms"))
+    side = F.struct("only_left", "only_right").alias("v")
+    by_pair = pairs.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("pair", side)))).alias("pairwise_differences"))
+    one = by_method.agg(F.first(F.struct("*")).alias("m")).select(
+        "m", common.agg(F.first("common_itemsets")).scalar().alias("c"),
+        by_pair.agg(F.first("pairwise_differences")).scalar().alias("p"))
+    return one.select(
+        F.struct(given.alias("parameters"), F.col("m.transactions").alias("transactions"),
+                 F.col("m.unique_items").alias("unique_items")).alias("input"),
+        F.col("m.algorithms").alias("algorithms"),
+        F.struct(F.col("c").alias("common_itemsets"), F.col("p").alias("pairwise_differences")).alias("comparison"))
+
+
+def append_summary(summary: DataFrame, path: str) -> None:
+    """Add one run's summary: one JSON object on a line of its own."""
+    summary.coalesce(1).write.mode("append").option("ignoreNullFields", False).json(path)
+
+
 def write_experiment(rows: DataFrame, path: str) -> None:
     """Add one config's rows to the experiment log (CSV, a folder a config)."""
     rows.write.mode("append").partitionBy("config").option("header", True).csv(path)

@@ -100,7 +100,7 @@ class Scratch:
         path = f"{self.folder}/{self.tables}"
         self.tables += 1
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)  # known: no job has to look into the files
 
     def hold(self, df: DataFrame) -> DataFrame:
         """Cache ``df`` (memory, then disk) until the end of the job."""

@@ -187,3 +187,30 @@ def test_native_queries_run_no_python(spark, key):
     plan = queries.QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for node in ("Python", "Arrow", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
+
+
+def test_odd_distances_in_large_entries(spark):
+    """Every entry over the limit, odd and even distances, against all pairs."""
+    import random
+
+    rng = random.Random(6)
+    base = [rng.getrandbits(64) for _ in range(8)]
+    fps = {x ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for x in base for _ in range(12)}
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    rows = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
+    for bits in (1, 2, 3, 4):
+        group = {i: i for i in range(len(signed))}
+
+        def root(i):
+            while group[i] != i:
+                i = group[i]
+            return i
+
+        for i, x in enumerate(signed):
+            for j, y in enumerate(signed[:i]):
+                if ((x ^ y) & (1 << 64) - 1).bit_count() <= bits:
+                    a, b = sorted((root(i), root(j)))
+                    group[b] = a
+        for limit in (0, 8192):
+            got = {r["doc_id"]: r["component_id"] for r in simhash.near_groups(rows, bits, entry_limit=limit).collect()}
+            assert got == {i: root(i) for i in group}, (bits, limit)

@@ -128,3 +128,38 @@ def test_token_files_empty_and_whole_query(spark, tok, empty):
         assert (got[i]["start"], got[i]["n_tokens"], got[i]["ids_crc32"]) == (at, len(x), zlib.crc32(x.tobytes()))
         at += len(x)
     assert len(got) == 200
+
+
+def test_other_vocabularies_get_whole_texts():
+    from array import array
+
+    from tokenizers import Tokenizer
+    from tillroll.llm.tokens import WordEncoder
+
+    path = queries.vocabulary("byte_bpe_50k.json")
+    tok, mine = Tokenizer.from_file(path), WordEncoder(path)
+    assert not mine.by_words and WordEncoder(queries.vocabulary()).by_words
+    for text in ("Plain Words  and\tblanks", "UPPER lower", " lead", "", "J\u030c é 語", "a <|endoftext|> b"):
+        assert mine.encode(text.encode()) == array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def test_an_id_that_a_third_of_the_rows_lack(spark, tmp_path):
+    """They go to several files and to even buckets; starts stay gapless."""
+    rows = [(None if i % 3 == 0 else i, f"text {i * 7919 % 1000} of many") for i in range(3000)]
+    docs = frame(spark, rows).repartition(4)
+    path = f"file://{tmp_path}/tokens"
+    token_orc.write_token_orc(docs, path, queries.vocabulary())
+    whole = token_orc.read_token_orc(spark, path)
+    null_parts = whole.filter("doc_id is null").groupBy("part").count().collect()
+    assert len(null_parts) > 1 or whole.select("part").distinct().count() == 1
+    got = sorted((r["start"], r["n_tokens"]) for r in token_orc.digests(spark, path).collect())
+    at = 0
+    for start, n in got:
+        assert start == at
+        at += n
+    from pyspark.sql import functions as F
+
+    pieces = packing.token_pieces(docs, queries.vocabulary())
+    sizes = [r["count"] for r in pieces.groupBy(
+        F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(8)).alias("b")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 3000 / 8

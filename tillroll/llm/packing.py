@@ -164,7 +164,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     rows = sum(r["count"] for r in by_length)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / BUCKET_ROWS))
 
-    spread = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
+    # the checksum deals out pieces that share an id, or have none
+    spread = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     counts = spread.groupBy("length", "bucket").count()
     w = Window.partitionBy("length").orderBy("bucket")
     offsets = counts.select("length", "bucket", (F.sum("count").over(w) - F.col("count")).alias("before"))

@@ -14,7 +14,8 @@ n * n / 2 pairs.
 
 Equal fingerprints are one node, so copies never meet in pairs.  An entry of
 more than ``entry_limit`` different fingerprints is not compared pairwise: for
-those fingerprints every value within d / 2 bits is listed, and two of them
+those fingerprints every value within d / 2 bits is listed (d odd: within
+(d - 1) / 2 bits for one side and (d + 1) / 2 for the other), and two of them
 are within d bits exactly when they list a common value.  That is linear in
 the number of fingerprints and loses no link.
 
@@ -39,7 +40,8 @@ from tillroll.session import cut_lineage
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
-KEY_BYTES = 3
+KEY_BYTES = 3          # of an index entry, and one more
+MANY_NODES = 10 ** 10  # from so many different fingerprints on
 ENTRY_LIMIT = 8192
 SEED = 42
 _HASH_ROWS = 255 * 256  # shingle hashes counted at once
@@ -167,18 +169,25 @@ def _entry_links(max_bits: int):
     return run
 
 
-def _midpoint_links(fps: DataFrame, max_bits: int) -> DataFrame:
-    """Exact links for fingerprints of large entries, linear in their number."""
-    masks = [sum(1 << (b if b < 63 else 63) for b in bits) for r in range(max_bits // 2 + 1)
-             for bits in combinations(range(64), r)]
+def _values_near(fps: DataFrame, bits: int) -> DataFrame:
+    """(fp, mid): every value within ``bits`` of each fingerprint."""
+    masks = [sum(1 << b for b in chosen) for r in range(bits + 1) for chosen in combinations(range(64), r)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     values = F.expr("array(" + ",".join(f"{m}L" if m != -(1 << 63) else "shiftleft(1L, 63)" for m in signed) + ")")
-    near = fps.select("fp", F.explode(values).alias("mask")).select(
-        "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("mid"))
-    if max_bits % 2:  # an odd distance: one side goes a bit further
-        raise ValueError("large entries need an even number of bits")
-    least = near.groupBy("mid").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).filter("b <> top").drop("top")
-    return near.join(least, "mid").filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
+    return fps.select("fp", F.explode(values).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("mid"))
+
+
+def _midpoint_links(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Exact links for fingerprints of large entries, linear in their number.
+
+    All that list a value farther off are linked to the least that lists it
+    nearer by; those that list it nearer by list it farther off as well."""
+    near = _values_near(fps, max_bits // 2)
+    far = _values_near(fps, max_bits - max_bits // 2) if max_bits % 2 else near
+    least = near.groupBy("mid").agg(F.min("fp").alias("b"), F.max("fp").alias("top"))
+    if not max_bits % 2:
+        least = least.filter("b <> top")
+    return far.join(least.drop("top"), "mid").filter("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, key_bytes: int = KEY_BYTES,
@@ -200,10 +209,14 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, key_bytes: int = KEY_BYTES,
     return out
 
 
-def near_groups(rows: DataFrame, max_bits: int = MAX_BITS, key_bytes: int = KEY_BYTES,
+def near_groups(rows: DataFrame, max_bits: int = MAX_BITS, key_bytes: int | None = None,
                 entry_limit: int = ENTRY_LIMIT) -> DataFrame:
-    """``rows`` (with doc_id, fp; a written table) and their component_id."""
+    """``rows`` (with doc_id, fp; a written table) and their component_id.
+    The width of an index entry follows from the number of fingerprints
+    unless ``key_bytes`` states it; any width finds the same links."""
     nodes = cut_lineage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    if key_bytes is None:
+        key_bytes = min(KEY_BYTES + (nodes.count() >= MANY_NODES), 8 - max_bits)
     roots = cut_lineage(components(links(nodes.select("fp"), max_bits, key_bytes, entry_limit)))
     tree = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
@@ -213,7 +226,7 @@ def near_groups(rows: DataFrame, max_bits: int = MAX_BITS, key_bytes: int = KEY_
 
 
 def simhash_dedup(docs: DataFrame, words_per: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                  key_bytes: int = KEY_BYTES, entry_limit: int = ENTRY_LIMIT) -> DataFrame:
+                  key_bytes: int | None = None, entry_limit: int = ENTRY_LIMIT) -> DataFrame:
     """doc_id, h, len, fp (signed), fingerprint (hex), component_id per row."""
     rows = cut_lineage(fingerprints(docs, words_per))
     return near_groups(rows, max_bits, key_bytes, entry_limit).withColumn(

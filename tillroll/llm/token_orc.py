@@ -22,20 +22,24 @@ from tillroll.llm.common import map_arrow, text_or_empty
 from tillroll.session import cut_lineage
 
 END_ID = 1
-LAYOUT = "doc_id long, seq long, n_tokens int, ids array<int>"
+LAYOUT = "part int, doc_id long, seq long, n_tokens int, ids array<int>"
+HEAD = 64  # characters of a text by which rows of one id are dealt to files
 
 
 def write_token_orc(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, stripe_bytes: int = 16 << 20,
                     index_rows: int = 1000, bloom_fpp: float = 0.01, compression: str = "zstd") -> None:
-    """``seq`` is a row's number in its file."""
+    """``part`` numbers the ranges of ids in their order, ``seq`` the rows of
+    a part.  Rows are ordered by id, those of one id by their text, so an id
+    that very many rows share (or lack) is spread over several files."""
 
     def encode(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
 
         from tillroll.llm.tokens import encoded_slices
 
-        seq = 0
+        part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
             doc_ids = batch.column(0)
             for first, encoded in encoded_slices(batch, tokenizer, 1, end_id):
@@ -43,13 +47,14 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str, end_id: int = EN
                 flat = pa.array(np.frombuffer(b"".join(encoded), dtype="<i4"))
                 ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [doc_ids.slice(first, len(n)), pa.array(np.arange(seq, seq + len(n), dtype=np.int64)),
+                    [pa.array(np.full(len(n), part, dtype=np.int32)), doc_ids.slice(first, len(n)),
+                     pa.array(np.arange(seq, seq + len(n), dtype=np.int64)),
                      pa.array(n), pa.ListArray.from_arrays(pa.array(ends), flat)],
-                    ["doc_id", "seq", "n_tokens", "ids"])
+                    ["part", "doc_id", "seq", "n_tokens", "ids"])
                 seq += len(n)
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
-    ranged = src.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ranged = src.repartitionByRange("doc_id", F.substring("text", 1, HEAD)).sortWithinPartitions("doc_id", "text")
     (map_arrow(ranged, encode, LAYOUT).write.mode("overwrite")
      .option("compression", compression)
      .option("orc.stripe.size", str(stripe_bytes))
@@ -72,8 +77,8 @@ def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files.
 
-    A file is a range of ids, so a document's start is the sum over earlier
-    files plus a running sum inside its own."""
+    A part is a range of ids, so a document's start is the sum over earlier
+    parts plus a running sum inside its own."""
 
     def check(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -87,15 +92,13 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
             crcs = [crc(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array((ends[1:] - ends[:-1]).astype("int64")),
-                 pa.array(crcs, pa.int64())], ["file", "doc_id", "seq", "n_tokens", "ids_crc32"])
-
-    raw = read_token_orc(spark, path).select(F.col("_metadata.file_name").alias("file"), "doc_id", "seq", "ids")
-    rows = cut_lineage(map_arrow(raw, check, "file string, doc_id long, seq long, n_tokens long, ids_crc32 long"))
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"), F.min("doc_id").alias("low"),
-                                     F.max(F.col("doc_id").isNull()).alias("has_null"))
-    # one row per file
-    order = Window.orderBy(F.desc("has_null"), "low").rowsBetween(Window.unboundedPreceding, -1)
-    before = files.select("file", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    return (rows.withColumn("own", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(before, "file")
+                 pa.array(crcs, pa.int64())], ["part", "doc_id", "seq", "n_tokens", "ids_crc32"])
+
+    raw = read_token_orc(spark, path).select("part", "doc_id", "seq", "ids")
+    rows = cut_lineage(map_arrow(raw, check, "part int, doc_id long, seq long, n_tokens long, ids_crc32 long"))
+    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))  # one row per file
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("part", F.coalesce(F.sum("total").over(order), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("own", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(before, "part")
             .select("doc_id", (F.col("before") + F.col("own")).alias("start"), "n_tokens", "ids_crc32"))

@@ -13,10 +13,14 @@ it lower-cases (there is a composed j with caron, but no J).
 A word of Latin letters is one piece to the library's splitter and needs no
 normalising, so it goes to the library's model directly, which costs a third;
 a run of signs behind it is a piece of its own.
+
+All this holds for vocabularies that work like the word vocabulary
+(``cuts_at_blanks``); of any other, whole texts are given to the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import zlib
@@ -46,6 +50,19 @@ def _words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def cuts_at_blanks(config: dict) -> bool:
+    """Whether a tokenizer, as its file describes it, lower-cases, composes
+    and drops blanks, cuts at them first and marks the ends of words, so that
+    a text's ids are its words' ids."""
+    normal, split = config.get("normalizer") or {}, config.get("pre_tokenizer") or {}
+    steps = [(n["type"], n.get("content")) for n in normal.get("normalizers", [])]
+    cut = [(p["type"], p.get("behavior"), p.get("invert"), p.get("add_prefix_space")) for p in split.get("pretokenizers", [])]
+    return (steps == [("NFC", None), ("Replace", " "), ("Lowercase", None)]
+            and cut == [("Split", "Removed", True, None), ("ByteLevel", None, None, False)]
+            and split["pretokenizers"][0]["pattern"].get("Regex", "").endswith(r"[^\s\p{L}\p{N}]+")
+            and config["model"].get("end_of_word_suffix") == "</w>")
+
+
 class WordEncoder:
     """bytes of a text -> little-endian unsigned 32-bit ids as bytes."""
 
@@ -55,6 +72,7 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
+        self.by_words = cuts_at_blanks(json.loads(self.tok.to_str()))
         while len(ID_BYTES) < self.tok.get_vocab_size():
             ID_BYTES.append(len(ID_BYTES).to_bytes(4, "little"))
         self.signs: dict[bytes, bytes] = {}
@@ -101,6 +119,8 @@ class WordEncoder:
         return v
 
     def encode(self, text: bytes) -> bytes:
+        if not self.by_words:
+            return self._whole(text)
         words = _words(text)
         found = list(map(self.memo.get, words))
         if None in found:

@@ -129,49 +129,77 @@ def test_components_of_a_long_path_and_a_star(spark):
 
 
 def brute_lines(rows, min_lines=2):
-    def md5(s):
-        return hashlib.md5(s.encode()).hexdigest()
-
-    docs = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    seen, out = {}, {}
-    cut = []
+    """Every run of two lines (blank ones aside) that came before goes."""
+    docs = sorted({(i, t or "") for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
+    seen, out = set(), {}
     for i, t in docs:
         lines = t.split("\n")
-        n = len(lines)
-        roll = [None] + [md5(md5(lines[k - 1]) + md5(lines[k])) for k in range(1, n)]
-        starts = [0] + [k for k in range(2, n - 1) if roll[k] < roll[k - 1] and roll[k] < roll[k + 1]]
-        cut.append((i, t, lines, list(zip(starts, starts[1:] + [n]))))
-    for i, t, lines, spans in cut:
-        kept, gone = [], 0
-        for a, b in spans:
-            chunk = "\n".join(lines[a:b])
-            if b - a >= min_lines and chunk in seen:
-                gone += 1
-                continue
-            seen.setdefault(chunk, (i, a))
-            kept += lines[a:b]
-        out[(i, t)] = (len(lines), gone, "\n".join(kept))
+        solid = [k for k, line in enumerate(lines) if line.strip(" \t\n\x0b\f\r")]
+        gone, chunks, end = set(), 0, -1
+        for k in range(len(solid) - min_lines + 1):
+            places = solid[k:k + min_lines]
+            run = tuple(lines[p] for p in places)
+            if run in seen:
+                chunks += places[0] > end
+                end = places[-1]
+                gone.update(range(places[0], end + 1))
+            seen.add(run)
+        out[(i, t)] = (len(lines), chunks, len(gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
     return Counter((i, *out[(i, t or "")]) for i, t in rows)
 
 
-def test_line_dedup(spark, empty):
+@pytest.mark.parametrize("min_lines", [2, 3])
+def test_line_dedup(spark, empty, min_lines):
     import random
 
     rng = random.Random(3)
     passage = [f"shared line {i} of a long passage" for i in range(14)]
-    rows = [(1, None), (2, ""), (3, "one"), (4, "a\nb"), (5, "\n\n\n\n"), (6, "x\r\ny\n" * 9)]
+    rows = [(1, None), (2, ""), (3, "one"), (4, "a\nb"), (5, "\n\n\n\n"), (6, "x\r\ny\n" * 9), (40, "a\n \nb\n\nb\nb"),
+            (41, "a\nb\na\nb\n\n"), (42, "é\nß"), (43, "é\nß\nend")]
     for i in range(7, 40):
         own = [f"own {i} {j} {rng.random()}" for j in range(rng.randint(0, 12))]
         at = rng.randint(0, len(own))
         rows.append((i, "\n".join(own[:at] + passage[rng.randint(0, 3):] + own[at:])))
-    got = line_dedup.line_dedup(frame(spark, rows, CLASHING)).collect()
-    assert Counter((r["doc_id"], r["n_lines"], r["removed_chunks"], r["text"]) for r in got) == brute_lines(rows)
+    got = line_dedup.line_dedup(frame(spark, rows, CLASHING), min_lines).collect()
+    assert Counter((r["doc_id"], r["n_lines"], r["removed_chunks"], r["removed_lines"], r["text"])
+                   for r in got) == brute_lines(rows, min_lines)
     assert sum(r["removed_chunks"] for r in got) > 30
     same = line_dedup.line_dedup(frame(spark, [(1, "a\nb"), (1, "a\nb"), (None, "a\nb")])).collect()
     assert len(same) == 3
     assert line_dedup.line_dedup(empty).count() == 0
 
 
+def test_passages_of_any_length_go_whole(spark):
+    """A passage between a document's own lines goes from all but its first
+    document; no own line and no single shared line goes."""
+    import random
+
+    rng = random.Random(11)
+    rows, inside = [], {}
+    for length in (2, 3, 4, 5, 6, 12, 40):
+        passage = [f"passage {length} {j} {rng.random()}" for j in range(length)]
+        for k in range(20):
+            own = [f"own {length} {k} {j}" for j in range(rng.randint(2, 9))]
+            at = rng.randint(1, len(own) - 1)  # own lines on both sides
+            if k % 2:
+                own.append("one line that many documents share")
+            doc = 1000 * length + k
+            rows.append((doc, "\n".join(own[:at] + passage + own[at:])))
+            inside[doc] = (passage, own)
+    for r in line_dedup.line_dedup(frame(spark, rows)).collect():
+        passage, own = inside[r["doc_id"]]
+        lines = r["text"].split("\n")
+        assert [x for x in lines if x not in passage] == own
+        assert len(lines) == len(own) + (0 if r["doc_id"] % 1000 else len(passage))
+
+
+def test_rows_carry_their_own_lines_only(spark):
+    """A long text of many lines is not copied once per line."""
+    text = "\n".join(f"line {i} with some words to make it longer" for i in range(60_000))
+    got = line_dedup.line_dedup(frame(spark, [(1, text), (2, "first\n" + text + "\nlast"), (3, "other")])).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {1: text, 2: "first\nlast", 3: "other"}
+
+
 @pytest.mark.parametrize("key", sorted(queries.ORACLE))
 def test_queries_with_sql(spark, key):
     from tools.oracle_check import digest

@@ -99,27 +99,25 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-@query("op10_line_dedup", """
+@query("op10_line_dedup", r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i,
-         len(string_split(coalesce(text, ''), chr(10))) AS n
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS i
   FROM documents),
-r AS (SELECT *, md5(lag(md5(line)) OVER w || md5(line)) AS rolling FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-s AS (SELECT *, CASE WHEN i = 0 OR (i BETWEEN 2 AND n - 2 AND rolling < lag(rolling) OVER w
-                                    AND rolling < lead(rolling) OVER w) THEN 1 ELSE 0 END AS starts
-      FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-c AS (SELECT *, sum(starts) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS chunk FROM s),
-k AS (SELECT doc_id, chunk, count(*) AS lines, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, chunk),
-d AS (SELECT doc_id, chunk, lines,
-             lines >= 2 AND row_number() OVER (PARTITION BY body, lines >= 2 ORDER BY doc_id, chunk) > 1 AS gone FROM k),
-t AS (SELECT doc_id, count(*) FILTER (gone) AS removed_chunks, coalesce(sum(lines) FILTER (gone), 0) AS removed_lines
-      FROM d GROUP BY doc_id),
-x AS (SELECT c.doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM c JOIN d USING (doc_id, chunk)
-      WHERE NOT gone GROUP BY c.doc_id)
-SELECT t.doc_id, m.n::INT AS n_lines, t.removed_chunks::INT AS removed_chunks, t.removed_lines::INT AS removed_lines,
+z AS (SELECT doc_id, i AS a, line, lead(i) OVER w AS b, lead(line) OVER w AS next
+      FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+p AS (SELECT doc_id, a, b, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, a) > 1 AS again
+      FROM z WHERE b IS NOT NULL),
+c AS (SELECT doc_id, a, b, CASE WHEN a = lag(b) OVER (PARTITION BY doc_id ORDER BY a) THEN 0 ELSE 1 END AS starts
+      FROM p WHERE again),
+g AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS i FROM c),
+t AS (SELECT doc_id, sum(starts) AS chunks FROM c GROUP BY doc_id),
+x AS (SELECT l.doc_id, count(*) AS n, count(g.i) AS lost,
+             string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL) AS text
+      FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)
+SELECT x.doc_id, n::INT AS n_lines, coalesce(chunks, 0)::INT AS removed_chunks, lost::INT AS removed_lines,
        coalesce(x.text, '') AS text
-FROM t JOIN (SELECT doc_id, any_value(n) AS n FROM l GROUP BY doc_id) m USING (doc_id) LEFT JOIN x USING (doc_id)
+FROM x LEFT JOIN t USING (doc_id)
 """)
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))

@@ -15,31 +15,60 @@ from tillroll.llm import ann, gru, langid, quality, queries
 SF = "/root/testdata/sf0.001"
 
 
-def test_gradients():
+@pytest.mark.parametrize("lengths", [None, np.array([6, 1, 4, 6, 3])])
+def test_gradients(lengths):
     net = gru.Network(3, 4)
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
     rng = np.random.default_rng(0)
     text, label = rng.integers(97, 105, (5, 6)).astype(np.uint8), rng.integers(0, 3, 5)
-    _, grads = net.gradients(text, label)
+    _, grads = net.gradients(text, label, lengths)
     for k, v in net.w.items():
         at = (int(text[0, 2]), 3) if k.startswith("in") else tuple(rng.integers(0, n) for n in v.shape)
         v[at] += 1e-3
-        up = net.gradients(text, label)[0]
+        up = net.gradients(text, label, lengths)[0]
         v[at] -= 2e-3
-        down = net.gradients(text, label)[0]
+        down = net.gradients(text, label, lengths)[0]
         v[at] += 1e-3
         assert abs((up - down) / 2e-3 - grads[k][at]) < 1e-5
 
 
-def test_pooling_equals_the_network_word_by_word():
+def plain(net, text: bytes):
+    """Mean label probabilities of one pass over the whole text, uncut."""
+    return net.position_probs(np.frombuffer(text, np.uint8)[None])[:, 0].mean(axis=0)
+
+
+def test_windows():
+    texts = [b"", b"a", b"word " * 500, "é".encode() * 1000, "日本語".encode() * 300, "a😀".encode() * 200, b"x" * 5000]
+    for t in texts:
+        cut = langid.windows(t)
+        assert b"".join(t[b:c] for _, b, c, _ in cut) == t
+        for a, b, c, d in cut:
+            t[a:b].decode(), t[b:c].decode(), t[c:d].decode()  # cut at character starts
+            assert b < c and d - a <= langid.CORE + 2 * langid.CONTEXT + 9
+            assert a == 0 or b - a >= langid.CONTEXT
+            assert d == len(t) or d - c >= langid.CONTEXT - 3
+
+
+def test_pooling_equals_a_plain_pass():
+    """Strings of one window: the states, whatever runs beside them."""
     net = gru.Network(3, 4)
-    sums = langid._WordSums(net)
-    texts = [b"one two three two", b"x" * 130 + b" two", b"", "é à ü".encode()]
-    got = sums.pooled([t.split() for t in texts])
-    for t, row in zip(texts, got):
-        probs = [p for w in t.split() for a in range(0, len(w), langid.SEGMENT)
-                 for p in net.position_probs(np.frombuffer(w[a:a + langid.SEGMENT], np.uint8)[None])[:, 0]]
-        assert np.allclose(row, np.mean(probs, axis=0) if probs else 0, atol=1e-6)
+    texts = [b"one two three two", b"", "é à ü 日本".encode(), b"x" * langid.CORE, b"a", b"\n\n \t"]
+    for group in (texts, texts[:1], texts * 200):
+        for t, row in zip(group, langid.pooled(net, group)):
+            assert np.allclose(row, plain(net, t) if t else 0, atol=1e-5)
+
+
+def test_windows_agree_with_a_plain_pass_over_whole_texts(spark):
+    docs = queries.table(spark, SF, "documents")
+    languages, net = langid.fit(docs)
+    texts = [r["text"].encode() for r in docs.filter("text is not null and text <> ''").collect()]
+    texts = [t for t in texts if len(t) < 40_000]
+    got, want = langid.pooled(net, texts), np.array([plain(net, t) for t in texts])
+    assert sum(len(t) > 4 * langid.CORE for t in texts) > 20
+    assert (got.argmax(axis=1) == want.argmax(axis=1)).mean() >= 0.99
+    # repetitions of a word or of signs, where no language is clear, may differ by more
+    off = np.abs(got - want).max(axis=1)
+    assert np.quantile(off, 0.95) < 0.05 and off.mean() < 0.01
 
 
 def test_language_query_held_out_accuracy(spark):

@@ -99,6 +99,47 @@ def test_plan_pairs_large_items_and_fills_gaps():
             assert sum(3 * length > cap for _, length in parts) <= 2
 
 
+def fewest_bins(items, cap):
+    """By exhaustion: the least (bins, fill of the last) over all subsets."""
+    best = [(1, 0)] + [(len(items) + 1, 0)] * (2 ** len(items) - 1)
+    for mask in range(1, len(best)):
+        for k, size in enumerate(items):
+            if mask >> k & 1:
+                n, fill = best[mask ^ 1 << k]
+                best[mask] = min(best[mask], (n, fill + size) if fill + size <= cap else (n + 1, size))
+    return best[-1][0]
+
+
+def best_fit_decreasing(items, cap):
+    gaps = []
+    for size in sorted(items, reverse=True):
+        fit = min((g for g in gaps if g >= size), default=None)
+        if fit is not None:
+            gaps.remove(fit)
+        gaps.append((cap if fit is None else fit) - size)
+    return len(gaps)
+
+
+def bins_of(items, cap):
+    return packing.plan_packing({s: items.count(s) for s in items}, cap).bins
+
+
+def test_plan_against_the_optimum_and_plain_best_fit():
+    rng = np.random.default_rng(5)
+    over = 0
+    for _ in range(200):
+        cap = int(rng.integers(6, 60))
+        large = rng.integers(cap // 3 + 1, cap + 1, size=rng.integers(1, 10)).tolist()
+        assert bins_of(large, cap) == fewest_bins(large, cap)  # pairs alone: the matching is the optimum
+        mixed = rng.integers(1, cap + 1, size=rng.integers(1, 10)).tolist()
+        least = fewest_bins(mixed, cap)
+        assert least <= bins_of(mixed, cap) <= least + 1
+        over += bins_of(mixed, cap) > least
+        many = np.minimum(rng.geometric(0.08, size=300), cap).tolist()
+        assert bins_of(many, cap) <= 1.02 * best_fit_decreasing(many, cap) + 1
+    assert over <= 20
+
+
 def test_token_files(spark, tok):
     rows = odd_rows(long=9000)
     path = f"{ensure_checkpoint_dir(spark)}/tokens-test"

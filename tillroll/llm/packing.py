@@ -169,7 +169,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     counts = spread.groupBy("length", "bucket").count()
     w = Window.partitionBy("length").orderBy("bucket")
     offsets = counts.select("length", "bucket", (F.sum("count").over(w) - F.col("count")).alias("before"))
-    inside = Window.partitionBy("bucket", "length").orderBy("doc_id", "piece")
+    # up to the checksum: a task that runs again gives every piece its rank again
+    inside = Window.partitionBy("bucket", "length").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = (spread.repartition("bucket").withColumn("nth", F.row_number().over(inside))
               .join(offsets, ["length", "bucket"])
               .select("doc_id", "piece", "start", "length", "ids_crc32",

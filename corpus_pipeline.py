@@ -6,13 +6,11 @@ the columns of ``documents``; the last returns the packed pieces.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import exact_dedup, langid, mixing, packing, simhash
 from tillroll.llm.queries import vocabulary
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.session import cut_lineage
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +46,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
+    """All stages over ``documents``, each written and read again; the tables
+    leave the shared folder with ``release_tables``."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for i, (name, stage) in enumerate(STAGES):
-        path = f"{base}/{i}-{name}"
-        stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
-        docs = spark.read.parquet(path)
+    for _, stage in STAGES:
+        docs = cut_lineage(stage(spark, docs, sf_dir))
     return docs

@@ -240,3 +240,35 @@ def test_broadcast_is_bounded_by_bytes(spark):
     wide = spark.range(50).select(F.repeat(F.lit("x"), 10_000).alias("s"))
     assert not fits_broadcast(wide, byte_limit=100_000) and fits_broadcast(wide)
     assert broadcast_if_small(wide, row_limit=10) is wide
+
+
+def test_a_file_of_the_inbox_is_bounded(spark, tmp_path, monkeypatch):
+    """More lines make more files, not larger ones, also where one order has
+    half of the lines; the batches stay as many and the result the same."""
+    from tillroll.plans import io_queries
+
+    sf = str(tmp_path)
+    spark.range(2000).select(
+        F.when(F.col("id") < 1000, F.lit(7)).otherwise(F.col("id") % 90).alias("l_orderkey"),
+        (F.col("id") % 11).alias("l_partkey"), F.col("id").cast("int").alias("l_linenumber"),
+        F.lit(1.0).alias("l_extendedprice")).write.parquet(f"{sf}/lineitem.parquet")
+    spark.range(90).select(F.col("id").alias("o_orderkey"), (F.col("id") % 40).alias("o_custkey"), F.expr(
+        "timestamp'1996-01-01' + make_interval(0, 0, 0, cast(id % 5 as int))").alias("o_orderdate")).write.parquet(f"{sf}/orders.parquet")
+    want = prep.dedupe_transactions(tables.transactions(spark, sf)).collect()
+    monkeypatch.setattr(io_queries, "LINES_A_FILE", 100)
+    inbox, a_batch = io_queries._inbox(spark, sf, "bounded", 4, F.desc("l_orderkey"))
+    files = spark.read.parquet(inbox).groupBy(F.input_file_name()).count().collect()
+    assert a_batch == 5 and sum(r["count"] for r in files) == 2000 and max(r["count"] for r in files) <= 250
+    got = io_queries.incremental_dedupe(spark, sf).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_writers_of_baskets_follow_the_lines(spark):
+    """A folder of the basket table with many lines has several writers."""
+    inbox, out, kept = (ingest.scratch_path(spark, n) for n in ("many-in", "many-lines", "many-baskets"))
+    rows = [("1996-01-10", f"c{c}", f"{a:010d}") for c in range(200) for a in (1, 2)]
+    _batch(spark, rows).write.parquet(inbox)
+    stream = spark.readStream.schema("t_dat string, customer_id string, article_id string").parquet(inbox)
+    ingest.ingest_unique_lines(stream, out, ingest.scratch_path(spark, "many-ckpt"), rows_per_writer=50, buckets=1,
+                               baskets_path=kept)
+    assert len(_files(kept)) > 1 and ingest.read_kept_baskets(spark, kept).count() == 200

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tillroll.operators import baskets as B
@@ -15,19 +17,30 @@ from tillroll.streaming import ingest
 
 SUPPORT = 0.01
 FOLDERS_A_MONTH = 2  # the given tables have few lines a month
+LINES_A_FILE = 1_000_000  # so no task writes or streams a share of the whole table
+
+
+def _inbox(spark, sf_dir, name, batches, order):
+    """Deal the lines out to files in the order of their keys; returns the
+    folder and how many of its files make one of ``batches`` batches."""
+    inbox = ingest.scratch_path(spark, name)
+    lines = tables.table(spark, sf_dir, "lineitem")
+    a_batch = max(1, math.ceil(lines.count() / (batches * LINES_A_FILE)))
+    # the line number splits an order that fills more than a file
+    lines.repartitionByRange(batches * a_batch, order, "l_linenumber").write.parquet(inbox)
+    return inbox, a_batch
 
 
 @query("incremental_dedupe", S.with_(S.TX) + f"""
 SELECT DISTINCT t_dat, customer_id, {S.zfill('article_id')} AS article_id FROM tx
 WHERE t_dat IS NOT NULL AND customer_id IS NOT NULL AND article_id IS NOT NULL""")
 def incremental_dedupe(spark, sf_dir):
-    """Deal the lines out to several files, newest orders first, stream them
-    one file at a time through the key de-duplication, and read the table."""
-    inbox = ingest.scratch_path(spark, "line-files")
-    tables.table(spark, sf_dir, "lineitem").repartitionByRange(4, F.desc("l_orderkey")).write.parquet(inbox)
+    """Deal the lines out to files, newest orders first, stream them in four
+    batches through the key de-duplication, and read the table."""
+    inbox, files_a_batch = _inbox(spark, sf_dir, "line-files", 4, F.desc("l_orderkey"))
     table_path = ingest.scratch_path(spark, "unique-lines")
     ingest.ingest_unique_lines(
-        ingest.item_stream(spark, inbox, max_files_per_trigger=1), table_path,
+        ingest.item_stream(spark, inbox, max_files_per_trigger=files_a_batch), table_path,
         ingest.scratch_path(spark, "unique-lines-ckpt"), buckets=FOLDERS_A_MONTH,
         lines_of=ingest.with_orders(tables.table(spark, sf_dir, "orders")))
     return ingest.read_unique_lines(spark, table_path).select("t_dat", "customer_id", "article_id")
@@ -37,11 +50,10 @@ def incremental_dedupe(spark, sf_dir):
 SELECT transaction_id, customer_id, t_dat, array_to_string(items, ' ') AS items, item_count FROM baskets""")
 def incremental_baskets(spark, sf_dir):
     """The lines in two chunks, and the baskets that the ingest keeps."""
-    inbox = ingest.scratch_path(spark, "basket-files")
-    tables.table(spark, sf_dir, "lineitem").repartitionByRange(2, "l_orderkey").write.parquet(inbox)
+    inbox, files_a_batch = _inbox(spark, sf_dir, "basket-files", 2, F.col("l_orderkey"))
     baskets_path = ingest.scratch_path(spark, "kept-baskets")
     ingest.ingest_unique_lines(
-        ingest.item_stream(spark, inbox, max_files_per_trigger=1), ingest.scratch_path(spark, "basket-lines"),
+        ingest.item_stream(spark, inbox, max_files_per_trigger=files_a_batch), ingest.scratch_path(spark, "basket-lines"),
         ingest.scratch_path(spark, "basket-ckpt"), buckets=FOLDERS_A_MONTH,
         lines_of=ingest.with_orders(tables.table(spark, sf_dir, "orders")), baskets_path=baskets_path)
     return ingest.read_kept_baskets(spark, baskets_path).select(

@@ -156,7 +156,7 @@ def ingest_unique_lines(stream: DataFrame, table_path: str, checkpoint_location:
             _sized(fresh, rows, rows_per_writer, F.xxhash64("t_dat", "customer_id")).sortWithinPartitions(
                 *FOLDER, "t_dat", "customer_id").write.mode("append").partitionBy(*FOLDER).parquet(table_path)
             if baskets_path:
-                keep_baskets(session, table_path, baskets_path, folders, min_items)
+                keep_baskets(session, table_path, baskets_path, folders, min_items, rows_per_writer)
 
     query = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True).start())
@@ -165,14 +165,19 @@ def ingest_unique_lines(stream: DataFrame, table_path: str, checkpoint_location:
         raise query.exception()
 
 
-def keep_baskets(spark: SparkSession, table_path: str, baskets_path: str, folders: list, min_items: int = 2) -> None:
+def keep_baskets(spark: SparkSession, table_path: str, baskets_path: str, folders: list, min_items: int = 2,
+                 rows_per_writer: int = ROWS_PER_WRITER) -> None:
     """Build the baskets of ``folders`` (rows of month and bucket) again and
-    replace those folders of the basket table; the others stay as they are."""
+    replace those folders of the basket table; the others stay as they are.
+    A writer gets the baskets of about ``rows_per_writer`` lines."""
     lines = read_unique_lines(spark, table_path).filter(_touched(folders, days=False))
     month = F.substring("t_dat", 1, 7).alias("t_month")
     # the bucket is a function of customer and day, so it is the same for all lines of a basket
     place = lines.select("customer_id", "t_dat", "bucket").distinct()
     built = build_baskets(lines, min_items).select("*", month).join(place, ["customer_id", "t_dat"])
-    (built.select("transaction_id", "customer_id", "t_dat", "items", "item_count", *FOLDER)
-     .repartition(*FOLDER).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    stored = {(r["t_month"], r["bucket"]): r["n"]
+              for r in lines.groupBy(*FOLDER).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per folder
+    built = built.select("transaction_id", "customer_id", "t_dat", "items", "item_count", *FOLDER)
+    (_sized(built, stored, rows_per_writer, F.xxhash64("t_dat", "customer_id"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*FOLDER).parquet(baskets_path))

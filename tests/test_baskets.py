@@ -106,3 +106,31 @@ def test_exact_distinct_expands_no_rows(spark):
     got = profile.profile_distinct({"t": df})
     assert {r["column_name"]: r["distinct_count"] for r in got.collect()} == {"a": 3, "b": 20, "c": 40}
     assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_category_variants_shuffle_a_row_per_item(spark):
+    """The regrouping is by basket: no row per item and variant is shuffled."""
+    b = spark.createDataFrame([("t", "c", "1996-01-01", ["0000000001", "0000000002"]),
+                               ("u", "c", "1996-01-02", ["0000000001", "0000000003"])],
+                              "transaction_id string, customer_id string, t_dat string, items array<string>")
+    arts = spark.createDataFrame([("1", "A", "X"), ("2", "B", "X"), ("2", "C", None), ("3", "A", "Y")],
+                                 "article_id string, product_group_name string, garment_group_name string")
+    got = variants.category_variants(b, arts, [("pg", "product_group_name", "pg"), ("gg", "garment_group_name", "gg"),
+                                               ("outfit", "garment_group_name", "o")], 2, map_rows=10**9)
+    exchanges = [x for x in _plan(got).splitlines() if "hashpartitioning" in x]
+    assert exchanges and not any("variant" in x for x in exchanges)
+    assert {(r["variant"], r["transaction_id"], tuple(r["items"]), r["item_count"]) for r in got.collect()} == {
+        ("pg", "t", ("pg_a", "pg_c"), 2), ("gg", "u", ("gg_x", "gg_y"), 2), ("outfit", "u", ("o_x", "o_y"), 2)}
+
+
+def test_a_short_list_restricts_inside_the_row(spark):
+    """No shuffle and no regrouping; nulls and empty baskets as before."""
+    b = spark.createDataFrame([("t", ["b", "a", "b", None, "z"]), ("t", None), ("u", ["z"])],
+                              "transaction_id string, items array<string>")
+    got = B.restrict_items(b, spark.createDataFrame([("a",), ("b",), (None,)], "item string"))
+    assert "hashpartitioning" not in _plan(got)
+    assert sorted((r["transaction_id"], r["items"]) for r in got.collect()) == [("t", []), ("t", ["a", "b"]), ("u", [])]

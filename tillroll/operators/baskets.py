@@ -17,6 +17,9 @@ from tillroll.operators.selection import first_rows
 from tillroll.session import broadcast_if_small, cut_lineage
 
 
+IN_ROW = 1000  # allowed items that are met inside a basket's row
+
+
 def date_filter(baskets: DataFrame, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """Closed interval on the text day; either end may be open.  Pushed into
     the Parquet scan as a range predicate when reading stored baskets."""
@@ -62,11 +65,21 @@ def restrict_items(baskets: DataFrame, allowed: DataFrame) -> DataFrame:
     """Keep only allowed items inside each basket, distinct and sorted; a
     basket without any allowed item stays, empty.
 
-    A row is a basket, whatever its id says: the rows are numbered on a
-    written table and regrouped by that number."""
+    A row is a basket, whatever its id says.  A short list is met inside the
+    row; for a longer one the rows are numbered on a written table and
+    regrouped by that number."""
+    allowed = cut_lineage(allowed.select("item").distinct())
+    if allowed.count() <= IN_ROW:
+        return _restricted_in_row(baskets, allowed)
     return _restricted(_numbered(baskets), allowed).drop("_row")
 
 
+def _restricted_in_row(baskets: DataFrame, allowed: DataFrame) -> DataFrame:
+    listed = allowed.filter(F.col("item").isNotNull()).agg(F.collect_list("item")).scalar()
+    none = F.array().cast("array<string>")
+    return baskets.withColumn("items", F.sort_array(F.coalesce(F.array_intersect("items", listed), none)))
+
+
 def _numbered(baskets: DataFrame) -> DataFrame:
     return cut_lineage(baskets.withColumn("_row", F.monotonically_increasing_id()))
 

@@ -221,3 +221,18 @@ def test_rules_match_brute_force(spark, seed):
     assert set(got) == set(expected)
     for k, (conf, lift) in expected.items():
         assert got[k][0] == pytest.approx(conf) and got[k][1] == pytest.approx(lift)
+
+
+def test_equal_baskets_are_one_row(spark):
+    """Baskets that are equal once trimmed are counted as one row, alike by
+    the short list inside the row and by the join."""
+    from tillroll.operators.mining import common
+
+    rows = [(i, ["a", "b", "c", f"rare{i:03d}"]) for i in range(300)] + [(300 + i, ["a", "c"]) for i in range(100)]
+    b = spark.createDataFrame(rows, "transaction_id long, items array<string>")
+    frequent = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "item string")
+    for known in (4, common.IN_ROW + 1):
+        trimmed = common.trim_baskets(b, frequent, known, True, [])
+        assert ("hashpartitioning" in trimmed._jdf.queryExecution().executedPlan().toString()) == (known > common.IN_ROW)
+        got = common.merge_equal(trimmed, []).collect()
+        assert sorted((r["items"], r["transaction_id"]["n"]) for r in got) == [(["a", "b", "c"], 300), (["a", "c"], 100)]

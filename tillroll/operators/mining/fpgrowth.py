@@ -23,23 +23,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.mining.common import (
-    check_args, empty_itemsets, finish, numbered_baskets, thresholds,
+    check_args, empty_itemsets, finish, merge_equal, numbered_baskets, thresholds, trim_baskets,
 )
 from tillroll.session import Scratch, cut_lineage, fits, measured
 
 BLOCK = 64
 
 
-def paths(items: DataFrame, l1: DataFrame, small: bool, g: list[str]) -> DataFrame:
-    """(group, path, n) from ``(group, transaction, item)``: the baskets of at
-    least two frequent items, most frequent items first.  Both shuffles have
-    the session's width, as the rows that follow are much more than a path."""
-    keys, width = [*g, "transaction_id"], int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def paths(merged: DataFrame, l1: DataFrame, small: bool, g: list[str]) -> DataFrame:
+    """(group, path, n) from the merged baskets of at least two frequent
+    items: the most frequent items first.  The shuffle has the session's
+    width, as the rows that follow are much more than a path."""
+    keys, width = [*g, "transaction_id"], int(merged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rank = l1.select(*g, "item", (-F.col("support_count")).alias("less"))
+    items = merged.select(*keys, F.explode("items").alias("item"))
     kept = items.join(F.broadcast(rank) if small else rank, [*g, "item"]).repartition(width, *keys)
     ordered = kept.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("less", "item"))).alias("p"))
-    long = ordered.filter(F.size("p") >= 2).select(*g, F.col("p.item").alias("path")).repartition(width, *g, "path")
-    return long.groupBy(*g, "path").agg(F.count(F.lit(1)).alias("n"))
+    return ordered.select(*g, F.col("p.item").alias("path"), F.col("transaction_id.n").alias("n"))
 
 
 def projected(rows: DataFrame, g: list[str], block: int = BLOCK) -> DataFrame:
@@ -73,7 +73,8 @@ def fpgrowth(baskets: DataFrame, min_support: float, max_len: int = 3, group_col
             return empty_itemsets(spark, g)
         levels = [l1.select(*g, F.array("item").alias("itemset"), "support_count")]
         if max_len >= 2:
-            tree = paths(items, l1, fits(*size), g)
+            trimmed = trim_baskets(b, l1.select(*g, "item"), size[0], fits(*size), g)
+            tree = paths(merge_equal(trimmed, g), l1, fits(*size), g)
             rows = projected(tree.withColumn("itemset", F.array().cast("array<string>")), g)
         for k in range(2, max_len + 1):
             if k < max_len:

@@ -5,8 +5,8 @@ covers ``words`` * 64 consecutive numbers and is an array of that many 64-bit
 words.  The AND of two chunks is the chunk of the joined itemset and its bits
 are counted, so no basket id is compared or shipped.
 
-Pairs are counted from the baskets themselves (a partial aggregate over each
-basket's own pairs); the chunks of the frequent ones are built with bitwise
+Pairs are counted from the baskets themselves, equal ones merged (a partial
+aggregate over each basket's own pairs); the chunks of the frequent ones are built with bitwise
 ORs, which are complete before the shuffle, as the numbers of a chunk come
 from one task.  From length three on the itemsets that share all but their
 last item form a class: its members' chunks meet in one row per chunk number,
@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.mining.common import (
-    basket_pairs, check_args, empty_itemsets, finish, next_candidates, numbered_baskets, thresholds, trim_baskets,
+    basket_pairs, check_args, empty_itemsets, finish, merge_equal, next_candidates, numbered_baskets, thresholds,
+    trim_baskets,
 )
 from tillroll.session import Scratch, cut_lineage, fits, measured
 
@@ -89,10 +90,13 @@ def eclat(baskets: DataFrame, min_support: float, max_len: int = 3, group_cols=(
         frequent = l1.select(*g, "item")
         levels = [l1.select(*g, F.array("item").alias("items"), "support_count")]
         if max_len >= 2:
-            trimmed = scratch.hold(trim_baskets(items, F.broadcast(frequent) if fits(*size) else frequent, g))
+            # the baskets of a chunk in one task, so its words are complete before they are shuffled
+            width, chunk_of = int(spark.conf.get("spark.sql.shuffle.partitions")), F.shiftright("transaction_id", 10)
+            trimmed = scratch.hold(trim_baskets(b, frequent, size[0], fits(*size), g).repartition(width, chunk_of))
             any_wide = not trimmed.filter(F.size("items") > PAIR_BLOCK).isEmpty()
             pairs = basket_pairs(trimmed, g, PAIR_BLOCK, any_wide)
-            l2 = scratch.cut(th.keep_frequent(pairs.groupBy(*g, "a", "b").agg(F.count(F.lit(1)).alias("support_count"))))
+            l2 = scratch.cut(th.keep_frequent(basket_pairs(merge_equal(trimmed, g), g, PAIR_BLOCK, any_wide).groupBy(
+                *g, "a", "b").agg(F.sum("transaction_id.n").alias("support_count"))))
             levels.append(l2.select(*g, F.array("a", "b").alias("items"), "support_count"))
         if max_len >= 3:
             if buckets:
